@@ -204,10 +204,11 @@ def no_orphans(parent: DataFrame, keys: Sequence[str], name: str = "no_orphan_ke
 def orphan_keys(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of ``child`` that ``parent`` lacks, with their row counts.
 
-    Child rows are counted per key before the anti join, so a hot key joins as one row.
+    Both sides are reduced to one row per key before the anti join, with partial
+    aggregation, so neither a hot child key nor many copies of a parent key travel whole.
     """
     counted = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.join(parent.select(*keys), list(keys), "left_anti")
+    return counted.join(parent.select(*keys).distinct(), list(keys), "left_anti")
 
 
 # --- running -----------------------------------------------------------------------------------

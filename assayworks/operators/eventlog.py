@@ -20,6 +20,9 @@ STARTED, PROGRESS = "create_update", "flow_progress"
 NO_UPDATE_CHECK = "event_log_enrichment"
 NO_UPDATE_MESSAGE = "No update found in event_log — pipeline may not have run yet"
 
+# A broadcast of latest updates has one short row per pipeline.
+MAX_BROADCAST_PIPELINES = 10_000
+
 
 def latest_updates(events: DataFrame) -> DataFrame:
     """The newest update of every pipeline; the id is NULL where there is none or it has no id."""
@@ -31,22 +34,33 @@ def latest_updates(events: DataFrame) -> DataFrame:
     )
 
 
-def expectation_totals(events: DataFrame) -> DataFrame:
+def _scoped(events: DataFrame, pipelines: Sequence[str] | None) -> DataFrame:
+    return events if pipelines is None else events.filter(F.col("pipeline_name").isin(*pipelines))
+
+
+def expectation_totals(events: DataFrame, pipelines: Sequence[str] | None = None) -> DataFrame:
     """Passed and failed records per (pipeline, flow, expectation) of the latest update.
 
-    Progress events are filtered and reduced to their expectation text before the
-    join. Both join sides are exchanged on (pipeline, update), so one busy
-    pipeline is spread over its updates and AQE can split what is left.
+    The JSON is parsed after the join, so only for the latest updates. An inner explode would
+    let Catalyst derive a "not empty" filter and parse every event of the log
+    below the join; the outer form with a position check does not.
+
+    With a list of pipelines the latest updates are known to be at most as many
+    rows, and are broadcast. Without, both sides are exchanged on (pipeline, update): one busy
+    pipeline spreads over its updates, and AQE can split what is left.
     """
-    progress = events.filter(F.col("event_type") == PROGRESS).select(
+    scope = _scoped(events, pipelines)
+    progress = scope.filter(F.col("event_type") == PROGRESS).select(
         "pipeline_name", F.col("origin.update_id").alias("update_id"),
-        F.col("origin.flow_name").alias("flow_name"), expectations("details").alias("found"),
+        F.col("origin.flow_name").alias("flow_name"), "details",
     )
-    latest = latest_updates(events).filter(F.col("update_id").isNotNull())
+    latest = latest_updates(scope).filter(F.col("update_id").isNotNull())
+    if pipelines is not None and len(pipelines) <= MAX_BROADCAST_PIPELINES:
+        latest = F.broadcast(latest)
     return (
-        progress.filter(F.col("found").isNotNull())
-        .join(latest, ["pipeline_name", "update_id"])
-        .select("pipeline_name", "flow_name", F.explode("found").alias("one"))
+        progress.join(latest, ["pipeline_name", "update_id"])
+        .select("pipeline_name", "flow_name", F.posexplode_outer(expectations("details")).alias("at", "one"))
+        .filter(F.col("at").isNotNull())
         .groupBy("pipeline_name", "flow_name", F.col("one.name").alias("expectation_name"))
         .agg(F.sum("one.passed_records").alias("total_passed"),
              F.sum("one.failed_records").alias("total_failed"))
@@ -63,18 +77,17 @@ def expectation_checks(events: DataFrame, run_id: str, as_of: Moment = None,
         known = events.select("pipeline_name").distinct()
     else:
         known = events.sparkSession.createDataFrame([(p,) for p in pipelines], "pipeline_name string")
-        events = events.filter(F.col("pipeline_name").isin(*pipelines))
     none_failed = F.coalesce(F.col("total_failed") == 0, F.lit(False))
     # NULL sums and names are told as the word None
     told = {c: F.coalesce(F.col(c).cast("string"), F.lit("None"))
             for c in ("flow_name", "total_passed", "total_failed")}
-    graded = expectation_totals(events).select(
+    graded = expectation_totals(events, pipelines).select(
         "pipeline_name", F.col("expectation_name").alias("check_name"),
         F.when(none_failed, F.lit(PASS)).otherwise(F.lit(WARN)).alias("status"),
         F.concat(F.lit("flow="), told["flow_name"], F.lit(" passed="), told["total_passed"],
                  F.lit(" failed="), told["total_failed"]).alias("message"),
     )
-    updated = latest_updates(events).filter(F.col("update_id").isNotNull())
+    updated = latest_updates(_scoped(events, pipelines)).filter(F.col("update_id").isNotNull())
     silent = known.join(updated, "pipeline_name", "left_anti").select(
         "pipeline_name", F.lit(NO_UPDATE_CHECK).alias("check_name"), F.lit(WARN).alias("status"),
         F.lit(NO_UPDATE_MESSAGE).alias("message"),

@@ -52,13 +52,17 @@ def live(state: DataFrame, delete_when: str | None = None) -> DataFrame:
 
 
 def scd2(log: DataFrame, keys: Sequence[str], order: Sequence[str], delete_when: str | None = None,
-         slice_of: Column | None = None) -> DataFrame:
+         slice_of: Column | None = None, drop_copies: bool = True) -> DataFrame:
     """Every version with its validity: [__START_AT, __END_AT), open-ended when current.
 
-    Both come from ``order[0]``. A delete ends the version before it and is no version itself. Histories
-    are cut into slices (see functions.sliced), so no key has to fit in one task.
+    Both come from ``order[0]``. A delete ends the version before it and is no
+    version itself. Histories are cut into slices (see functions.sliced), so no
+    key has to fit in one task. Rows equal in every column are one change that was delivered
+    more than once; they are merged first, map-side, unless ``drop_copies`` is off
+    because the log is known to have none.
     """
-    ended = next_in_order(log, keys, order, END, slice_of)
+    changes = log.distinct() if drop_copies else log
+    ended = next_in_order(changes, keys, order, END, slice_of)
     return live(ended, delete_when).withColumn(START, F.col(order[0]))
 
 

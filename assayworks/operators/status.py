@@ -158,10 +158,14 @@ def latest_contract_checks(log: DataFrame) -> DataFrame:
 
 
 def all_direct_checks(log: DataFrame) -> DataFrame:
-    """Every direct check, newest first."""
+    """Every direct check, newest first.
+
+    The further sort columns only break ties; they let the range exchange divide
+    a time that many checks share.
+    """
     return log.filter(F.col("check_type") == DIRECT).select(
         "pipeline_name", "check_name", "status", "message", "checked_at", "run_id"
-    ).orderBy(F.col("checked_at").desc())
+    ).orderBy(F.col("checked_at").desc(), "run_id", "pipeline_name", "check_name", "message")
 
 
 def reliability(runs: DataFrame, as_of: Moment = None, days: int = 7) -> DataFrame:

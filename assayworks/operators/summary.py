@@ -35,14 +35,13 @@ def summarise(dim: DataFrame, fact: DataFrame, keys: Sequence[str] | str,
     key_missing = F.lit(False)
     for key in keys:
         key_missing = key_missing | F.col(key).isNull()
-    spread = F.pmod(F.xxhash64(*carry), F.lit(NULL_LANES)).cast("int") if carry else F.lit(0)
+    lane_zero = F.pmod(F.hash(*keys), F.lit(1))  # always 0, but no literal that Catalyst would fold away
+    spread = F.pmod(F.xxhash64(*carry), F.lit(NULL_LANES)).cast("int") if carry else lane_zero
     left = dim.select(
         *keys, *[name for name in carry if name not in keys],
-        F.when(key_missing, spread).otherwise(F.lit(0)).alias("_lane"),
-    )
-    right = aggregate(fact, keys, measures).select(
-        "*", F.when(key_missing, F.lit(-1)).otherwise(F.lit(0)).alias("_lane")
+        F.when(key_missing, spread).otherwise(lane_zero).alias("_lane"),
     )
+    right = aggregate(fact, keys, measures).select("*", lane_zero.alias("_lane"))
     return left.join(right, [*keys, "_lane"], "left").select(
         *keys,
         *[name for name in carry if name not in keys],
