@@ -24,14 +24,6 @@ def clipped(value: Column | str, length: int) -> Column:
     return F.substring(F.coalesce(value if isinstance(value, Column) else F.col(value), F.lit("")), 1, length)
 
 
-def one_decimal(value: Column) -> Column:
-    return F.format_string("%.1f", value.cast("double"))
-
-
-def percent(ratio: Column, decimals: int) -> Column:
-    return F.format_string(f"%.{decimals}f%%", ratio.cast("double") * 100)
-
-
 def missing_text(*names: str) -> list[Column]:
     """Typed NULL string columns, for outputs that must keep a fixed schema."""
     return [F.lit(None).cast("string").alias(name) for name in names]

@@ -11,13 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayworks.functions.clock import Moment, hours_between, moment
-from assayworks.functions.text import list_text, one_decimal, percent
+from assayworks.functions.clock import Moment, moment
+from assayworks.functions.text import list_text
 
 # Statuses, check types and log columns.
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
@@ -35,99 +35,94 @@ class CheckFailed(RuntimeError):
 
 
 class Verdict(NamedTuple):
-    status: Column
-    message: Column
-    actual: Column
-    expected: Column
+    """SQL text over the metrics and ``now``."""
+
+    status: str
+    message: str
+    actual: str
+    expected: str
 
 
 @dataclass(frozen=True)
 class Check:
+    """``measures`` are SQL aggregates; ``verdict`` gets the column name of each."""
+
     name: str
-    verdict: Callable[[Mapping[str, Column]], Verdict]
-    measures: Mapping[str, Column] = field(default_factory=dict)
+    verdict: Callable[[Mapping[str, str]], Verdict]
+    measures: Mapping[str, str] = field(default_factory=dict)
     over: Callable[[DataFrame], DataFrame] | None = None
     needs: tuple[str, ...] = ()
     check_type: str = DIRECT
 
 
-def _text(value: object) -> Column:
-    return value.cast("string") if isinstance(value, Column) else F.lit(str(value))
+def _quoted(text: object) -> str:
+    """A SQL string literal."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _decide(failed: Column, when_failed: Column, when_passed: Column, actual: object,
-            expected: object) -> Verdict:
-    return Verdict(
-        F.when(failed, F.lit(FAIL)).otherwise(F.lit(PASS)),
-        F.when(failed, when_failed).otherwise(when_passed),
-        _text(actual),
-        _text(expected),
-    )
+def _named(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _decide(failed: str, when_failed: str, when_passed: str, actual: str, expected: object) -> Verdict:
+    return Verdict(f"IF({failed}, '{FAIL}', '{PASS}')", f"IF({failed}, {when_failed}, {when_passed})",
+                   f"CAST({actual} AS STRING)", _quoted(expected))
 
 
 def _constant(name: str, failed: bool, message: str, actual: str, expected: str) -> Check:
-    verdict = Verdict(F.lit(FAIL if failed else PASS), F.lit(message), F.lit(actual), F.lit(expected))
+    verdict = Verdict(f"'{FAIL if failed else PASS}'", _quoted(message), _quoted(actual), _quoted(expected))
     return Check(name, lambda _: verdict)
 
 
+def _none_counted(name: str, aggregate: str, found: str, clean: str, **scope: Any) -> Check:
+    """Fails when the counted number of offending rows or keys is not zero."""
+    def verdict(m: Mapping[str, str]) -> Verdict:
+        return _decide(f"{m['n']} > 0", f"concat({m['n']}, {_quoted(found)})", _quoted(clean), m["n"], 0)
+    return Check(name, verdict, {"n": aggregate}, **scope)
+
+
 # --- checks answered by the shared pass --------------------------------------------------------
 
 
 def not_empty(table: str, name: str = "silver_not_empty") -> Check:
-    def verdict(m: Mapping[str, Column]) -> Verdict:
-        return _decide(
-            m["rows"] == 0, F.lit(f"{table} is empty"), F.concat(_text(m["rows"]), F.lit(" rows")),
-            m["rows"], "> 0",
-        )
-    return Check(name, verdict, {"rows": F.count(F.lit(1))})
+    def verdict(m: Mapping[str, str]) -> Verdict:
+        rows = m["rows"]
+        return _decide(f"{rows} = 0", _quoted(f"{table} is empty"), f"concat({rows}, ' rows')", rows, "> 0")
+    return Check(name, verdict, {"rows": "count(1)"})
 
 
-def freshness(column: str, limit_hours: float, as_of: Moment = None,
-              name: str = "silver_freshness") -> Check:
+def freshness(column: str, limit_hours: float, name: str = "silver_freshness") -> Check:
     """Fails when the newest value is older than the limit (exactly the limit passes) or missing."""
-    def verdict(m: Mapping[str, Column]) -> Verdict:
-        age = hours_between(moment(as_of), m["newest"])
-        told = F.concat(F.lit(f"Most recent {column} is "), one_decimal(age), F.lit("h ago"))
-        late = F.concat(told, F.lit(f" (threshold: {limit_hours}h)"))
-        return _decide(
-            m["newest"].isNull() | (age > limit_hours),
-            F.when(m["newest"].isNull(), F.lit(f"{column} is null")).otherwise(late),
-            told, one_decimal(age), f"<= {limit_hours}",
-        )
-    return Check(name, verdict, {"newest": F.max(column)}, needs=(column,))
+    def verdict(m: Mapping[str, str]) -> Verdict:
+        newest = m["newest"]
+        age = f"((unix_timestamp(now) - unix_timestamp({newest})) / 3600D)"
+        told = f"concat({_quoted(f'Most recent {column} is ')}, format_string('%.1f', {age}), 'h ago')"
+        late = f"concat({told}, {_quoted(f' (threshold: {limit_hours}h)')})"
+        absent = f"{newest} IS NULL"
+        return _decide(f"({absent} OR {age} > {limit_hours})",
+                       f"IF({absent}, {_quoted(f'{column} is null')}, {late})", told,
+                       f"IF({absent}, NULL, format_string('%.1f', {age}))", f"<= {limit_hours}")
+    return Check(name, verdict, {"newest": f"max({_named(column)})"}, needs=(column,))
 
 
 def column_not_null(column: str, name: str | None = None) -> Check:
-    def verdict(m: Mapping[str, Column]) -> Verdict:
-        return _decide(
-            m["nulls"] > 0, F.concat(_text(m["nulls"]), F.lit(f" rows with null {column}")),
-            F.lit(f"No null {column} rows"), m["nulls"], 0,
-        )
-    return Check(name or f"{column}_not_null", verdict,
-                 {"nulls": F.count_if(F.col(column).isNull())}, needs=(column,))
+    return _none_counted(name or f"{column}_not_null", f"count_if({_named(column)} IS NULL)",
+                         f" rows with null {column}", f"No null {column} rows", needs=(column,))
 
 
 def column_gte_zero(column: str, name: str | None = None) -> Check:
-    def verdict(m: Mapping[str, Column]) -> Verdict:
-        return _decide(
-            m["negatives"] > 0, F.concat(_text(m["negatives"]), F.lit(f" rows with {column} < 0")),
-            F.lit(f"All {column} values >= 0"), m["negatives"], 0,
-        )
-    return Check(name or f"non_negative_{column}", verdict,
-                 {"negatives": F.count_if(F.col(column) < 0)}, needs=(column,))
+    return _none_counted(name or f"non_negative_{column}", f"count_if({_named(column)} < 0)",
+                         f" rows with {column} < 0", f"All {column} values >= 0", needs=(column,))
 
 
 def nullability(columns: Sequence[str], name: str = "non_nullable_columns") -> Check:
     """Fails when any of the columns holds a NULL; the message lists the offenders with counts."""
-    def verdict(m: Mapping[str, Column]) -> Verdict:
-        total = reduce(lambda a, b: a + b, [m[c] for c in columns], F.lit(0).cast("long"))
-        offenders = F.concat_ws(", ", *[
-            F.when(m[c] > 0, F.concat(F.lit(f"{c}="), _text(m[c]))) for c in columns
-        ])
-        return _decide(total > 0, F.concat(F.lit("NULLs in "), offenders),
-                       F.lit("No NULLs in non-nullable columns"), total, 0)
-    return Check(name, verdict, {c: F.count_if(F.col(c).isNull()) for c in columns},
-                 needs=tuple(columns))
+    def verdict(m: Mapping[str, str]) -> Verdict:
+        total = "(" + " + ".join(m[c] for c in columns) + ")"
+        offenders = ", ".join(f"IF({m[c]} > 0, concat({_quoted(f'{c}=')}, {m[c]}), NULL)" for c in columns)
+        return _decide(f"{total} > 0", f"concat('NULLs in ', concat_ws(', ', {offenders}))",
+                       "'No NULLs in non-nullable columns'", total, 0)
+    return Check(name, verdict, {c: f"count_if({_named(c)} IS NULL)" for c in columns}, needs=tuple(columns))
 
 
 # --- checks answered by the schema alone -------------------------------------------------------
@@ -161,44 +156,35 @@ def column_types(df: DataFrame, expected: Mapping[str, str], name: str = "column
 def rejection_ratio(bronze: DataFrame, rejected: DataFrame, threshold: float,
                     name: str = "rejection_ratio") -> Check:
     """Fails above the threshold, so exactly the threshold passes; empty bronze only warns."""
-    def counts(_: DataFrame) -> DataFrame:
+    def both(_: DataFrame) -> DataFrame:
         return bronze.select(F.lit(True).alias("landed")).unionAll(rejected.select(F.lit(False)))
 
-    def verdict(m: Mapping[str, Column]) -> Verdict:
-        ratio = F.when(m["bronze"] > 0, m["rejected"] / m["bronze"])
-        told = F.concat(
-            _text(m["rejected"]), F.lit("/"), _text(m["bronze"]), F.lit(" rows rejected ("),
-            percent(ratio, 1), F.lit(f", threshold: {threshold:.0%})"),
-        )
-        empty = m["bronze"] == 0
+    def verdict(m: Mapping[str, str]) -> Verdict:
+        landed, bad = m["bronze"], m["rejected"]
+        ratio = f"try_divide({bad}, {landed})"
+        share = f"format_string('%.1f%%', 100 * {ratio})"
+        empty = f"{landed} = 0"
         return Verdict(
-            F.when(empty, F.lit(WARN)).when(ratio > threshold, F.lit(FAIL)).otherwise(F.lit(PASS)),
-            F.when(empty, F.lit("bronze table is empty — skipping ratio check")).otherwise(told),
-            F.when(empty, F.lit("no rows")).otherwise(percent(ratio, 1)),
-            F.lit(f"<= {threshold:.0%}"),
+            f"CASE WHEN {empty} THEN '{WARN}' WHEN {ratio} > {threshold}D THEN '{FAIL}' ELSE '{PASS}' END",
+            f"IF({empty}, 'bronze table is empty — skipping ratio check', concat({bad}, '/', {landed}, "
+            f"' rows rejected (', {share}, ', threshold: {threshold:.0%})'))",
+            f"IF({empty}, 'no rows', {share})", _quoted(f"<= {threshold:.0%}"),
         )
-    return Check(name, verdict, {
-        "bronze": F.count_if(F.col("landed")), "rejected": F.count_if(~F.col("landed")),
-    }, over=counts)
+    return Check(name, verdict, {"bronze": "count_if(landed)", "rejected": "count_if(NOT landed)"}, over=both)
 
 
 def unique_key(keys: Sequence[str], name: str = "unique_key") -> Check:
     """Counts key values that occur more than once, NULL counting as a value."""
-    def verdict(m: Mapping[str, Column]) -> Verdict:
-        label = ", ".join(keys)
-        return _decide(m["repeated"] > 0, F.concat(_text(m["repeated"]), F.lit(f" repeated keys ({label})")),
-                       F.lit(f"Every key is unique ({label})"), m["repeated"], 0)
-    return Check(name, verdict, {"repeated": F.count_if(F.col("_copies") > 1)}, needs=tuple(keys),
-                 over=lambda df: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")))
+    label = ", ".join(keys)
+    return _none_counted(name, "count_if(_copies > 1)", f" repeated keys ({label})",
+                         f"Every key is unique ({label})", needs=tuple(keys),
+                         over=lambda df: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")))
 
 
 def no_orphans(parent: DataFrame, keys: Sequence[str], name: str = "no_orphan_keys") -> Check:
-    """Counts rows whose key is absent from ``parent``; see orphans()."""
-    def verdict(m: Mapping[str, Column]) -> Verdict:
-        return _decide(m["orphans"] > 0, F.concat(_text(m["orphans"]), F.lit(" rows without a parent")),
-                       F.lit("Every row has a parent"), m["orphans"], 0)
-    return Check(name, verdict, {"orphans": F.coalesce(F.sum("_rows"), F.lit(0).cast("long"))},
-                 needs=tuple(keys), over=lambda df: orphan_keys(df, parent, keys))
+    """Counts rows whose key is absent from ``parent``; see orphan_keys()."""
+    return _none_counted(name, "coalesce(sum(_rows), 0L)", " rows without a parent", "Every row has a parent",
+                         needs=tuple(keys), over=lambda df: orphan_keys(df, parent, keys))
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -222,11 +208,11 @@ def run(df: DataFrame, checks: Sequence[Check], *, run_id: str, pipeline: str, t
     passes = [(df, shared)] if shared else []
     passes += [(c.over(df), [c]) for c in ready if c.over is not None]
     order = {c.name: position for position, c in enumerate(ready)}
-    frames = [_one_pass(source, group, order) for source, group in passes]
-    return reduce(DataFrame.unionAll, frames).select(
-        F.lit(run_id).alias("run_id"), F.lit(pipeline).alias("pipeline_name"),
-        F.lit(table).alias("table_name"), "check_name", "check_type", "status", "message",
-        "actual_value", "expected_value", moment(as_of).alias("checked_at"), "position",
+    frames = [_one_pass(source, group, order, moment(as_of)) for source, group in passes]
+    return reduce(DataFrame.unionAll, frames).selectExpr(
+        f"{_quoted(run_id)} AS run_id", f"{_quoted(pipeline)} AS pipeline_name", f"{_quoted(table)} AS table_name",
+        "check_name", "check_type", "status", "message", "actual_value", "expected_value",
+        "now AS checked_at", "position",
     )
 
 
@@ -237,23 +223,22 @@ def _guarded(df: DataFrame, check: Check) -> Check:
     return _constant(check.name, True, f"Missing columns: {list_text(absent)}", "absent", "present")
 
 
-def _one_pass(source: DataFrame, checks: Sequence[Check], order: Mapping[str, int]) -> DataFrame:
+def _one_pass(source: DataFrame, checks: Sequence[Check], order: Mapping[str, int], now: Column) -> DataFrame:
     metrics, rows = [], []
     for index, check in enumerate(checks):
-        labels = {key: f"m{index}_{key}" for key in check.measures}
-        metrics += [agg.alias(labels[key]) for key, agg in check.measures.items()]
-        verdict = check.verdict({key: F.col(label) for key, label in labels.items()})
-        rows.append(F.struct(
-            F.lit(order[check.name]).alias("position"),
-            F.lit(check.name).alias("check_name"), F.lit(check.check_type).alias("check_type"),
-            verdict.status.alias("status"), verdict.message.alias("message"),
-            verdict.actual.alias("actual_value"), verdict.expected.alias("expected_value"),
-        ))
+        labels = {key: f"`m{index}_{key}`" for key in check.measures}
+        metrics += [F.expr(f"{sql} AS {labels[key]}") for key, sql in check.measures.items()]
+        status, message, actual, expected = check.verdict(labels)
+        rows.append(
+            f"struct({order[check.name]} AS position, {_quoted(check.name)} AS check_name, "
+            f"{_quoted(check.check_type)} AS check_type, {status} AS status, {message} AS message, "
+            f"{actual} AS actual_value, {expected} AS expected_value)"
+        )
     if metrics:
         measured = source.agg(*metrics)
     else:  # schema-only checks: a one-row frame that reads nothing
         measured = source.sparkSession.range(1)
-    return measured.select(F.inline(F.array(*rows)))
+    return measured.withColumn("now", now).select("now", F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def to_run_log(results: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from assayworks.functions.clock import Moment
 from assayworks.operators import checks as C
 from assayworks.operators.rules import Rule
 
@@ -61,10 +60,10 @@ class Contract:
             raise RuntimeError("reading YAML contracts needs the yaml package") from missing
         return cls.from_dict(yaml.safe_load(text))
 
-    def checks(self, df: DataFrame, *, as_of: Moment = None, bronze: DataFrame | None = None,
+    def checks(self, df: DataFrame, *, bronze: DataFrame | None = None,
                rejected: DataFrame | None = None) -> list[C.Check]:
         """The declared quality checks, in order. A ratio check needs bronze and rejected."""
-        return [self._check(spec, df, as_of, bronze, rejected) for spec in self.quality_checks]
+        return [self._check(spec, df, bronze, rejected) for spec in self.quality_checks]
 
     def schema_checks(self, df: DataFrame) -> list[C.Check]:
         """Types and nullability of the declared columns."""
@@ -72,13 +71,13 @@ class Contract:
         required = [c.name for c in self.columns if not c.nullable]
         return found + ([C.nullability(required)] if required else [])
 
-    def _check(self, spec: Mapping[str, Any], df: DataFrame, as_of: Moment,
-               bronze: DataFrame | None, rejected: DataFrame | None) -> C.Check:
+    def _check(self, spec: Mapping[str, Any], df: DataFrame, bronze: DataFrame | None,
+               rejected: DataFrame | None) -> C.Check:
         kind, name = spec["type"], spec["name"]
         if kind == "row_count_gt_zero":
             return C.not_empty(self.table, name)
         if kind == "freshness_hours":
-            return C.freshness(spec["column"], spec["threshold"], as_of, name)
+            return C.freshness(spec["column"], spec["threshold"], name)
         if kind == "columns_present":
             return C.required_columns(df, spec["columns"], name)
         if kind == "column_not_null":

@@ -6,14 +6,17 @@ origin struct<update_id, flow_name>, details (JSON text).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayworks.functions.clock import Moment, moment
 from assayworks.functions.details import expectations, update_id
 from assayworks.operators.checks import EXPECTATION, PASS, RUN_LOG_COLUMNS, WARN
+from assayworks.operators.rules import Rule
 
 # Event types, and the check written when a pipeline has no update.
 STARTED, PROGRESS = "create_update", "flow_progress"
@@ -24,6 +27,28 @@ NO_UPDATE_MESSAGE = "No update found in event_log — pipeline may not have run
 MAX_BROADCAST_PIPELINES = 10_000
 
 
+EVENT_TYPE = ("pipeline_name string, timestamp timestamp, event_type string, "
+              "origin struct<update_id:string, flow_name:string>, details string")
+
+
+def update_events(spark: SparkSession, pipeline: str, update: str, flow_name: str, rules: Sequence[Rule],
+                  batches: Sequence[Mapping[str, int]], at: datetime) -> DataFrame:
+    """Log rows for one update: its start, and one progress event per micro-batch.
+
+    ``batches`` are the observed counts of a stream (see routing.observed): "rows"
+    and one violation count per rule. This is run metadata, not table rows.
+    """
+    def progress(counts: Mapping[str, int]) -> str:
+        found = [{"name": r.name, "dataset": flow_name, "passed_records": counts["rows"] - counts[r.name],
+                  "failed_records": counts[r.name]} for r in rules]
+        return json.dumps({"flow_progress": {"data_quality": {"expectations": found}}})
+
+    start = json.dumps({"create_update": {"update_id": update}})
+    rows = [(pipeline, at, STARTED, (update, None), start)]
+    rows += [(pipeline, at, PROGRESS, (update, flow_name), progress(counts)) for counts in batches]
+    return spark.createDataFrame(rows, EVENT_TYPE)
+
+
 def latest_updates(events: DataFrame) -> DataFrame:
     """The newest update of every pipeline; the id is NULL where there is none or it has no id."""
     started = events.filter(F.col("event_type") == STARTED).select(

@@ -228,7 +228,7 @@ def audit_contract_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Declared quality checks of the orders contract, in contract-log form."""
     landed = A.orders_bronze(spark, sf)
     sides = R.split(P.orders_silver(landed), P.ORDERS_CONTRACT.rejection)
-    found = P.ORDERS_CONTRACT.checks(sides.silver, as_of=AS_OF, bronze=landed, rejected=sides.rejected)
+    found = P.ORDERS_CONTRACT.checks(sides.silver, bronze=landed, rejected=sides.rejected)
     return C.to_contract_log(C.run(
         sides.silver, found, run_id="r1", pipeline="orders_pipeline", table="orders_silver", as_of=AS_OF))
 

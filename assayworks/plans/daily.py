@@ -25,7 +25,7 @@ def silver_results(contract: Contract, silver: DataFrame, bronze: DataFrame, rej
     """Not-empty, freshness and rejection-ratio rows of one domain."""
     found = [
         C.not_empty(contract.table),
-        C.freshness(P.INGESTED_AT, freshness_hours, as_of),
+        C.freshness(P.INGESTED_AT, freshness_hours),
         C.rejection_ratio(bronze, rejected, rejection_limit),
     ]
     return C.run(silver, found, run_id=run_id, pipeline=pipeline, table=contract.table, as_of=as_of)

@@ -12,6 +12,8 @@ RECOMMENDED_CONF = {
     # A routed write has two output directories per task; with concurrent
     # writers Spark does not sort every task's rows by the route first.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # Observed counts are read from the progress of every micro-batch of a run.
+    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 

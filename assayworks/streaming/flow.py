@@ -9,6 +9,7 @@ fails and the batch is not committed.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -76,12 +77,18 @@ def refine(spark: SparkSession, layout: Layout, bronze: StructType, transform: C
 
 
 def finish(query: StreamingQuery, timeout: int | None = None) -> list[dict[str, int]]:
-    """Waits for an available-now query; returns the observed counts of its recent batches.
+    """Waits for an available-now query; returns the observed counts of its batches.
 
-    Raises what the query raised, for instance on an abort rule.
+    Raises what the query raised, for instance on an abort rule. Spark keeps the
+    progress of the last spark.sql.streaming.numRecentProgressUpdates batches; when a run had
+    more, earlier counts are gone and a warning says so (rule_metrics over the tables has them all).
     """
     query.awaitTermination(timeout)
-    observations = [progress["observedMetrics"] or {} for progress in query.recentProgress]
+    progress = query.recentProgress
+    kept = SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    if len(progress) >= int(kept):
+        warnings.warn("counts of the earliest micro-batches are no longer kept", stacklevel=2)
+    observations = [one["observedMetrics"] or {} for one in progress]
     return [seen[METRICS].asDict() for seen in observations if METRICS in seen]
 
 

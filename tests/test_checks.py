@@ -21,7 +21,7 @@ def frame(spark, rows):
 
 
 def test_empty_table_fails_twice(spark):
-    found = run(frame(spark, []), C.not_empty("t"), C.freshness("_ingested_at", 24, NOON))
+    found = run(frame(spark, []), C.not_empty("t"), C.freshness("_ingested_at", 24))
     assert found["silver_not_empty"] == ("FAIL", "t is empty", "0", "> 0")
     assert found["silver_freshness"][:2] == ("FAIL", "_ingested_at is null")
 
@@ -34,7 +34,7 @@ def test_empty_table_fails_twice(spark):
 ])
 def test_freshness_limit(spark, age, status, message):
     df = frame(spark, [("a", 1, NOON - age), ("b", 1, NOON - age - timedelta(days=9)), ("c", 1, None)])
-    assert run(df, C.freshness("_ingested_at", 24, NOON))["silver_freshness"][:2] == (status, message)
+    assert run(df, C.freshness("_ingested_at", 24))["silver_freshness"][:2] == (status, message)
 
 
 @pytest.mark.parametrize("landed, bad, status, message", [
@@ -92,7 +92,7 @@ def test_orphans(spark):
 
 def test_shared_checks_scan_a_table_once(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    found = [C.not_empty("t"), C.freshness("o_orderdate", 1, NOON), C.column_not_null("o_custkey"),
+    found = [C.not_empty("t"), C.freshness("o_orderdate", 1), C.column_not_null("o_custkey"),
              C.column_gte_zero("o_totalprice"), C.required_columns(df, ["o_orderkey"])]
     results = C.run(df, found, run_id="r", pipeline="p", table="t", as_of=NOON)
     plan = results._jdf.queryExecution().executedPlan().toString()
@@ -123,7 +123,7 @@ def test_contracts(spark, folder):
     silver = P.orders_silver(orders(spark, [("n1", "k", Decimal(1), NOON, "x")]))
     contract = P.ORDERS_CONTRACT
     found = run(silver, *contract.schema_checks(silver), *contract.checks(
-        silver, as_of=NOON, bronze=silver, rejected=silver.limit(0)))
+        silver, bronze=silver, rejected=silver.limit(0)))
     assert {name: row[0] for name, row in found.items()} == {
         "column_types": "PASS", "non_nullable_columns": "PASS", "silver_not_empty": "PASS",
         "silver_freshness": "PASS", "rejection_ratio": "PASS"}

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayworks.operators import checks as C
+from assayworks.operators import eventlog as E
 from assayworks.operators import routing as R
 from assayworks.operators import status as S
 from assayworks.plans import customer_orders as P
@@ -107,6 +108,15 @@ def test_stream_equals_batch_and_takes_files_once(spark, folder):
     assert content(sides.silver, "_source_file") == content(batch().silver, "_source_file")
     assert content(sides.rejected, "_source_file") == content(batch().rejected, "_source_file")
 
+    log = E.update_events(spark, "orders_pipeline", "u1", "orders_silver", P.ORDER_RULES, metrics, NOON)
+    found = {r.check_name: (r.status, r.message) for r in E.expectation_checks(log, "r", NOON).collect()}
+    assert found == {
+        "order_id_not_null": ("PASS", "flow=orders_silver passed=9 failed=0"),
+        "customer_id_not_null": ("PASS", "flow=orders_silver passed=9 failed=0"),
+        "positive_amount": ("WARN", "flow=orders_silver passed=8 failed=1"),
+        "status_not_null": ("WARN", "flow=orders_silver passed=8 failed=1"),
+    }
+
     start(spark, folder)  # nothing new
     assert spark.read.parquet(layout.bronze).count() == 9
     land(folder, "orders", ORDER_CSV.replace("q0", "r0"))
