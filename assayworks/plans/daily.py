@@ -1,22 +1,64 @@
 """The run of the product, step by step: refine, audit, gate, summarise, audit, report.
 
-Each step is a plain function; a scheduler outside calls them in this order.
-Check rows are logged before a gate raises, so a failed run is still on record.
+The steps are plain functions that an outside scheduler can call one by one;
+run_product calls them in order. Check rows are logged before a gate raises, and the outcome is logged
+whatever happened, so a failed run is on record.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from assayworks.functions.clock import Moment
+from assayworks.functions.clock import Moment, moment
 from assayworks.operators import checks as C
 from assayworks.operators.contract import Contract
+from assayworks.operators.eventlog import expectation_checks, update_events
+from assayworks.operators.routing import Split, route
+from assayworks.operators.rules import Mode, Rule
 from assayworks.operators.status import run_outcomes
 from assayworks.plans import customer_orders as P
-from assayworks.sources.tables import append_log, define_views, publish, qualified, status_views
+from assayworks.sources.tables import append_log, define_views, ensure_logs, publish, qualified, status_views
+from assayworks.streaming import flow
+
+# Pipeline and table names, and the states of finished tasks.
+GOLD_PIPELINE = "gold_pipeline"
+SUMMARY = "customer_order_summary"
+SUCCEEDED, FAILED = "SUCCESS", "FAILED"
+RUN_TYPE = ("job_run_id string, recorded_at timestamp, catalog_name string, schema_name string, "
+            "bundle_target string, git_sha string, started_at timestamp, job_run_url string")
+TASK_TYPE = "job_run_id string, ord int, task_key string, result_state string, state_message string"
+
+
+@dataclass(frozen=True)
+class Domain:
+    """One source domain: what lands, how it becomes silver, and what must hold."""
+
+    name: str
+    declared: StructType
+    transform: Callable[[DataFrame], DataFrame]
+    rules: tuple[Rule, ...]
+    contract: Contract
+
+    @property
+    def pipeline(self) -> str:
+        return f"{self.name}_pipeline"
+
+
+DOMAINS = (
+    Domain("customers", P.CUSTOMERS_LANDING, P.customers_silver, P.CUSTOMER_RULES, P.CUSTOMERS_CONTRACT),
+    Domain("orders", P.ORDERS_LANDING, P.orders_silver, P.ORDER_RULES, P.ORDERS_CONTRACT),
+)
+
+
+# --- steps -------------------------------------------------------------------------------------
 
 
 def silver_results(contract: Contract, silver: DataFrame, bronze: DataFrame, rejected: DataFrame, *,
@@ -31,27 +73,25 @@ def silver_results(contract: Contract, silver: DataFrame, bronze: DataFrame, rej
     return C.run(silver, found, run_id=run_id, pipeline=pipeline, table=contract.table, as_of=as_of)
 
 
-def summary_results(summary: DataFrame, *, run_id: str, as_of: Moment = None,
-                    pipeline: str = "gold_pipeline") -> DataFrame:
+def summary_results(summary: DataFrame, *, run_id: str, as_of: Moment = None) -> DataFrame:
     """The contract checks of the summary table."""
     contract = P.SUMMARY_CONTRACT
-    return C.run(summary, contract.checks(summary), run_id=run_id, pipeline=pipeline,
+    return C.run(summary, contract.checks(summary), run_id=run_id, pipeline=GOLD_PIPELINE,
                  table=contract.table, as_of=as_of)
 
 
 def log_and_gate(results: DataFrame, schema: str, run_id: str, contract_log: bool = False) -> None:
-    """Appends check rows to the logs, then raises if any of this run's rows failed.
+    """Appends check rows to the logs, then raises if a direct check among this run's rows failed.
 
     The gate reads the rows back from the log, so the checks run once.
     """
-    spark = results.sparkSession
     if contract_log:
         results = results.persist()  # two log writes over as many rows as there are checks
     append_log(results, schema, "ops_pipeline_run_log")
     if contract_log:
         append_log(results, schema, "ops_contract_check_log")
         results.unpersist()
-    logged = spark.read.table(qualified(schema, "ops_pipeline_run_log"))
+    logged = results.sparkSession.read.table(qualified(schema, "ops_pipeline_run_log"))
     C.gate(logged.filter((F.col("run_id") == run_id) & (F.col("check_type") == C.DIRECT)))
 
 
@@ -67,5 +107,106 @@ def finalize(spark: SparkSession, schema: str, runs: DataFrame, tasks: DataFrame
     define_views(spark, schema, status_views(schema))
 
 
-def expected_counts(tables: Mapping[str, DataFrame], expected: Mapping[str, int]) -> DataFrame:
-    return C.reconcile(tables, expected)
+# --- the whole run -----------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Product:
+    """Where the product lives: landing folders by domain, table folders, catalog schema of logs and views."""
+
+    sources: dict[str, str]
+    root: str
+    schema: str
+    mode: Mode = "drop"
+    freshness_hours: float = 168
+    catalog: str = "spark_catalog"
+    target: str = "dev"
+
+    def layout(self, domain: Domain) -> flow.Layout:
+        return flow.Layout(f"{self.root}/{domain.name}")
+
+    @property
+    def event_log(self) -> str:
+        return f"{self.root}/event_log"
+
+
+def refresh_domain(spark: SparkSession, product: Product, domain: Domain, update: str, at: datetime) -> None:
+    """New files to bronze to silver and rejected; rule counts go to the event log."""
+    layout = product.layout(domain)
+    flow.finish(flow.land(spark, product.sources[domain.name], domain.declared, layout, as_of=at))
+    counts = flow.finish(flow.refine(
+        spark, layout, flow.bronze_schema(domain.declared), domain.transform, domain.rules, mode=product.mode))
+    events = update_events(spark, domain.pipeline, update, f"{domain.name}_silver", domain.rules, counts, at)
+    events.write.mode("append").parquet(product.event_log)
+
+
+def domain_tables(spark: SparkSession, product: Product, domain: Domain) -> tuple[DataFrame, Split]:
+    schema = flow.bronze_schema(domain.declared)
+    bronze = spark.read.schema(schema).parquet(product.layout(domain).bronze)
+    routed = route(domain.transform(bronze), domain.rules, product.mode).schema
+    return bronze, flow.tables(spark, product.layout(domain), routed)
+
+
+def readiness(spark: SparkSession, product: Product, run_id: str, as_of: Moment = None) -> DataFrame:
+    """Direct checks of both domains and the expectation results of their latest updates."""
+    found = []
+    for domain in DOMAINS:
+        bronze, sides = domain_tables(spark, product, domain)
+        found.append(C.to_run_log(silver_results(
+            domain.contract, sides.silver, bronze, sides.rejected, run_id=run_id, pipeline=domain.pipeline,
+            freshness_hours=product.freshness_hours, as_of=as_of)))
+    events = spark.read.parquet(product.event_log)
+    found.append(expectation_checks(events, run_id, as_of, [d.pipeline for d in DOMAINS]))
+    return reduce(DataFrame.unionByName, found)
+
+
+def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_sha: str | None = None,
+                job_run_url: str | None = None, now: datetime | None = None) -> None:
+    """One complete run. Raises the first error after the outcome has been logged.
+
+    Both domains run side by side; each later step needs the ones before it.
+    ``now`` fixes the run's clock; by default it is the time of each step.
+    """
+    at = now or datetime.now(timezone.utc)
+    as_of = None if now is None else moment(now)
+    ensure_logs(spark, product.schema)
+    view = qualified(product.schema, SUMMARY)
+    done: list[tuple[str, int, str, str, str | None]] = []
+    errors: list[Exception] = []
+
+    def attempt(order: int, key: str, action: Callable[[], None]) -> None:
+        try:
+            action()
+            done.append((job_run_id, order, key, SUCCEEDED, None))
+        except Exception as error:  # recorded as the task's outcome and raised at the end
+            errors.append(error)
+            done.append((job_run_id, order, key, FAILED, str(error)))
+
+    def check_silver() -> None:
+        log_and_gate(readiness(spark, product, f"{job_run_id}-silver", as_of), product.schema, f"{job_run_id}-silver")
+
+    def build_summary() -> None:
+        customers, orders = (domain_tables(spark, product, d)[1].silver for d in DOMAINS)
+        refresh_summary(customers, orders, f"{product.root}/{SUMMARY}", view)
+
+    def check_summary() -> None:
+        results = summary_results(spark.read.table(view), run_id=f"{job_run_id}-gold", as_of=as_of)
+        log_and_gate(results, product.schema, f"{job_run_id}-gold", contract_log=True)
+
+    with ThreadPoolExecutor(len(DOMAINS)) as pool:
+        for order, domain in enumerate(DOMAINS):
+            pool.submit(attempt, order, f"run_{domain.name}",
+                        lambda d=domain: refresh_domain(spark, product, d, job_run_id, at))
+    for order, (key, action) in enumerate((
+        ("validate_silver_readiness", check_silver), ("run_gold", build_summary),
+        ("validate_gold_contract", check_summary),
+    ), start=len(DOMAINS)):
+        if not errors:
+            attempt(order, key, action)
+
+    recorded = now or datetime.now(timezone.utc)
+    runs = spark.createDataFrame(
+        [(job_run_id, recorded, product.catalog, product.schema, product.target, git_sha, at, job_run_url)], RUN_TYPE)
+    finalize(spark, product.schema, runs, spark.createDataFrame(done, TASK_TYPE))
+    if errors:
+        raise errors[0]

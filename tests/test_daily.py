@@ -212,6 +212,50 @@ def test_logs_gates_and_views(spark, folder, schema):
     assert spark.table("shop.ops_contract_check_history_v").columns == list(C.CONTRACT_LOG_COLUMNS)
 
 
+def product(folder, **options):
+    return daily.Product({"customers": f"{folder}/customers", "orders": f"{folder}/orders"}, f"{folder}/tables", "shop", **options)
+
+
+def job_rows(spark):
+    return {r.job_run_id: (r.overall_status, r.failed_task_key) for r in spark.table("shop.ops_run_history_v").collect()}
+
+
+def test_whole_runs(spark, folder, schema):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", ORDER_CSV)
+    daily.run_product(spark, product(folder), "1", git_sha="abc", now=NOON)
+    assert job_rows(spark) == {"1": ("SUCCESS", None)}
+    first = {r.customer_id: r.order_count for r in spark.table("shop.customer_order_summary").collect()}
+    assert first == {"p01": 2, "p02": 3, "p03": 1, "p04": 1, "p05": 0}
+    log = spark.table("shop.ops_pipeline_run_history_v")
+    kinds = {(r.pipeline_name, r.check_type): r["count"] for r in log.groupBy("pipeline_name", "check_type").count().collect()}
+    assert kinds == {("customers_pipeline", "direct"): 3, ("orders_pipeline", "direct"): 3, ("gold_pipeline", "direct"): 4,
+                     ("customers_pipeline", "expectation"): 3, ("orders_pipeline", "expectation"): 4}
+    assert spark.table("shop.ops_contract_check_history_v").filter("status = 'PASS'").count() == 4
+
+    land(folder, "orders", ORDER_CSV.replace("q0", "r0"))  # only the new file is taken
+    daily.run_product(spark, product(folder), "2", now=NOON + timedelta(hours=1))
+    second = {r.customer_id: r.order_count for r in spark.table("shop.customer_order_summary").collect()}
+    assert second == {k: 2 * n for k, n in first.items()}
+
+    # A gate stops the run before the summary is rebuilt, and the run is on record.
+    with pytest.raises(C.CheckFailed, match="silver_freshness"):
+        daily.run_product(spark, product(folder), "3", now=NOON + timedelta(days=20))
+    assert job_rows(spark) == {"1": ("SUCCESS", None), "2": ("SUCCESS", None), "3": ("FAILED", "validate_silver_readiness")}
+    board = spark.table("shop.ops_current_status_v").first()
+    assert (board.job_run_id, board.dashboard_status) == ("3", "FAILED")
+    assert "silver_freshness" in board.failure_message
+
+
+def test_fail_mode_run_halts_and_is_recorded(spark, folder, schema):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", ORDER_CSV)
+    with pytest.raises(Exception, match="quality rule violated"):
+        daily.run_product(spark, product(folder, mode="fail"), "9", now=NOON)
+    assert job_rows(spark) == {"9": ("FAILED", "run_customers")}
+    assert not spark.catalog.tableExists("shop.customer_order_summary")
+
+
 @pytest.mark.parametrize("status, hours, shown", [
     ("SUCCESS", 1, "HEALTHY"), ("SUCCESS", 49, "STALE"), ("FAILED", 99, "FAILED"), ("WARNING", 99, "WARNING"),
     ("UNKNOWN", 1, "UNKNOWN"), (None, 1, "UNKNOWN")])
