@@ -7,6 +7,7 @@ every rule and status has rows on both sides.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 INGEST_TIME = "2001-08-01 12:00:00"
 
@@ -29,10 +30,10 @@ def customers_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_columns(df: DataFrame) -> DataFrame:
-    """Bronze columns without lineage, from rows of the orders table."""
-    return df.filter("o_custkey % 20 <> 0").selectExpr(
+    """Bronze columns without lineage. Every twentieth customer's orders go to the next one, so some have none."""
+    return df.selectExpr(
         "cast(o_orderkey as string) AS order_id",
-        "cast(o_custkey as string) AS customer_id",
+        "cast(if(o_custkey % 20 = 0, o_custkey + 1, o_custkey) as string) AS customer_id",
         "CASE WHEN o_orderkey % 50 = 11 THEN NULL WHEN o_orderkey % 15 = 9 "
         "THEN -cast(o_totalprice AS decimal(10,2)) ELSE cast(o_totalprice AS decimal(10,2)) END AS amount",
         "o_orderdate AS order_date",
@@ -105,23 +106,25 @@ def contract_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fourth event starts a run, which lasts up to two hours."""
-    return table(spark, sf_dir, "events").filter("event_id % 4 = 0").selectExpr(
-        "cast(event_id div 4 AS string) AS job_run_id",
-        "ts + make_dt_interval(0, 0, 0, event_id % 7200) AS recorded_at",
+    """Four events make a run: it starts with the first and is recorded up to an hour after the last."""
+    runs = table(spark, sf_dir, "events").groupBy(F.expr("event_id div 4").alias("run")).agg(
+        F.min("ts").alias("started_at"), F.max("ts").alias("last_at"))
+    return runs.selectExpr(
+        "cast(run AS string) AS job_run_id",
+        "last_at + make_dt_interval(0, 0, 0, run % 3600) AS recorded_at",
         "'shop' AS catalog_name",
-        "element_at(array('dev', 'pr', 'prod'), cast(user_id % 3 AS int) + 1) AS schema_name",
-        "element_at(array('dev', 'pr', 'prod'), cast(user_id % 3 AS int) + 1) AS bundle_target",
-        "CASE WHEN event_id % 9 <> 0 THEN substring(md5(cast(event_id AS string)), 1, 7) END AS git_sha",
-        "ts AS started_at",
-        "concat('https://jobs.example/runs/', event_id div 4) AS job_run_url",
+        "element_at(array('dev', 'pr', 'prod'), cast(run % 3 AS int) + 1) AS schema_name",
+        "element_at(array('dev', 'pr', 'prod'), cast(run % 3 AS int) + 1) AS bundle_target",
+        "CASE WHEN run % 9 <> 0 THEN substring(md5(cast(run AS string)), 1, 7) END AS git_sha",
+        "started_at",
+        "concat('https://jobs.example/runs/', run) AS job_run_url",
     )
 
 
 def task_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four events of a run as its tasks, the last one the finalizer; every 50th run has none."""
-    return table(spark, sf_dir, "events").filter("(event_id div 4) % 50 <> 0").selectExpr(
-        "cast(event_id div 4 AS string) AS job_run_id",
+    """The four events of a run as its tasks, the last one the finalizer; tasks of every 50th run name no known run."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "concat(if((event_id div 4) % 50 = 0, 'unlisted-', ''), event_id div 4) AS job_run_id",
         "cast(event_id % 4 AS int) AS ord",
         "element_at(array('run_customers', 'run_orders', 'run_gold', 'finalize_ops_status'), "
         "cast(event_id % 4 AS int) + 1) AS task_key",
@@ -136,13 +139,13 @@ def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").filter("o_orderkey % 17 <> 3").selectExpr(
-        "o_orderkey", "o_custkey", "CASE WHEN o_orderkey % 13 = 4 THEN 'X' ELSE o_orderstatus END AS o_orderstatus",
+    return table(spark, sf_dir, "orders").selectExpr(
+        "if(o_orderkey % 17 = 3, -o_orderkey, o_orderkey) AS o_orderkey", "o_custkey", "CASE WHEN o_orderkey % 13 = 4 THEN 'X' ELSE o_orderstatus END AS o_orderstatus",
         "CASE WHEN o_orderkey % 29 <> 6 THEN o_totalprice END AS o_totalprice",
     )
 
 
 def orders_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").filter("o_orderkey % 19 <> 5").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
+    return table(spark, sf_dir, "orders").selectExpr(
+        "if(o_orderkey % 19 = 5, -o_orderkey - 1, o_orderkey) AS o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
     )

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from assayworks.functions.clock import Moment, moment
+from assayworks.functions.clock import Moment, days_before, moment
 from assayworks.operators import checks as C
 from assayworks.operators.contract import Contract
 from assayworks.operators.eventlog import expectation_checks, update_events
@@ -25,7 +25,7 @@ from assayworks.operators.routing import Split, route
 from assayworks.operators.rules import Mode, Rule
 from assayworks.operators.status import run_outcomes
 from assayworks.plans import customer_orders as P
-from assayworks.sources.tables import append_log, define_views, ensure_logs, publish, qualified, status_views
+from assayworks.sources.tables import DAY, append_log, define_views, ensure_logs, publish, qualified, status_views
 from assayworks.streaming import flow
 
 # Pipeline and table names, and the states of finished tasks.
@@ -80,10 +80,12 @@ def summary_results(summary: DataFrame, *, run_id: str, as_of: Moment = None) ->
                  table=contract.table, as_of=as_of)
 
 
-def log_and_gate(results: DataFrame, schema: str, run_id: str, contract_log: bool = False) -> None:
+def log_and_gate(results: DataFrame, schema: str, run_id: str, contract_log: bool = False,
+                 as_of: Moment = None) -> None:
     """Appends check rows to the logs, then raises if a direct check among this run's rows failed.
 
-    The gate reads the rows back from the log, so the checks run once.
+    The gate reads the rows back from the log, so the checks run once. It reads the
+    log's days since the one before ``as_of``, which covers a run across midnight.
     """
     if contract_log:
         results = results.persist()  # two log writes over as many rows as there are checks
@@ -92,7 +94,8 @@ def log_and_gate(results: DataFrame, schema: str, run_id: str, contract_log: boo
         append_log(results, schema, "ops_contract_check_log")
         results.unpersist()
     logged = results.sparkSession.read.table(qualified(schema, "ops_pipeline_run_log"))
-    C.gate(logged.filter((F.col("run_id") == run_id) & (F.col("check_type") == C.DIRECT)))
+    recent = logged.filter(F.col(DAY) >= days_before(as_of, 1))
+    C.gate(recent.filter((F.col("run_id") == run_id) & (F.col("check_type") == C.DIRECT)))
 
 
 def refresh_summary(customers: DataFrame, orders: DataFrame, root: str, view: str | None = None) -> str:
@@ -100,9 +103,15 @@ def refresh_summary(customers: DataFrame, orders: DataFrame, root: str, view: st
     return publish(P.customer_order_summary(customers, orders), root, view)
 
 
-def finalize(spark: SparkSession, schema: str, runs: DataFrame, tasks: DataFrame) -> None:
-    """Logs the outcome of finished runs and redefines the serving views."""
+def finalize(spark: SparkSession, schema: str, runs: DataFrame, tasks: DataFrame,
+             since: datetime | None = None) -> None:
+    """Logs the outcome of finished runs and redefines the serving views.
+
+    ``since``, the earliest start of the runs, limits the days of the check log that are read.
+    """
     checks = spark.read.table(qualified(schema, "ops_pipeline_run_log"))
+    if since is not None:
+        checks = checks.filter(F.col(DAY) >= days_before(since, 1))
     append_log(run_outcomes(runs, tasks, checks), schema, "ops_job_run_log")
     define_views(spark, schema, status_views(schema))
 
@@ -121,23 +130,26 @@ class Product:
     freshness_hours: float = 168
     catalog: str = "spark_catalog"
     target: str = "dev"
+    max_files_per_trigger: int | None = None  # smaller micro-batches, less to redo after a failure
 
     def layout(self, domain: Domain) -> flow.Layout:
         return flow.Layout(f"{self.root}/{domain.name}")
 
-    @property
-    def event_log(self) -> str:
-        return f"{self.root}/event_log"
+    def event_log(self, domain: Domain) -> str:
+        """One folder per domain: the domains append at the same time, and Spark jobs must not share a target."""
+        return f"{self.root}/event_log/{domain.name}"
 
 
 def refresh_domain(spark: SparkSession, product: Product, domain: Domain, update: str, at: datetime) -> None:
     """New files to bronze to silver and rejected; rule counts go to the event log."""
     layout = product.layout(domain)
-    flow.finish(flow.land(spark, product.sources[domain.name], domain.declared, layout, as_of=at))
+    flow.finish(flow.land(spark, product.sources[domain.name], domain.declared, layout, as_of=at,
+                          max_files_per_trigger=product.max_files_per_trigger))
     counts = flow.finish(flow.refine(
-        spark, layout, flow.bronze_schema(domain.declared), domain.transform, domain.rules, mode=product.mode))
+        spark, layout, flow.bronze_schema(domain.declared), domain.transform, domain.rules, mode=product.mode,
+        max_files_per_trigger=product.max_files_per_trigger))
     events = update_events(spark, domain.pipeline, update, f"{domain.name}_silver", domain.rules, counts, at)
-    events.write.mode("append").parquet(product.event_log)
+    events.write.mode("append").parquet(product.event_log(domain))
 
 
 def domain_tables(spark: SparkSession, product: Product, domain: Domain) -> tuple[DataFrame, Split]:
@@ -155,7 +167,7 @@ def readiness(spark: SparkSession, product: Product, run_id: str, as_of: Moment
         found.append(C.to_run_log(silver_results(
             domain.contract, sides.silver, bronze, sides.rejected, run_id=run_id, pipeline=domain.pipeline,
             freshness_hours=product.freshness_hours, as_of=as_of)))
-    events = spark.read.parquet(product.event_log)
+    events = spark.read.parquet(*[product.event_log(d) for d in DOMAINS])
     found.append(expectation_checks(events, run_id, as_of, [d.pipeline for d in DOMAINS]))
     return reduce(DataFrame.unionByName, found)
 
@@ -183,15 +195,17 @@ def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_s
             done.append((job_run_id, order, key, FAILED, str(error)))
 
     def check_silver() -> None:
-        log_and_gate(readiness(spark, product, f"{job_run_id}-silver", as_of), product.schema, f"{job_run_id}-silver")
+        run_id = f"{job_run_id}-silver"
+        log_and_gate(readiness(spark, product, run_id, as_of), product.schema, run_id, as_of=as_of)
 
     def build_summary() -> None:
         customers, orders = (domain_tables(spark, product, d)[1].silver for d in DOMAINS)
         refresh_summary(customers, orders, f"{product.root}/{SUMMARY}", view)
 
     def check_summary() -> None:
-        results = summary_results(spark.read.table(view), run_id=f"{job_run_id}-gold", as_of=as_of)
-        log_and_gate(results, product.schema, f"{job_run_id}-gold", contract_log=True)
+        run_id = f"{job_run_id}-gold"
+        results = summary_results(spark.read.table(view), run_id=run_id, as_of=as_of)
+        log_and_gate(results, product.schema, run_id, contract_log=True, as_of=as_of)
 
     with ThreadPoolExecutor(len(DOMAINS)) as pool:
         for order, domain in enumerate(DOMAINS):
@@ -207,6 +221,6 @@ def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_s
     recorded = now or datetime.now(timezone.utc)
     runs = spark.createDataFrame(
         [(job_run_id, recorded, product.catalog, product.schema, product.target, git_sha, at, job_run_url)], RUN_TYPE)
-    finalize(spark, product.schema, runs, spark.createDataFrame(done, TASK_TYPE))
+    finalize(spark, product.schema, runs, spark.createDataFrame(done, TASK_TYPE), since=at)
     if errors:
         raise errors[0]

@@ -31,14 +31,15 @@ customers_bad AS (
 
 ORDERS_BRONZE = """
 orders_bronze AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+         CAST(CASE WHEN o_custkey % 20 = 0 THEN o_custkey + 1 ELSE o_custkey END AS VARCHAR) AS customer_id,
          CASE WHEN o_orderkey % 50 = 11 THEN NULL
               WHEN o_orderkey % 15 = 9 THEN -CAST(o_totalprice AS DECIMAL(10,2))
               ELSE CAST(o_totalprice AS DECIMAL(10,2)) END AS amount,
          o_orderdate AS order_date,
          CASE WHEN o_orderkey % 15 <> 10 THEN ' ' || lower(o_orderstatus) || ' ' END AS status,
          'landing/orders' AS _source_file, o_orderdate AS _ingested_at
-  FROM orders WHERE o_custkey % 20 <> 0)"""
+  FROM orders)"""
 
 ORDERS = ORDERS_BRONZE + """,
 orders_candidates AS (
@@ -93,12 +94,12 @@ contract_log AS (
 
 RUNS = CHECK_LOG + """,
 job_runs AS (
-  SELECT CAST(event_id // 4 AS VARCHAR) AS job_run_id, ts + to_seconds(event_id % 7200) AS recorded_at,
-         'shop' AS catalog_name, (['dev', 'pr', 'prod'])[user_id % 3 + 1] AS schema_name,
-         (['dev', 'pr', 'prod'])[user_id % 3 + 1] AS bundle_target,
-         CASE WHEN event_id % 9 <> 0 THEN substr(md5(CAST(event_id AS VARCHAR)), 1, 7) END AS git_sha,
-         ts AS started_at, 'https://jobs.example/runs/' || (event_id // 4) AS job_run_url
-  FROM events WHERE event_id % 4 = 0),
+  SELECT CAST(run AS VARCHAR) AS job_run_id, last_at + to_seconds(run % 3600) AS recorded_at,
+         'shop' AS catalog_name, (['dev', 'pr', 'prod'])[run % 3 + 1] AS schema_name,
+         (['dev', 'pr', 'prod'])[run % 3 + 1] AS bundle_target,
+         CASE WHEN run % 9 <> 0 THEN substr(md5(CAST(run AS VARCHAR)), 1, 7) END AS git_sha,
+         started_at, 'https://jobs.example/runs/' || run AS job_run_url
+  FROM (SELECT event_id // 4 AS run, min(ts) AS started_at, max(ts) AS last_at FROM events GROUP BY 1)),
 tasks AS (
   SELECT CAST(event_id // 4 AS VARCHAR) AS job_run_id, event_id % 4 AS ord,
          (['run_customers', 'run_orders', 'run_gold', 'finalize_ops_status'])[event_id % 4 + 1] AS task_key,
@@ -399,11 +400,11 @@ ORACLES: dict[str, str] = {
         SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS "__END_AT", ts AS "__START_AT" FROM changes""",
     "scd2_active": f"""WITH {VERSIONS} SELECT * FROM versions WHERE event_type <> 'error' AND "__END_AT" IS NULL""",
     "snapshot_diff": """
-        WITH before AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 13 = 4 THEN 'X' ELSE o_orderstatus END AS st,
+        WITH before AS (SELECT CASE WHEN o_orderkey % 17 = 3 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, o_custkey, CASE WHEN o_orderkey % 13 = 4 THEN 'X' ELSE o_orderstatus END AS st,
                                CASE WHEN o_orderkey % 29 <> 6 THEN o_totalprice END AS price
-                        FROM orders WHERE o_orderkey % 17 <> 3),
-        after AS (SELECT o_orderkey, o_custkey, o_orderstatus AS st, o_totalprice AS price
-                  FROM orders WHERE o_orderkey % 19 <> 5)
+                        FROM orders),
+        after AS (SELECT CASE WHEN o_orderkey % 19 = 5 THEN -o_orderkey - 1 ELSE o_orderkey END AS o_orderkey, o_custkey,
+                         o_orderstatus AS st, o_totalprice AS price FROM orders)
         SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey,
                CASE WHEN b.o_orderkey IS NULL THEN 'I' WHEN a.o_orderkey IS NULL THEN 'D'
                     WHEN b.o_custkey IS DISTINCT FROM a.o_custkey OR b.st IS DISTINCT FROM a.st

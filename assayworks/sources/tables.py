@@ -45,8 +45,8 @@ def ensure_logs(spark: SparkSession, schema: str) -> None:
 def append_log(rows: DataFrame, schema: str, name: str) -> None:
     """Appends rows computed by a query; they go from executors to storage."""
     _, time_column = LOGS[name]
-    columns = [c.split()[0] for c in LOGS[name][0].split(", ")]
-    table = rows.select(*columns, F.col(time_column).cast("date").alias(DAY))
+    columns = [F.col(c).cast(kind).alias(c) for c, kind in (d.split() for d in LOGS[name][0].split(", "))]
+    table = rows.select(*columns).withColumn(DAY, F.col(time_column).cast("date"))
     table.write.mode("append").insertInto(qualified(schema, name))
 
 
@@ -54,7 +54,8 @@ def publish(df: DataFrame, root: str, view: str | None = None) -> str:
     """Replaces a materialised table: write a new version folder, then point the view at it.
 
     Readers see the old version until the write has succeeded, and running queries
-    keep the files they started with. Returns the path of the new version.
+    keep the files they started with. Returns the path of the new version. Old versions stay until
+    someone who knows their readers removes them.
     """
     path = f"{root.rstrip('/')}/version={uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)

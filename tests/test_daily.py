@@ -182,18 +182,18 @@ def test_logs_gates_and_views(spark, folder, schema):
     audit = lambda run_id, as_of: daily.silver_results(
         P.ORDERS_CONTRACT, sides.silver, bronze, sides.rejected, run_id=run_id, pipeline="orders_pipeline",
         freshness_hours=168, as_of=as_of)
-    daily.log_and_gate(audit("1", NOON), schema, "1")
+    daily.log_and_gate(audit("1", NOON), schema, "1", as_of=NOON)
     with pytest.raises(C.CheckFailed, match="silver_freshness"):
-        daily.log_and_gate(audit("2", NOON + timedelta(days=9)), schema, "2")
+        daily.log_and_gate(audit("2", NOON + timedelta(days=9)), schema, "2", as_of=NOON + timedelta(days=9))
     assert spark.table("shop.ops_pipeline_run_log").groupBy("run_id").count().count() == 2  # also the failed run
-    daily.log_and_gate(audit("3", NOON), schema, "3")  # an older failure does not block a newer run
+    daily.log_and_gate(audit("3", NOON), schema, "3", as_of=NOON)  # an older failure does not block a newer run
 
     customers = P.customers_silver(landing.to_bronze(
         landing.read_csv(spark, land(folder, "c", CUSTOMER_CSV), P.CUSTOMERS_LANDING), P.CUSTOMERS_LANDING, NOON))
     path = daily.refresh_summary(customers, sides.silver, f"{folder}/summary", "shop.customer_order_summary")
     before = spark.table("shop.customer_order_summary")
     assert before.count() == 7
-    daily.log_and_gate(daily.summary_results(before, run_id="4", as_of=NOON), schema, "4", contract_log=True)
+    daily.log_and_gate(daily.summary_results(before, run_id="4", as_of=NOON), schema, "4", contract_log=True, as_of=NOON)
     assert spark.table("shop.ops_contract_check_log").count() == 4
     other = daily.refresh_summary(customers.limit(2), sides.silver, f"{folder}/summary", "shop.customer_order_summary")
     assert other != path and spark.table("shop.customer_order_summary").count() == 2
