@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayworks.functions.clock import Moment, moment
-from assayworks.functions.text import list_text
+from assayworks.functions.text import list_text, one_decimal
 
 # Statuses, check types and log columns.
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
@@ -96,12 +96,12 @@ def freshness(column: str, limit_hours: float, name: str = "silver_freshness") -
     def verdict(m: Mapping[str, str]) -> Verdict:
         newest = m["newest"]
         age = f"((unix_timestamp(now) - unix_timestamp({newest})) / 3600D)"
-        told = f"concat({_quoted(f'Most recent {column} is ')}, format_string('%.1f', {age}), 'h ago')"
+        told = f"concat({_quoted(f'Most recent {column} is ')}, {one_decimal(age)}, 'h ago')"
         late = f"concat({told}, {_quoted(f' (threshold: {limit_hours}h)')})"
         absent = f"{newest} IS NULL"
         return _decide(f"({absent} OR {age} > {limit_hours})",
                        f"IF({absent}, {_quoted(f'{column} is null')}, {late})", told,
-                       f"IF({absent}, NULL, format_string('%.1f', {age}))", f"<= {limit_hours}")
+                       f"IF({absent}, NULL, {one_decimal(age)})", f"<= {limit_hours}")
     return Check(name, verdict, {"newest": f"max({_named(column)})"}, needs=(column,))
 
 
@@ -162,7 +162,7 @@ def rejection_ratio(bronze: DataFrame, rejected: DataFrame, threshold: float,
     def verdict(m: Mapping[str, str]) -> Verdict:
         landed, bad = m["bronze"], m["rejected"]
         ratio = f"try_divide({bad}, {landed})"
-        share = f"format_string('%.1f%%', 100 * {ratio})"
+        share = f"concat({one_decimal(f'{ratio} * 100')}, '%')"
         empty = f"{landed} = 0"
         return Verdict(
             f"CASE WHEN {empty} THEN '{WARN}' WHEN {ratio} > {threshold}D THEN '{FAIL}' ELSE '{PASS}' END",

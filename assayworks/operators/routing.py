@@ -90,11 +90,12 @@ def split(df: DataFrame, rules: Sequence[Rule], mode: Mode = "drop",
     """Two lazy frames over the same input.
 
     Each is a scan with a filter and no shuffle. To materialise both sides in one
-    pass, write route() partitioned by its route column instead.
+    pass, write route() partitioned by its route column instead. The mode only concerns
+    silver: in "fail" mode reading it aborts, while rejected still shows the offending rows.
     """
     grading = grade(rules, mode)
     checked = enforce(df, grading.abort, null_policy)
-    return Split(accepted(checked, grading.drop, null_policy), rejected(df, grading.drop, null_policy))
+    return Split(accepted(checked, grading.drop, null_policy), rejected(df, rules, null_policy))
 
 
 def route(df: DataFrame, rules: Sequence[Rule], mode: Mode = "drop",

@@ -25,6 +25,7 @@ from assayworks.operators.routing import Split, route
 from assayworks.operators.rules import Mode, Rule
 from assayworks.operators.status import run_outcomes
 from assayworks.plans import customer_orders as P
+from assayworks.sources.landing import BatchLimit
 from assayworks.sources.tables import DAY, append_log, define_views, ensure_logs, publish, qualified, status_views
 from assayworks.streaming import flow
 
@@ -130,7 +131,7 @@ class Product:
     freshness_hours: float = 168
     catalog: str = "spark_catalog"
     target: str = "dev"
-    max_files_per_trigger: int | None = None  # smaller micro-batches, less to redo after a failure
+    batch: BatchLimit | None = None
 
     def layout(self, domain: Domain) -> flow.Layout:
         return flow.Layout(f"{self.root}/{domain.name}")
@@ -144,10 +145,10 @@ def refresh_domain(spark: SparkSession, product: Product, domain: Domain, update
     """New files to bronze to silver and rejected; rule counts go to the event log."""
     layout = product.layout(domain)
     flow.finish(flow.land(spark, product.sources[domain.name], domain.declared, layout, as_of=at,
-                          max_files_per_trigger=product.max_files_per_trigger))
+                          batch=product.batch))
     counts = flow.finish(flow.refine(
         spark, layout, flow.bronze_schema(domain.declared), domain.transform, domain.rules, mode=product.mode,
-        max_files_per_trigger=product.max_files_per_trigger))
+        batch=product.batch))
     events = update_events(spark, domain.pipeline, update, f"{domain.name}_silver", domain.rules, counts, at)
     events.write.mode("append").parquet(product.event_log(domain))
 

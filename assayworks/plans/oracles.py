@@ -159,11 +159,6 @@ REASONS = """concat_ws(', ', CASE WHEN value <= 5 THEN 'value_over_five' END,
                      CASE WHEN event_type = 'error' THEN 'no_errors' END)"""
 
 
-def _rows(*rows: tuple[str, ...], columns: str) -> str:
-    """Check rows as VALUES; every entry is SQL text."""
-    return "(VALUES " + ", ".join("(" + ", ".join(r) + ")" for r in rows) + f") AS t({columns})"
-
-
 def _silver_log(table: str, kept: str, bad: str, bronze: str, hours: int, pipeline: str) -> str:
     return f"""
 m AS (SELECT (SELECT count(*) FROM {kept}) AS n,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -12,6 +14,14 @@ from assayworks.functions.clock import Moment, moment
 SOURCE_FILE, INGESTED_AT = "_source_file", "_ingested_at"
 
 
+@dataclass(frozen=True)
+class BatchLimit:
+    """How much one micro-batch may take: a number of files or of bytes. Less per batch is less to redo."""
+
+    files: int | None = None
+    size: int | None = None
+
+
 def _options(header: bool, strict_header: bool, corrupt_column: str | None) -> dict[str, str]:
     options = {"header": str(header).lower(), "enforceSchema": str(not strict_header).lower()}
     if corrupt_column:
@@ -45,24 +55,26 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *, header: bool
 
 def stream_csv(spark: SparkSession, path: str, schema: StructType, *, header: bool = True,
                strict_header: bool = False, corrupt_column: str | None = None,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               batch: BatchLimit | None = None) -> DataFrame:
     """The same as a stream. Files already taken are known from the query's checkpoint."""
     reader = (
-        spark.readStream.options(**_options(header, strict_header, corrupt_column))
+        spark.readStream.options(**_options(header, strict_header, corrupt_column), **_limit(batch))
         .schema(_full_schema(schema, corrupt_column))
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)
 
 
+def _limit(batch: BatchLimit | None) -> dict[str, str]:
+    if batch is None:
+        return {}
+    wanted = {"maxFilesPerTrigger": batch.files, "maxBytesPerTrigger": batch.size}
+    return {option: str(value) for option, value in wanted.items() if value is not None}
+
+
 def stream_table(spark: SparkSession, path: str, schema: StructType, *,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 batch: BatchLimit | None = None) -> DataFrame:
     """New Parquet files of an upstream table as a stream."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    return spark.readStream.schema(schema).options(**_limit(batch)).parquet(path)
 
 
 def to_bronze(df: DataFrame, schema: StructType, as_of: Moment = None,

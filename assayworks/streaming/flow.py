@@ -20,7 +20,14 @@ from pyspark.sql.types import StringType, StructType, TimestampType
 from assayworks.functions.clock import Moment
 from assayworks.operators.routing import ROUTE, Split, observed, route, routed_split
 from assayworks.operators.rules import Mode, NullPolicy, Rule
-from assayworks.sources.landing import INGESTED_AT, SOURCE_FILE, stream_csv, stream_table, to_bronze
+from assayworks.sources.landing import (
+    INGESTED_AT,
+    SOURCE_FILE,
+    BatchLimit,
+    stream_csv,
+    stream_table,
+    to_bronze,
+)
 
 METRICS = "quality"
 
@@ -60,17 +67,17 @@ def append_available(df: DataFrame, path: str, checkpoint: str,
 
 
 def land(spark: SparkSession, source: str, declared: StructType, layout: Layout, *,
-         as_of: Moment = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+         as_of: Moment = None, batch: BatchLimit | None = None) -> StreamingQuery:
     """New CSV files to bronze."""
-    raw = stream_csv(spark, source, declared, max_files_per_trigger=max_files_per_trigger)
+    raw = stream_csv(spark, source, declared, batch=batch)
     return append_available(to_bronze(raw, declared, as_of), layout.bronze, layout.checkpoint("bronze"))
 
 
 def refine(spark: SparkSession, layout: Layout, bronze: StructType, transform: Callable[[DataFrame], DataFrame],
            rules: Sequence[Rule], *, mode: Mode = "drop", null_policy: NullPolicy = "pass",
-           source: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+           source: str | None = None, batch: BatchLimit | None = None) -> StreamingQuery:
     """New bronze rows to the routed table, with violation counts as observed metrics."""
-    rows = stream_table(spark, source or layout.bronze, bronze, max_files_per_trigger=max_files_per_trigger)
+    rows = stream_table(spark, source or layout.bronze, bronze, batch=batch)
     candidates = observed(transform(rows), rules, METRICS, null_policy)
     routed = route(candidates, rules, mode, null_policy)
     return append_available(routed, layout.routed, layout.checkpoint("routed"), [ROUTE])
@@ -83,7 +90,9 @@ def finish(query: StreamingQuery, timeout: int | None = None) -> list[dict[str,
     progress of the last spark.sql.streaming.numRecentProgressUpdates batches; when a run had
     more, earlier counts are gone and a warning says so (rule_metrics over the tables has them all).
     """
-    query.awaitTermination(timeout)
+    if query.awaitTermination(timeout) is False:
+        query.stop()
+        raise TimeoutError(f"stream did not finish within {timeout} s; it resumes from its checkpoint")
     progress = query.recentProgress
     kept = SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates")
     if len(progress) >= int(kept):

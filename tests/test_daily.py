@@ -127,9 +127,11 @@ def test_stream_equals_batch_and_takes_files_once(spark, folder):
 
     # A full refresh is a run into new folders over the same landing files.
     fresh = flow.Layout(f"{folder}/fresh")
-    flow.finish(flow.land(spark, path, P.ORDERS_LANDING, fresh, as_of=F.lit(NOON), max_files_per_trigger=1))
-    flow.finish(flow.refine(spark, fresh, flow.bronze_schema(P.ORDERS_LANDING), P.orders_silver, P.ORDER_RULES))
+    flow.finish(flow.land(spark, path, P.ORDERS_LANDING, fresh, as_of=F.lit(NOON), batch=landing.BatchLimit(files=1)))
+    flow.finish(flow.refine(spark, fresh, flow.bronze_schema(P.ORDERS_LANDING), P.orders_silver, P.ORDER_RULES,
+                            batch=landing.BatchLimit(size=1)))
     assert content(flow.tables(spark, fresh).silver) == content(sides.silver)
+    assert len(os.listdir(f"{fresh.checkpoint('routed')}/commits")) > 2  # a batch per file or so, and checksums
 
 
 def test_fail_mode_commits_nothing_and_can_resume(spark, folder):

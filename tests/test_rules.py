@@ -143,7 +143,10 @@ def test_fail_mode_aborts_on_invalid_rows_and_writes_nothing(spark, folder):
         R.route(silver, ORDER, "fail").write.partitionBy(R.ROUTE).parquet(f"{folder}/out")
     with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA|PATH_NOT_FOUND"):
         spark.read.parquet(f"{folder}/out").count()
-    assert R.split(silver, ORDER, "fail").rejected.count() == 0
+    sides = R.split(silver, ORDER, "fail")
+    assert values(sides.rejected, "order_id") == ["2"]  # the offenders can still be looked at
+    with pytest.raises(Exception, match="positive_amount"):
+        sides.silver.count()
 
 
 def test_observed_counts_ride_on_a_write(spark):
