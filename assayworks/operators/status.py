@@ -82,7 +82,8 @@ def _with_last_warning(runs: DataFrame, checks: DataFrame) -> DataFrame:
     line = runs.select(F.col("recorded_at").alias("_at"), F.struct("*").alias("_run")).unionByName(
         warnings.select("_at", F.lit(None).cast(runs.select(F.struct("*")).schema[0].dataType).alias("_run"))
     )
-    seen = last_marked(line, "_at", F.col("_run").isNull(), "_warned_at")
+    hour = F.date_trunc("hour", "_at").cast("timestamp_ntz")
+    seen = last_marked(line, "_at", F.col("_run").isNull(), "_warned_at", hour)
     return seen.filter(F.col("_run").isNotNull()).select("_run.*", "_warned_at")
 
 
