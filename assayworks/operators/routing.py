@@ -27,6 +27,7 @@ REASON_SEPARATOR = ", "
 DROPPED_SEVERITY = "business_invalid"
 
 ROUTE = "_route"
+STAMP = "_stamp"
 SILVER = "silver"
 REJECTED = "rejected"
 
@@ -122,8 +123,8 @@ def route(df: DataFrame, rules: Sequence[Rule], mode: Mode = "drop",
 
 def routed_split(routed: DataFrame) -> Split:
     """Silver and rejected as views over a routed table; the filter prunes partitions."""
-    silver = routed.filter(F.col(ROUTE) == SILVER).drop(ROUTE, REASON, SEVERITY)
-    bad = routed.filter(F.col(ROUTE) == REJECTED).drop(ROUTE)
+    silver = routed.filter(F.col(ROUTE) == SILVER).drop(ROUTE, STAMP, REASON, SEVERITY)
+    bad = routed.filter(F.col(ROUTE) == REJECTED).drop(ROUTE, STAMP)
     return Split(silver, bad)
 
 

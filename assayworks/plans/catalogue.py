@@ -15,7 +15,7 @@ from assayworks.operators import routing as R
 from assayworks.operators import status as S
 from assayworks.operators.contract import Contract, ContractColumn
 from assayworks.operators.rules import Rule
-from assayworks.operators.summary import aggregate, fold, summarise
+from assayworks.operators.summary import summarise
 from assayworks.plans import adapters as A
 from assayworks.plans import customer_orders as P
 from assayworks.plans import daily
@@ -185,15 +185,9 @@ def part_supplier_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def order_totals_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Totals of the orders before 2001, folded with those of the later batch."""
-    orders, keys = _orders(spark, sf), ["customer_id"]
+    orders = _orders(spark, sf)
     early = F.col("order_date") < F.lit("2001-01-01").cast("timestamp_ntz")
-    state = aggregate(orders.filter(early), keys, P.order_measures())
-    batch = aggregate(orders.filter(~early), keys, P.order_measures())
-    return fold(state, batch, keys, {
-        "order_count": F.sum("order_count"),
-        "total_amount": F.sum("total_amount").cast("decimal(20,2)"),
-        "last_order_date": F.max("last_order_date"),
-    })
+    return P.order_totals(orders.filter(~early), before=P.order_totals(orders.filter(early)))
 
 
 # --- audits ------------------------------------------------------------------------------------

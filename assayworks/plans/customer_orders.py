@@ -10,7 +10,7 @@ from assayworks.functions.lookup import mapped
 from assayworks.functions.text import lower_case, title_case, upper_case
 from assayworks.operators.contract import Contract
 from assayworks.operators.rules import Rule
-from assayworks.operators.summary import summarise
+from assayworks.operators.summary import aggregate, fold, summarise
 from assayworks.sources.landing import INGESTED_AT, SOURCE_FILE
 
 # Landing columns, code table, rules and contract entries of the product.
@@ -143,6 +143,29 @@ def order_measures() -> dict:
     }
 
 
+def merged_measures() -> dict:
+    """Combines order measures of disjoint sets of orders."""
+    return {
+        "order_count": F.sum("order_count"),
+        "total_amount": F.sum("total_amount").cast("decimal(20,2)"),
+        "last_order_date": F.max("last_order_date"),
+    }
+
+
+def order_totals(orders: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Order measures per customer, added to those of earlier orders."""
+    fresh = aggregate(orders, ["customer_id"], order_measures())
+    return fresh if before is None else fold(before, fresh, ["customer_id"], merged_measures())
+
+
+def summary_of_totals(customers: DataFrame, totals: DataFrame) -> DataFrame:
+    """The summary from totals instead of orders."""
+    return summarise(
+        customers, totals, "customer_id", merged_measures(),
+        carry=["name_std", "email_std", "region"], zero=["order_count"],
+    )
+
+
 def customer_order_summary(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Every silver customer with number, sum and last date of its silver orders."""
     return summarise(

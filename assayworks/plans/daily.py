@@ -7,6 +7,7 @@ whatever happened, so a failed run is on record.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -21,17 +22,30 @@ from assayworks.functions.clock import Moment, days_before, moment
 from assayworks.operators import checks as C
 from assayworks.operators.contract import Contract
 from assayworks.operators.eventlog import expectation_checks, update_events
-from assayworks.operators.routing import Split, route
+from assayworks.operators.routing import STAMP, Split, route
 from assayworks.operators.rules import Mode, Rule
 from assayworks.operators.status import run_outcomes
 from assayworks.plans import customer_orders as P
 from assayworks.sources.landing import BatchLimit
-from assayworks.sources.tables import DAY, append_log, define_views, ensure_logs, publish, qualified, status_views
+from assayworks.sources.tables import (
+    DAY,
+    append_log,
+    current_version,
+    define_views,
+    ensure_logs,
+    pending_stamps,
+    publish,
+    qualified,
+    record_version,
+    register_stamp,
+    status_views,
+)
 from assayworks.streaming import flow
 
 # Pipeline and table names, and the states of finished tasks.
 GOLD_PIPELINE = "gold_pipeline"
 SUMMARY = "customer_order_summary"
+CUSTOMERS, ORDERS = "customers", "orders"
 SUCCEEDED, FAILED = "SUCCESS", "FAILED"
 RUN_TYPE = ("job_run_id string, recorded_at timestamp, catalog_name string, schema_name string, "
             "bundle_target string, git_sha string, started_at timestamp, job_run_url string")
@@ -54,8 +68,8 @@ class Domain:
 
 
 DOMAINS = (
-    Domain("customers", P.CUSTOMERS_LANDING, P.customers_silver, P.CUSTOMER_RULES, P.CUSTOMERS_CONTRACT),
-    Domain("orders", P.ORDERS_LANDING, P.orders_silver, P.ORDER_RULES, P.ORDERS_CONTRACT),
+    Domain(CUSTOMERS, P.CUSTOMERS_LANDING, P.customers_silver, P.CUSTOMER_RULES, P.CUSTOMERS_CONTRACT),
+    Domain(ORDERS, P.ORDERS_LANDING, P.orders_silver, P.ORDER_RULES, P.ORDERS_CONTRACT),
 )
 
 
@@ -143,21 +157,42 @@ class Product:
 
 def refresh_domain(spark: SparkSession, product: Product, domain: Domain, update: str, at: datetime) -> None:
     """New files to bronze to silver and rejected; rule counts go to the event log."""
-    layout = product.layout(domain)
+    layout, stamp = product.layout(domain), f"s-{uuid.uuid4().hex}"
+    if domain.name == ORDERS:  # before any row can carry it
+        register_stamp(spark, product.schema, stamp)
     flow.finish(flow.land(spark, product.sources[domain.name], domain.declared, layout, as_of=at,
                           batch=product.batch))
     counts = flow.finish(flow.refine(
         spark, layout, flow.bronze_schema(domain.declared), domain.transform, domain.rules, mode=product.mode,
-        batch=product.batch))
+        batch=product.batch, stamp=stamp))
     events = update_events(spark, domain.pipeline, update, f"{domain.name}_silver", domain.rules, counts, at)
     events.write.mode("append").parquet(product.event_log(domain))
 
 
-def domain_tables(spark: SparkSession, product: Product, domain: Domain) -> tuple[DataFrame, Split]:
+def domain_tables(spark: SparkSession, product: Product, domain: Domain,
+                  stamps: list[str] | None = None) -> tuple[DataFrame, Split]:
     schema = flow.bronze_schema(domain.declared)
     bronze = spark.read.schema(schema).parquet(product.layout(domain).bronze)
-    routed = route(domain.transform(bronze), domain.rules, product.mode).schema
-    return bronze, flow.tables(spark, product.layout(domain), routed)
+    routed = route(domain.transform(bronze), domain.rules, product.mode).schema.add(STAMP, "string")
+    return bronze, flow.tables(spark, product.layout(domain), routed, stamps)
+
+
+def update_summary(spark: SparkSession, product: Product, view: str) -> None:
+    """Refreshes the summary from the order totals so far and the orders added since.
+
+    Silver only grows and the measures add up, so history is not read again. A
+    version is recorded only after its folder is complete; a run that dies in between
+    leaves the orders pending for the next.
+    """
+    customers_domain, orders_domain = DOMAINS
+    pending, version = pending_stamps(spark, product.schema), current_version(spark, product.schema)
+    if pending:
+        orders = domain_tables(spark, product, orders_domain, pending)[1].silver
+        before = spark.read.parquet(version) if version else None
+        version = publish(P.order_totals(orders, before), f"{product.root}/order_totals")
+        record_version(spark, product.schema, version, pending)
+    customers = domain_tables(spark, product, customers_domain)[1].silver
+    publish(P.summary_of_totals(customers, spark.read.parquet(version)), f"{product.root}/{SUMMARY}", view)
 
 
 def readiness(spark: SparkSession, product: Product, run_id: str, as_of: Moment = None) -> DataFrame:
@@ -199,10 +234,6 @@ def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_s
         run_id = f"{job_run_id}-silver"
         log_and_gate(readiness(spark, product, run_id, as_of), product.schema, run_id, as_of=as_of)
 
-    def build_summary() -> None:
-        customers, orders = (domain_tables(spark, product, d)[1].silver for d in DOMAINS)
-        refresh_summary(customers, orders, f"{product.root}/{SUMMARY}", view)
-
     def check_summary() -> None:
         run_id = f"{job_run_id}-gold"
         results = summary_results(spark.read.table(view), run_id=run_id, as_of=as_of)
@@ -213,7 +244,7 @@ def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_s
             pool.submit(attempt, order, f"run_{domain.name}",
                         lambda d=domain: refresh_domain(spark, product, d, job_run_id, at))
     for order, (key, action) in enumerate((
-        ("validate_silver_readiness", check_silver), ("run_gold", build_summary),
+        ("validate_silver_readiness", check_silver), ("run_gold", lambda: update_summary(spark, product, view)),
         ("validate_gold_contract", check_summary),
     ), start=len(DOMAINS)):
         if not errors:

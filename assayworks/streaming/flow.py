@@ -14,11 +14,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType, TimestampType
 
 from assayworks.functions.clock import Moment
-from assayworks.operators.routing import ROUTE, Split, observed, route, routed_split
+from assayworks.operators.routing import ROUTE, STAMP, Split, observed, route, routed_split
 from assayworks.operators.rules import Mode, NullPolicy, Rule
 from assayworks.sources.landing import (
     INGESTED_AT,
@@ -75,12 +76,20 @@ def land(spark: SparkSession, source: str, declared: StructType, layout: Layout,
 
 def refine(spark: SparkSession, layout: Layout, bronze: StructType, transform: Callable[[DataFrame], DataFrame],
            rules: Sequence[Rule], *, mode: Mode = "drop", null_policy: NullPolicy = "pass",
-           source: str | None = None, batch: BatchLimit | None = None) -> StreamingQuery:
-    """New bronze rows to the routed table, with violation counts as observed metrics."""
+           source: str | None = None, batch: BatchLimit | None = None,
+           stamp: str | None = None) -> StreamingQuery:
+    """New bronze rows to the routed table, with violation counts as observed metrics.
+
+    ``stamp`` marks the rows this query commits, as a partition, so that a later
+    step can read just them. Use a new stamp per query, and stamps always or never.
+    """
     rows = stream_table(spark, source or layout.bronze, bronze, batch=batch)
     candidates = observed(transform(rows), rules, METRICS, null_policy)
     routed = route(candidates, rules, mode, null_policy)
-    return append_available(routed, layout.routed, layout.checkpoint("routed"), [ROUTE])
+    if stamp is None:
+        return append_available(routed, layout.routed, layout.checkpoint("routed"), [ROUTE])
+    stamped = routed.withColumn(STAMP, F.lit(stamp))
+    return append_available(stamped, layout.routed, layout.checkpoint("routed"), [STAMP, ROUTE])
 
 
 def finish(query: StreamingQuery, timeout: int | None = None) -> list[dict[str, int]]:
@@ -101,10 +110,12 @@ def finish(query: StreamingQuery, timeout: int | None = None) -> list[dict[str,
     return [seen[METRICS].asDict() for seen in observations if METRICS in seen]
 
 
-def tables(spark: SparkSession, layout: Layout, schema: StructType | None = None) -> Split:
-    """Silver and rejected of a layout, committed batches only.
+def tables(spark: SparkSession, layout: Layout, schema: StructType | None = None,
+           stamps: Sequence[str] | None = None) -> Split:
+    """Silver and rejected of a layout, committed batches only; with ``stamps``, only those partitions.
 
     Pass the routed schema to read a table that may not have a committed row yet.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return routed_split(reader.parquet(layout.routed))
+    routed = reader.parquet(layout.routed)
+    return routed_split(routed if stamps is None else routed.filter(F.col(STAMP).isin(*stamps)))

@@ -240,6 +240,12 @@ def test_whole_runs(spark, folder, schema):
     second = {r.customer_id: r.order_count for r in spark.table("shop.customer_order_summary").collect()}
     assert second == {k: 2 * n for k, n in first.items()}
 
+    full = {d.name: daily.domain_tables(spark, product(folder), d)[1].silver for d in daily.DOMAINS}
+    again = P.customer_order_summary(full["customers"], full["orders"])
+    assert content(spark.table("shop.customer_order_summary")) == content(again)
+    assert spark.table("shop.customer_order_summary").dtypes == again.dtypes
+    assert tables.pending_stamps(spark, "shop") == [] and spark.table("shop.summary_versions").count() == 2
+
     # A gate stops the run before the summary is rebuilt, and the run is on record.
     with pytest.raises(C.CheckFailed, match="silver_freshness"):
         daily.run_product(spark, product(folder), "3", now=NOON + timedelta(days=20))
@@ -248,6 +254,20 @@ def test_whole_runs(spark, folder, schema):
     assert (board.job_run_id, board.dashboard_status) == ("3", "FAILED")
     assert "silver_freshness" in board.failure_message
 
+    # The orders of a failed run are taken in by the next, and a run without new files changes nothing.
+    land(folder, "orders", ORDER_CSV.replace("q0", "t0"))
+    assert len(tables.pending_stamps(spark, "shop")) == 1
+    for attempt in ("4", "5"):
+        daily.run_product(spark, product(folder), attempt, now=NOON + timedelta(hours=3))
+        third = {r.customer_id: r.order_count for r in spark.table("shop.customer_order_summary").collect()}
+        assert third == {k: 3 * n for k, n in first.items()}
+        assert tables.pending_stamps(spark, "shop") == []
+    orders = daily.DOMAINS[1]
+    stamps = [r.stamp for r in spark.table("shop.summary_versions").collect()]
+    added = daily.domain_tables(spark, product(folder), orders, stamps[:1])[1].silver
+    assert "_stamp" in added._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+    assert sum(daily.domain_tables(spark, product(folder), orders, [s])[1].silver.count() for s in stamps) == 24
+
 
 def test_fail_mode_run_halts_and_is_recorded(spark, folder, schema):
     land(folder, "customers", CUSTOMER_CSV)
