@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayworks.functions.lookup import joined, mapped
+from assayworks.operators.eventlog import expectation_totals
 from assayworks.operators.summary import summarise
 from assayworks.plans import customer_orders as P
 from tests.shapes import NOON, customer, customers, orders
@@ -26,8 +27,7 @@ def test_counts_sums_and_last_dates(spark):
 
 
 def test_columns_without_orders(spark):
-    none = P.orders_silver(orders(spark, [])) if False else P.orders_silver(spark.createDataFrame([], orders(spark, [
-        ("n", "k", Decimal(1), NOON, "x")]).schema))
+    none = P.orders_silver(orders(spark, [("n", "k", Decimal(1), NOON, "x")]).filter("false"))
     summary = P.customer_order_summary(P.customers_silver(customer(spark)), none)
     assert tuple(summary.columns) == P.SUMMARY_COLUMNS
     assert dict(summary.dtypes)["total_amount"] == "decimal(20,2)"
@@ -57,7 +57,9 @@ def test_nulls_and_copies_against_brute_force(spark, broadcast):
     assert sorted((str(r.id), r.name, r.n, r.total) for r in found) == expected
 
 
-def test_hot_dimension_key_is_split_by_aqe(spark):
+@pytest.fixture
+def small_skew(spark):
+    """No broadcasts, and partitions of a few kilobytes already count as skewed."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -68,20 +70,60 @@ def test_hot_dimension_key_is_split_by_aqe(spark):
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        dims = spark.range(0, 60000, numPartitions=8).select(
-            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("name"))
-        facts = spark.range(0, 60000, numPartitions=8).select((F.col("id") % 7000).alias("k"), F.lit(1).alias("v"))
-        summary = summarise(dims, facts, "k", {"n": F.count("v")}, ["name"], zero=["n"])
-        assert len(summary.collect()) == 60000
-        plan = summary._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key in settings:
-            if key == "spark.sql.shuffle.partitions":
-                spark.conf.set(key, "4")
-            else:
-                spark.conf.unset(key)
-    assert "SortMergeJoin(skew=true)" in plan
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot(share, key):
+    """Every ``share``-th id becomes ``key``."""
+    return F.when(F.col("id") % share == 0, F.lit(key)).otherwise(F.col("id"))
+
+
+def test_hot_dimension_key_is_split_by_aqe(spark, small_skew):
+    dims = spark.range(0, 60000, numPartitions=8).select(hot(3, 1).alias("k"), F.md5(F.col("id").cast("string")).alias("name"))
+    facts = spark.range(0, 60000, numPartitions=8).select((F.col("id") % 7000).alias("k"), F.lit(1).alias("v"))
+    summary = summarise(dims, facts, "k", {"n": F.count("v")}, ["name"], zero=["n"])
+    assert len(summary.collect()) == 60000
+    assert "SortMergeJoin(skew=true)" in executed(summary)
+
+
+def test_null_dimension_keys_are_spread(spark, small_skew):
+    dims = spark.range(0, 60000, numPartitions=8).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("name"))
+    facts = spark.range(0, 60000).select((F.col("id") % 7000).alias("k"))
+    summary = summarise(dims, facts, "k", {"n": F.count(F.lit(1))}, ["name"], zero=["n"])
+    sizes = [r[0] for r in summary.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(sizes) == 60000 and max(sizes) < 60000 / 3
+    assert summary.filter("k IS NULL AND n = 0").count() == 20000
+
+
+def test_hot_code_in_a_lookup_is_split_by_aqe(spark, small_skew):
+    codes = spark.range(0, 60000, numPartitions=8).select(hot(3, 7).alias("code"), F.md5(F.col("id").cast("string")).alias("x"))
+    table = spark.range(0, 60000, numPartitions=8).select(F.col("id").alias("code"), F.lit("label").alias("label"))
+    found = joined(codes, "code", table, "code", "label", "none", "label")
+    assert len(found.collect()) == 60000
+    assert "SortMergeJoin(skew=true)" in executed(found)
+
+
+def test_busy_pipeline_in_the_event_log_is_split_by_aqe(spark, small_skew):
+    ids = spark.range(0, 30000, numPartitions=8)
+    events = ids.select(
+        F.concat(F.lit("p"), hot(3, 0) % 100).alias("pipeline_name"),
+        F.timestamp_seconds("id").alias("timestamp"),
+        F.when(F.col("id") < 200, F.lit("create_update")).otherwise(F.lit("flow_progress")).alias("event_type"),
+        F.struct(F.concat(F.lit("u"), F.col("id") % 1).alias("update_id"), F.lit("f").alias("flow_name")).alias("origin"),
+        F.when(F.col("id") < 200, F.lit('{"create_update":{"update_id":"u0"}}')).otherwise(F.concat(
+            F.lit('{"flow_progress":{"data_quality":{"expectations":[{"name":"r","passed_records":1,"failed_records":0,"x":"'),
+            F.md5(F.col("id").cast("string")), F.lit('"}]}}}'))).alias("details"))
+    totals = expectation_totals(events)
+    assert sum(r.total_passed for r in totals.collect()) == 29800
+    assert "SortMergeJoin(skew=true)" in executed(totals)
 
 
 def test_scan_reads_only_needed_columns(spark):
