@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,11 @@ SETTING = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a new local one only where none is named."""
+    """The shared folder the cluster names; a new local one only in a session without executors of its own."""
     named = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {SETTING} to a folder all executors share")
     local = tempfile.mkdtemp(prefix="assayworks-")
     spark.conf.set(SETTING, local)

@@ -2,7 +2,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from assayworks.plans.catalogue import REGISTRY
+from assayworks.plans.oracles import ORACLES
 from tests.oracle import connection, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
@@ -14,13 +16,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_matches_oracle(spark, con, name):
     assert differences(spark, con, name, SF_DIR) == []
