@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm import exact, quality, urls
+from assayworks.llm import exact, packing, quality, tokens, urls
 from assayworks.llm.sql import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,9 @@ URL_RULES = [
 ]
 URL_DEFAULT = "allow"
 
+SEQUENCE_TOKENS = 1024
+END_ID = 2
+
 
 def query(function: Query) -> Query:
     LLM_QUERIES[function.__name__] = function
@@ -34,6 +37,25 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def pieces(docs: DataFrame) -> DataFrame:
+    """Token pieces by the vocabulary of the contract."""
+    import public_tokenizers
+
+    return tokens.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, END_ID,
+                               SEQUENCE_TOKENS)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    digests = pieces(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digests, "length", SEQUENCE_TOKENS)
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packed(_table(spark, sf, "documents"))
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = exact.exact_duplicates(_table(spark, sf, "documents"))

@@ -34,10 +34,14 @@ def host_key(host: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "."), F.lit("."))
 
 
-def _splitters(keyed: DataFrame, key: str, ident: str, ranges: int) -> list[str]:
-    """Keys that cut the table into about equal ranges, from a bounded sample; a frequent key may come several times."""
-    sample = keyed.select(key, F.xxhash64(ident, key).alias("_order")).orderBy("_order").limit(SAMPLED_KEYS)
-    keys = sorted(row[0] for row in sample.collect())
+def _splitters(keyed: DataFrame, key: str, ident: str, ranges: int, rows: int) -> list[str]:
+    """Keys that cut the table into about equal ranges, from a sample of about SAMPLED_KEYS rows.
+
+    The sample decides how even the ranges are and nothing else. A frequent key may come several times.
+    """
+    every = max(1, rows // SAMPLED_KEYS)
+    sample = keyed.filter(F.pmod(F.xxhash64(ident, key), F.lit(every)) == 0)
+    keys = sorted(row[0] for row in sample.select(key).collect())
     return [keys[i * len(keys) // ranges] for i in range(1, ranges)] if keys else []
 
 
@@ -66,7 +70,7 @@ def apply_rules(urls: DataFrame, rules: DataFrame, ident: str, url: str, default
     total = urls.count() if rows is None else rows
     ranges = min(MAX_RANGES, max(1, -(-total // ROWS_PER_RANGE)))
     slices = max(1, -(-total // (ranges * ROWS_PER_RANGE)))
-    cuts = _splitters(keyed, names["key"], names["ident"], ranges)
+    cuts = _splitters(keyed, names["key"], names["ident"], ranges, total)
 
     # Between equal cuts any range will do: they share the frequent key.
     @F.pandas_udf("int")
