@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm import exact, neardup, packing, quality, tokens, urls
+from assayworks.llm import exact, neardup, packing, phrases, quality, substrings, tokens, urls
 from assayworks.llm.sql import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,11 +62,23 @@ def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cut = substrings.without_repeated_bytes(_table(spark, sf, "documents"), size=100)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op5_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf, "documents"), n=2, percent=80)
 
 
+@query
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cut = phrases.without_repeated_passages(_table(spark, sf, "documents"), size=50)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
