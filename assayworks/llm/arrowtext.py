@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 U = np.uint64
 BASE, SECOND = U(0x9E3779B97F4A7C15), U(0xD1B54A32D192ED03)
@@ -32,17 +31,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * BASE)
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(base, -1, 1 << 64)
-    ups, downs = np.full(size, U(base)), np.full(size, U(inverse))
-    ups[0] = downs[0] = 1
-    return np.multiply.accumulate(ups), np.multiply.accumulate(downs)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: np.uint64, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2^64, at least ``size`` of them."""
-    return _powers(int(base), 1 << max(10, int(size).bit_length()))
+    """Powers of an odd base and of its inverse modulo 2^64, at least ``size`` of them; kept for the next call."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known[0]) < size:
+        longer = -(-size // 65_536) * 65_536
+        ups, downs = np.full(longer, base), np.full(longer, U(pow(int(base), -1, 1 << 64)))
+        ups[0] = downs[0] = 1
+        _POWERS[int(base)] = known = (np.multiply.accumulate(ups), np.multiply.accumulate(downs))
+    return known
 
 
 def spans_hashed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64 = BASE) -> np.ndarray:
