@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayworks.llm.arrowtext import SECOND, Texts, mixed, spans_hashed, text_chunks
@@ -15,7 +15,8 @@ from assayworks.llm.shared import written
 
 SIZE = 128
 BANDS = 32
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+RARE = 16
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -119,16 +120,51 @@ def full_sets(docs: DataFrame, n: int) -> DataFrame:
     return _plain(docs).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b of doc_ids whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = full_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), n)
     both = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
     common = F.size(F.array_intersect("left", "right")).cast("long")
     union = F.size("left").cast("long") + F.size("right") - common
     return both.filter(common * 100 >= union * percent).select("a", "b")
 
 
+def able_pairs(open_rows: DataFrame, classes: DataFrame, clusters: DataFrame, sets: DataFrame,
+               percent: int) -> DataFrame:
+    """The pairs a, b of heads in different components and a common bucket, or with a rare shingle in common, that may be linked.
+
+    In a cluster, a shingle is rare in up to RARE documents and core in more; one in a single document is neither. What two documents
+    share is core alone, and then bounded by the core shingles of either, or holds a rare shingle, and then they
+    meet by it. Either way they share no more than the rare and core shingles of either.
+    """
+    own = written(sets.join(clusters, "doc_id").select(
+        "cluster", F.col("doc_id").alias("head"), F.explode("shingles").alias("shingle")), "shingles")
+    counted = own.groupBy("cluster", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    marked = written(own.join(counted, ["cluster", "shingle"]), "shared-shingles")
+    bounds = marked.groupBy("head").agg(
+        F.count(F.lit(1)).alias("common"), F.count(F.when(F.col("n") > RARE, 1)).alias("core"))
+    placed = open_rows.select("head", "component").distinct()
+    facts = written(classes.select("head", "n_shingles", "bands").join(placed, "head").join(bounds, "head").filter(
+        F.col("common") * 100 >= F.col("n_shingles") * percent), "facts")
+
+    def enough(bound: str) -> Column:
+        least = F.least(F.col(f"x.{bound}"), F.col(f"y.{bound}"))
+        return least * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent
+
+    apart = F.expr("x.head < y.head AND x.component <> y.component")
+    facing = F.struct("head", "component", "n_shingles", "core", "common")
+    able = open_rows.select("key", "head").join(facts.filter(
+        F.col("core") * 100 >= F.col("n_shingles") * percent), "head").select("key", facing.alias("one"), "bands")
+    left, right = able.toDF("key", "x", "xs"), able.toDF("other", "y", "ys")
+    first = F.array_min(F.array_intersect("xs", "ys")) == F.col("key")  # a pair is made in one bucket only
+    by_core = left.join(right, (F.col("key") == F.col("other")) & apart & enough("core") & first)
+    thin = marked.filter(F.col("n") <= RARE).select("cluster", "shingle", "head").join(
+        facts.select("head", facing.alias("one")), "head").drop("head")
+    one, two = thin.toDF("cluster", "shingle", "x"), thin.toDF("c", "s", "y")
+    by_rare = one.join(two, F.expr("cluster = c AND shingle = s") & apart & enough("common"))
+    return by_core.select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).union(
+        by_rare.select("x.head", "y.head")).distinct()
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:
     """Every document with its component: doc_id, n_shingles, component_id, kept (doc_id = component_id).
 
@@ -141,7 +177,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
 
     Equal sets are one class from the start, so copies never become pairs. In each band's bucket all
     classes are compared with the bucket's smallest; then only classes of a bucket that are not
-    yet in one component are compared with each other. A group of near copies thus
+    yet in one component are compared with each other, and of these only the pairs that can be similar enough by
+    what they have in common with others (able_pairs). A group of near copies thus
     costs a pair per member and bucket, and no link between different components is left out. With 32 bands of 4 places
     a pair at a similarity of 0.8 shares no bucket with a probability of 5e-8.
     """
@@ -154,21 +191,30 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
     buckets = written(members.join(shared.select("key", "first"), "key").select(
         "key", "first", "one", F.col("one.head").alias("head")), "buckets")
     alike = (F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * percent)
-    stars = buckets.select(F.col("first").alias("x"), F.col("one").alias("y")).filter("x <> y").filter(alike)
-    pairs = written(stars.select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct(), "pairs")
-    links = written(verified(pairs, docs, n, percent), "links")
+    stars = buckets.select(F.col("first").alias("x"), F.col("one").alias("y")).filter("x <> y").select(
+        F.col("x.head").alias("a"), F.col("y.head").alias("b"), alike.alias("alike"))
+    stars = written(stars.distinct(), "stars")
+    pairs = stars.filter("alike").select("a", "b")
+    heads = stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = written(full_sets(docs.join(heads, "doc_id", "left_semi"), n), "sets")
+    links = written(verified(pairs, sets, percent), "links")
     found = components(links)
 
     placed = buckets.join(found, F.col("head") == F.col("node"), "left").select(
-        "key", "one", F.coalesce("component", "head").alias("component"))
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_buckets = written(placed.join(mixed_keys.filter("low <> high").select("key"), "key", "left_semi"), "open")
-    left, right = open_buckets.toDF("key", "x", "cx"), open_buckets.toDF("key", "y", "cy")
-    crossed = left.join(right, "key").filter("x.head < y.head AND cx <> cy").filter(alike)
-    more = written(crossed.select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct().join(
-        pairs, ["a", "b"], "left_anti"), "crossed")
-    if not more.isEmpty():
-        found = components(links.union(verified(more, docs, n, percent)))
+        "key", "one", "head", F.coalesce("component", "head").alias("component"))
+
+    def several(frame: DataFrame) -> DataFrame:
+        """Rows of buckets with more than one component."""
+        ends = frame.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        return frame.join(ends.filter("low <> high").select("key"), "key", "left_semi")
+
+    open_rows = written(several(placed), "open")
+    if not open_rows.isEmpty():
+        clusters = components(stars).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+        clusters = clusters.join(open_rows.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        more = able_pairs(open_rows, classes, clusters, sets, percent)
+        more = written(more.join(pairs, ["a", "b"], "left_anti"), "crossed")
+        found = components(links.union(verified(more, sets, percent)))
 
     named = classes.select("d1", "d2", "n_shingles", "head").join(
         found, F.col("head") == F.col("node"), "left").select(
