@@ -250,9 +250,9 @@ def by_hash(texts: Texts, symbols: Symbols, runs: Runs, wanted: np.ndarray) -> n
 
 def occurrences(docs: DataFrame, unit: Unit, blocks: int, anchors: DataFrame, common: np.ndarray,
                 locate: Locate) -> DataFrame:
-    """(block, row, ord, start, windows, anchor, d1, d2, body) of runs that may be repeated.
+    """(block, row, ord, start, windows, at, anchor, d1, d2, body) of runs that may be repeated.
 
-    ``body`` holds the run's symbols, NULL where an equal run of an earlier place was seen in the block:
+    ``at`` is the anchor's place in the run. ``body`` holds the run's symbols, NULL where an equal run of an earlier place was seen in the block:
     such a run is repeated as a whole whatever other blocks hold.
     """
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -282,11 +282,12 @@ def occurrences(docs: DataFrame, unit: Unit, blocks: int, anchors: DataFrame, co
         return pa.table({
             "block": pa.array(np.full(len(which), key[0].as_py(), np.int32)),
             "row": runs.text[which].astype(np.int32), "ord": order, "start": start,
-            "windows": (high - low - unit.size + 1).astype(np.int32), "anchor": runs.anchor[which],
+            "windows": (high - low - unit.size + 1).astype(np.int32),
+            "at": (runs.place[which] - low).astype(np.int32), "anchor": runs.anchor[which],
             "d1": d1, "d2": d2, "body": pa.array(body, pa.binary())})
 
     found = parcels(docs, blocks).groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(
-        run, "block int, row int, ord long, start long, windows int, anchor long, d1 long, d2 long, body binary")
+        run, "block int, row int, ord long, start long, windows int, at int, anchor long, d1 long, d2 long, body binary")
     return written(found, "runs")
 
 

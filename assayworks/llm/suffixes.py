@@ -35,7 +35,7 @@ def _merge(old: np.ndarray, places: np.ndarray, new: np.ndarray) -> np.ndarray:
 
 def _bucket_ranks(transform: np.ndarray, order: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Where places come in the stable order of all symbols."""
-    starts = np.searchsorted(transform[order], np.arange(257))
+    starts = np.concatenate([[0], np.cumsum(np.bincount(transform, minlength=256))])
     symbols = transform[places]
     ranks = np.empty(len(places), np.int64)
     for c in np.unique(symbols):
@@ -64,8 +64,9 @@ def suffix_order(data: np.ndarray, first: np.ndarray,
     """
     strings = len(first) - 1
     sizes = np.diff(first)
+    kind = np.uint8 if sizes.max(initial=0) < 255 else np.uint16
     with tempfile.TemporaryDirectory(dir=folder) as place:
-        transform, prefixes = Column(place, "transform", np.uint8), Column(place, "prefixes", np.uint16)
+        transform, prefixes = Column(place, "transform", np.uint8), Column(place, "prefixes", kind)
 
         def before(which: np.ndarray, done: int) -> np.ndarray:
             """The symbol before the suffix of length ``done`` of some strings."""
@@ -75,7 +76,7 @@ def suffix_order(data: np.ndarray, first: np.ndarray,
 
         active, at = np.arange(strings), np.arange(strings)
         transform.write(before(active, 0))
-        prefixes.write(np.zeros(strings, np.uint16))
+        prefixes.write(np.zeros(strings, kind))
         for done in range(int(sizes.max(initial=0))):
             b, lcp = transform.read(), prefixes.read()
             more = sizes[active] > done
@@ -96,7 +97,7 @@ def suffix_order(data: np.ndarray, first: np.ndarray,
             under = np.minimum(_lowest(lcp, at[follows][turn], behind[turn]).astype(np.int64) + 1, 65_535)
             sorted_new = np.argsort(new, kind="stable")
             b = _merge(b, new[sorted_new], before(active[sorted_new], done + 1))
-            lcp = _merge(lcp, new[sorted_new], up[sorted_new].astype(np.uint16))
+            lcp = _merge(lcp, new[sorted_new], up[sorted_new].astype(kind))
             lcp[new[follows][turn] + 1] = under
             transform.write(b)
             prefixes.write(lcp)
