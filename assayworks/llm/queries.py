@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm import exact, neardup, packing, phrases, quality, substrings, tokens, urls
+from assayworks.llm import exact, neardup, packing, phrases, quality, secrets, shards, substrings, tokens, urls
 from assayworks.llm.sql import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,7 @@ URL_DEFAULT = "allow"
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
+SHARDS = 24
 
 
 def query(function: Query) -> Query:
@@ -56,6 +57,14 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed(_table(spark, sf, "documents"))
 
 
+@query
+def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    nodes = shards.document_nodes(_table(spark, sf, "documents"))
+    placed = shards.balanced_shards(nodes, None, SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = exact.exact_duplicates(_table(spark, sf, "documents"))
@@ -73,6 +82,15 @@ def op5_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf, "documents"), n=2, percent=80)
 
 
+@query
+def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    found = secrets.secret_spans(docs, secrets.fit_markov(secrets.training_strings(docs)))
+    return found.select(
+        "doc_id", *[secrets.counted(F.col("base"), kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]],
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(F.col("found")).alias("spans"))
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     cut = phrases.without_repeated_passages(_table(spark, sf, "documents"), size=50)
