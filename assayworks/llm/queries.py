@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm import exact, neardup, packing, phrases, quality, secrets, shards, substrings, tokens, urls
+from assayworks.llm import decontaminate, exact, neardup, packing, phrases, quality, secrets, shards, substrings, tokens, urls
 from assayworks.llm.sql import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,11 @@ def op5_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf, "documents"), n=2, percent=80)
 
 
+@query
+def op6_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
