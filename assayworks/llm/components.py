@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from assayworks.llm.shared import written
 
+LINKS_PER_TASK = 200_000
+
 
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Union-find over the links of one task; every node but the roots with its root, the smallest of its set."""
@@ -30,6 +32,17 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
 
 
+def _thinned(links: DataFrame, count: int) -> tuple[DataFrame, bool]:
+    """A forest of the links of each task, in passes over ever fewer tasks as forests shrink, and whether one task was left."""
+    while True:
+        tasks = -(-count // LINKS_PER_TASK)
+        forest = written(links.repartition(max(1, tasks)).mapInPandas(_forest, "a long, b long"), "forest")
+        left = forest.count()
+        if tasks <= 1 or left > count // 2:
+            return forest, tasks <= 1
+        links, count = forest, left
+
+
 def _signature(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
 
@@ -39,17 +52,20 @@ def components(links: DataFrame) -> DataFrame:
 
     NULL ends and loops are ignored; a table without links gives no rows. Each round halves
     distances, joins by node only and writes its links, so no component meets in one task or the driver.
+    Links are first spread over as few tasks as LINKS_PER_TASK asks for, so that union-find does most of the work there.
     """
     proper = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = written(proper.mapInPandas(_forest, "a long, b long"), "forest")
-    last, mark = None, _signature(now)
+    proper = written(proper, "proper")
+    now, whole = _thinned(proper, proper.count())
+    last, mark = None, None if whole else _signature(now)
     while mark != last:
         both = now.union(now.select("b", "a")).toDF("u", "v")
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(lowest, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         under = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(under, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = written(small.union(under.select("a", F.col("m").alias("b"))).distinct(), "stars")
-        last, mark = mark, _signature(now)
+        stars = written(small.union(under.select("a", F.col("m").alias("b"))).distinct(), "stars")
+        last, mark = mark, _signature(stars)
+        now = stars
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select("b", "b").distinct())

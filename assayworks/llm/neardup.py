@@ -196,7 +196,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
     stars = written(stars.distinct(), "stars")
     pairs = stars.filter("alike").select("a", "b")
     heads = stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(full_sets(docs.join(heads, "doc_id", "left_semi"), n), "sets")
+    # Sorted on both sides at any size: the list of heads grows with the documents.
+    sets = written(full_sets(docs.select("doc_id", "text").join(heads.hint("merge"), "doc_id", "left_semi"), n), "sets")
     links = written(verified(pairs, sets, percent), "links")
     found = components(links)
 
