@@ -22,10 +22,11 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values over all bits, one to one."""
     x = x ^ (x >> U(30))
-    x = x * U(0xBF58476D1CE4E5B9)
+    x *= U(0xBF58476D1CE4E5B9)
     x ^= x >> U(27)
-    x = x * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
 
 
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * BASE)
@@ -55,6 +56,20 @@ def spans_hashed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * base)
 
 
+def grams_hashed(values: np.ndarray, size: int, base: np.uint64 = BASE) -> np.ndarray:
+    """What spans_hashed gives for all runs of ``size`` values."""
+    n = len(values) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    up, down = powers(base, len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    out = sums[size:] - sums[:-size]
+    out *= down[:n]
+    out += U(size * int(base) % (1 << 64))
+    return mixed(out)
+
+
 class Texts:
     """Some texts of a batch. ``data`` holds a space before each text and one at the end.
 

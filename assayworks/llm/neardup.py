@@ -53,7 +53,7 @@ def superminhash(elements: np.ndarray, first: np.ndarray, size: int = SIZE) -> n
     signature = np.full((n, size), np.iinfo(np.int64).max)
     flat = signature.reshape(-1)
     owner = np.repeat(np.arange(n), np.diff(first))
-    places = np.tile(np.arange(size, dtype=np.uint8), (len(elements), 1))
+    places = np.tile(np.arange(size, dtype=np.uint8 if size <= 256 else np.int32), (len(elements), 1))
     for rank in range(size):
         if not len(elements):
             break

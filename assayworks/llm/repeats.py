@@ -18,10 +18,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayworks.llm.arrowtext import BASE, BYTE_VALUES, SECOND, Texts, spans_hashed, text_arrays, text_chunks
+from assayworks.llm.arrowtext import BASE, BYTE_VALUES, SECOND, Texts, grams_hashed, spans_hashed, text_arrays, text_chunks
 from assayworks.llm.shared import free_name, written
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES, CACHED_BYTES = 1 << 20, 1 << 17
 SAMPLED_DOCUMENTS = 20_000
 COMMON_SHARE, COMMON_LEAST = 0.005, 40
 PLACE_BITS = 24
@@ -76,10 +76,11 @@ def runs_of(symbols: Symbols, unit: Unit, common: np.ndarray) -> Runs:
     if n <= 0:
         none = np.zeros(0, np.int64)
         return Runs(none, none, none, none, none)
-    at = np.arange(len(symbols.values) - unit.gram + 1)
-    hashes = spans_hashed(symbols.values, at, at + unit.gram, SECOND)
-    bits = np.uint64(max(PLACE_BITS, len(at).bit_length()))
-    key = (hashes >> np.uint64(1) >> bits << bits) | at.astype(np.uint64)
+    hashes = grams_hashed(symbols.values, unit.gram, SECOND)
+    bits = np.uint64(max(PLACE_BITS, len(hashes).bit_length()))
+    key = hashes >> (bits + np.uint64(1))
+    key <<= bits
+    key |= np.arange(len(hashes), dtype=np.uint64)
     if len(common):
         signed = hashes.view(np.int64)
         near = np.minimum(np.searchsorted(common, signed), len(common) - 1)
@@ -190,7 +191,7 @@ def anchor_rows(docs: DataFrame, unit: Unit, blocks: int, common: np.ndarray) ->
     """(block, anchor, low, high, n) of each batch: smallest and largest document with the anchor, and how often it occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_chunks(batch.column(2)):
+            for part in text_chunks(batch.column(2), CACHED_BYTES):
                 runs = runs_of(Symbols(part, unit), unit, common)
                 order = batch.column(1).to_numpy()[part.rows][runs.text]
                 block = batch.column(3).to_numpy()[part.rows][runs.text]

@@ -17,7 +17,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder; later reads need no earlier stage."""
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -24,10 +24,8 @@ class Column:
         values.astype(self.kind, copy=False).tofile(self.path)
 
 
-def _merge(old: np.ndarray, places: np.ndarray, new: np.ndarray) -> np.ndarray:
-    out = np.empty(len(old) + len(new), old.dtype)
-    stay = np.ones(len(out), bool)
-    stay[places] = False
+def _merge(old: np.ndarray, stay: np.ndarray, places: np.ndarray, new: np.ndarray) -> np.ndarray:
+    out = np.empty(len(stay), old.dtype)
     out[stay] = old
     out[places] = new
     return out
@@ -96,8 +94,10 @@ def suffix_order(data: np.ndarray, first: np.ndarray,
             turn = np.argsort(-behind, kind="stable")
             under = np.minimum(_lowest(lcp, at[follows][turn], behind[turn]).astype(np.int64) + 1, 65_535)
             sorted_new = np.argsort(new, kind="stable")
-            b = _merge(b, new[sorted_new], before(active[sorted_new], done + 1))
-            lcp = _merge(lcp, new[sorted_new], up[sorted_new].astype(kind))
+            stay = np.ones(len(b) + len(new), bool)
+            stay[new] = False
+            b = _merge(b, stay, new[sorted_new], before(active[sorted_new], done + 1))
+            lcp = _merge(lcp, stay, new[sorted_new], up[sorted_new].astype(kind))
             lcp[new[follows][turn] + 1] = under
             transform.write(b)
             prefixes.write(lcp)
