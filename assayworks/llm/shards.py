@@ -9,6 +9,7 @@ from assayworks.llm.shared import running, written
 
 ROUNDS = 4
 PRIORITIES = 1_024
+LARGE = 64
 STEPS = (4, 16, 64, 256, 1_024, 4_096)
 
 
@@ -48,20 +49,20 @@ def _by_shard(labels: DataFrame, shards: int) -> list[int]:
     return [int(sums.get(s) or 0) for s in range(shards)]
 
 
-def propagated(nodes: DataFrame, links: DataFrame, shards: int, total: int, rounds: int = ROUNDS) -> DataFrame:
+def propagated(nodes: DataFrame, links: DataFrame, rooms: list[int], rounds: int = ROUNDS) -> DataFrame:
     """node, size, shard of every linked node after some rounds of label propagation.
 
     Nodes start anywhere. In each round every node looks up the shards of its neighbours (a join by node) and
     asks to move to the one most of them are in; members move in odd rounds, their
-    hubs in even ones, lest they pass each other. A shard takes no more than fills it up to its quota.
+    hubs in even ones, lest they pass each other. A shard takes no more than fills up its room, counting what asks to leave it.
     """
+    shards = len(rooms)
     both = links.union(links.select("b", "a")).toDF("node", "other")
     linked = nodes.join(both.select("node").distinct(), "node").select("node", "size")
     hubs = links.select(F.col("b").alias("node")).distinct().withColumn("hub", F.lit(1))
     labels = written(linked.join(hubs, "node", "left").select(
         "node", "size", F.coalesce("hub", F.lit(0)).alias("hub"),
         F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard")), "labels")
-    quota = -(-total // shards)
     for turn in range(rounds):
         near = both.join(labels.select(F.col("node").alias("other"), F.col("shard").alias("target")), "other")
         votes = near.groupBy("node", "target").agg(F.count(F.lit(1)).alias("votes"), F.min("other").alias("pull"))
@@ -69,8 +70,9 @@ def propagated(nodes: DataFrame, links: DataFrame, shards: int, total: int, roun
         moves = labels.filter(F.col("hub") == turn % 2).join(best, "node").select(
             "node", "size", "shard", F.col("best.target").alias("target"), F.col("best.pull").alias("pull")).filter(
             "shard <> target")
-        rooms = [max(0, quota - held) for held in _by_shard(labels, shards)]
-        taken = _accepted(moves, rooms)
+        moves = written(moves, "moves")
+        leaving, held = _by_shard(moves, shards), _by_shard(labels, shards)
+        taken = _accepted(moves, [max(0, r - h + x) for r, h, x in zip(rooms, held, leaving, strict=True)])
         labels = written(labels.join(taken, "node", "left").select(
             "node", "size", "hub", F.coalesce("target", "shard").alias("shard")), "labels")
     return labels.select("node", "size", "shard")
@@ -92,30 +94,44 @@ def _filled(pool: DataFrame, rooms: list[int], amount: int, count: int) -> DataF
     return placed.select("node", "size", shard.alias("shard"))
 
 
-def evened(nodes: DataFrame, labels: DataFrame, shards: int, total: int, count: int) -> DataFrame:
-    """node, size, shard of all nodes: linked ones stay where their shard has room, the rest fill up the shards.
-
-    The rest is dealt in classes, large documents first, each class in proportion to the room that is left. The last classes hold small
-    documents, so sizes end within about one small document of each other.
-    """
-    quota = -(-total // shards)
-    kept = running(labels, ["shard"], "node", F.col("size"), "before", count).filter(
-        F.col("before") + F.col("size") <= quota).select("node", "size", "shard")
-    kept = written(kept, "kept")
-    pool = nodes.select("node", "size").join(kept.select("node"), "node", "left_anti")
+def _dealt(pool: DataFrame, held: list[int], quota: int) -> tuple[list[DataFrame], list[int]]:
+    """Deals the pool in classes, large rows first, each class in proportion to the room that is left."""
     step: Column = F.lit(0)
     for s in STEPS:
         step = step + (F.col("size") * s <= quota).cast("int")
-    pool = written(pool.withColumn("step", step), "pool")
+    pool = written(pool.select("node", "size", step.alias("step")), "pool")
     classes = sorted(tuple(r) for r in pool.groupBy("step").agg(F.sum("size"), F.count(F.lit(1))).collect())
-    held = _by_shard(kept, shards)
-    parts = [kept]
+    parts = []
     for step, amount, rows in classes:
-        dealt = written(_filled(pool.filter(F.col("step") == step), [quota - h for h in held], amount, rows), "dealt")
-        held = [a + b for a, b in zip(held, _by_shard(dealt, shards), strict=True)]
+        rooms = [quota - h for h in held]
+        dealt = written(_filled(pool.filter(F.col("step") == step), rooms, amount, rows), "dealt")
+        held = [a + b for a, b in zip(held, _by_shard(dealt, len(held)), strict=True)]
         parts.append(dealt)
-    whole = parts[0]
-    for part in parts[1:]:
+    return parts, held
+
+
+def assigned(nodes: DataFrame, links: DataFrame, shards: int, total: int, count: int) -> DataFrame:
+    """node, size, shard of all nodes.
+
+    Large nodes without links are dealt first, then linked nodes propagate within the room that is left and stay where it
+    suffices, then the rest fills up the shards. The last rows dealt are small, so sizes end within about one small document.
+    """
+    quota = -(-total // shards)
+    alone = nodes.select("node", "size").join(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(),
+                                              "node", "left_anti")
+    large = F.col("size") * LARGE > quota
+    parts, held = _dealt(alone.filter(large), [0] * shards, quota)
+    rooms = [max(0, quota - h) for h in held]
+    labels = propagated(nodes, links, rooms)
+    room = F.element_at(F.array(*[F.lit(int(r)).cast("long") for r in rooms]), F.col("shard") + 1)
+    placed = written(running(labels, ["shard"], "node", F.col("size"), "before", count).withColumn(
+        "stays", F.col("before") + F.col("size") <= room), "placed")
+    kept = placed.filter("stays").select("node", "size", "shard")
+    held = [a + b for a, b in zip(held, _by_shard(kept, shards), strict=True)]
+    rest = alone.filter(~large).union(placed.filter("NOT stays").select("node", "size"))
+    more, _ = _dealt(rest, held, quota)
+    whole = kept
+    for part in [*parts, *more]:
         whole = whole.union(part)
     return whole
 
@@ -130,8 +146,7 @@ def balanced_shards(nodes: DataFrame, links: DataFrame | None, shards: int) -> D
     total, count = nodes.agg(F.sum("size"), F.count(F.lit(1))).first()
     total = total or 0
     found = written(equal_text_links(nodes, shards, total) if links is None else links, "links")
-    labels = propagated(nodes, found, shards, total)
-    placed = written(evened(nodes, labels, shards, total, count), "placed")
+    placed = written(assigned(nodes, found, shards, total, count), "placed")
     slots = running(placed, ["shard"], "node", F.lit(1), "slot", count)
     return nodes.join(slots.select("node", "shard", "slot"), "node")
 
