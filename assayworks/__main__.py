@@ -6,6 +6,7 @@ import argparse
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from assayworks.plans.daily import Product, run_product
 from assayworks.session import RECOMMENDED_CONF
@@ -39,11 +40,21 @@ def main() -> None:
         freshness_hours=chosen.freshness_hours, target=chosen.target,
         batch=BatchLimit(size=chosen.batch_bytes) if chosen.batch_bytes else None,
     )
+    run_id = chosen.run_id or uuid.uuid4().hex
     try:
-        run_product(spark, product, chosen.run_id or uuid.uuid4().hex, git_sha=chosen.git_sha)
+        run_product(spark, product, run_id, git_sha=chosen.git_sha)
     finally:
-        spark.table(f"`{chosen.schema}`.ops_current_status_v").show(truncate=False, vertical=True)
-        spark.table(f"`{chosen.schema}`.ops_pipeline_run_history_v").orderBy("checked_at", "pipeline_name").show(50, False)
+        report(spark, chosen.schema, run_id)
+
+
+def report(spark: SparkSession, schema: str, run_id: str) -> None:
+    """Prints the status and all check rows of a run, as far as the run came to define the views."""
+    if spark.catalog.tableExists(f"`{schema}`.ops_current_status_v"):
+        spark.table(f"`{schema}`.ops_current_status_v").show(truncate=False, vertical=True)
+    if spark.catalog.tableExists(f"`{schema}`.ops_pipeline_run_history_v"):
+        rows = spark.table(f"`{schema}`.ops_pipeline_run_history_v").filter(
+            F.col("run_id").isin(f"{run_id}-silver", f"{run_id}-gold")).orderBy("checked_at", "pipeline_name")
+        rows.show(max(1, rows.count()), False)
 
 
 if __name__ == "__main__":

@@ -7,14 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A literal map is searched linearly for every row, so it is only used when short.
-MAX_LITERAL_ENTRIES = 64
-
 
 def mapped(code: Column | str, mapping: Mapping[str, str], default: str) -> Column:
-    """``mapping[code]``, or ``default`` for NULL and unknown codes. The match is case-sensitive."""
-    if len(mapping) > MAX_LITERAL_ENTRIES:
-        raise ValueError(f"{len(mapping)} entries: use joined() with a DataFrame")
+    """``mapping[code]``, or ``default`` for NULL and unknown codes. The match is case-sensitive.
+
+    The map is part of the plan and searched entry by entry; for thousands of codes joined() is faster.
+    """
     if not mapping:
         return F.lit(default)
     literal = F.create_map(*[F.lit(part) for pair in mapping.items() for part in pair])

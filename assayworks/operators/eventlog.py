@@ -23,8 +23,7 @@ STARTED, PROGRESS = "create_update", "flow_progress"
 NO_UPDATE_CHECK = "event_log_enrichment"
 NO_UPDATE_MESSAGE = "No update found in event_log — pipeline may not have run yet"
 
-# A broadcast of latest updates has one short row per pipeline.
-MAX_BROADCAST_PIPELINES = 10_000
+UNREADABLE_MESSAGE = "event_log could not be read: "
 
 
 EVENT_TYPE = ("pipeline_name string, timestamp timestamp, event_type string, "
@@ -70,9 +69,8 @@ def expectation_totals(events: DataFrame, pipelines: Sequence[str] | None = None
     let Catalyst derive a "not empty" filter and parse every event of the log
     below the join; the outer form with a position check does not.
 
-    With a list of pipelines the latest updates are known to be at most as many
-    rows, and are broadcast. Without, both sides are exchanged on (pipeline, update): one busy
-    pipeline spreads over its updates, and AQE can split what is left.
+    Where the latest updates are too many for Spark to broadcast, both sides are exchanged on (pipeline,
+    update): one busy pipeline spreads over its updates, and AQE can split what is left.
     """
     scope = _scoped(events, pipelines)
     progress = scope.filter(F.col("event_type") == PROGRESS).select(
@@ -80,8 +78,6 @@ def expectation_totals(events: DataFrame, pipelines: Sequence[str] | None = None
         F.col("origin.flow_name").alias("flow_name"), "details",
     )
     latest = latest_updates(scope).filter(F.col("update_id").isNotNull())
-    if pipelines is not None and len(pipelines) <= MAX_BROADCAST_PIPELINES:
-        latest = F.broadcast(latest)
     return (
         progress.join(latest, ["pipeline_name", "update_id"])
         .select("pipeline_name", "flow_name", F.posexplode_outer(expectations("details")).alias("at", "one"))
@@ -92,6 +88,16 @@ def expectation_totals(events: DataFrame, pipelines: Sequence[str] | None = None
     )
 
 
+def unreadable_checks(spark: SparkSession, run_id: str, pipelines: Sequence[str], error: Exception,
+                      as_of: Moment = None) -> DataFrame:
+    """One WARN row per pipeline for a log that cannot be read. Expectation results inform; they never block."""
+    told = UNREADABLE_MESSAGE + str(error)
+    rows = [(run_id, p, NO_UPDATE_CHECK, EXPECTATION, WARN, told) for p in pipelines]
+    named = spark.createDataFrame(
+        rows, "run_id string, pipeline_name string, check_name string, check_type string, status string, message string")
+    return named.withColumn("checked_at", moment(as_of)).select(*RUN_LOG_COLUMNS)
+
+
 def expectation_checks(events: DataFrame, run_id: str, as_of: Moment = None,
                        pipelines: Sequence[str] | None = None) -> DataFrame:
     """Run-log rows: PASS where no record failed, else WARN; a pipeline without update warns.

@@ -27,8 +27,8 @@ JOB_LOG_COLUMNS = (
 
 
 def run_outcomes(runs: DataFrame, tasks: DataFrame, checks: DataFrame | None = None,
-                 finalizer: str = FINALIZER) -> DataFrame:
-    """One job-log row per run.
+                 finalizer: str = FINALIZER, message_length: int = MESSAGE_LENGTH) -> DataFrame:
+    """One job-log row per run; of a failure message its first ``message_length`` characters.
 
     ``runs``: job_run_id, recorded_at, catalog_name, schema_name, bundle_target,
     git_sha, started_at, job_run_url. ``tasks``: job_run_id, ord, task_key,
@@ -40,7 +40,7 @@ def run_outcomes(runs: DataFrame, tasks: DataFrame, checks: DataFrame | None = N
     """
     failed = F.col("result_state").isin(*FAILED_STATES) & (F.col("task_key") != finalizer)
     first = F.min(F.when(failed, F.struct(
-        "ord", "task_key", clipped("state_message", MESSAGE_LENGTH).alias("message"))))
+        "ord", "task_key", clipped("state_message", message_length).alias("message"))))
     carried = ["recorded_at", "catalog_name", "schema_name", "bundle_target", "git_sha",
                "started_at", "job_run_url"]
     graded = summarise(

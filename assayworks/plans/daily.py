@@ -21,8 +21,8 @@ from pyspark.sql.types import StructType
 from assayworks.functions.clock import Moment, days_before, moment
 from assayworks.operators import checks as C
 from assayworks.operators.contract import Contract
-from assayworks.operators.eventlog import expectation_checks, update_events
-from assayworks.operators.routing import STAMP, Split, route
+from assayworks.operators.eventlog import expectation_checks, unreadable_checks, update_events
+from assayworks.operators.routing import STAMP, Split, route, violation_counts
 from assayworks.operators.rules import Mode, Rule
 from assayworks.operators.status import run_outcomes
 from assayworks.plans import customer_orders as P
@@ -96,21 +96,27 @@ def summary_results(summary: DataFrame, *, run_id: str, as_of: Moment = None) ->
 
 
 def log_and_gate(results: DataFrame, schema: str, run_id: str, contract_log: bool = False,
-                 as_of: Moment = None) -> None:
-    """Appends check rows to the logs, then raises if a direct check among this run's rows failed.
+                 inform: Callable[[], None] | None = None) -> None:
+    """Appends check rows to the logs, then raises if a direct check among this run's rows failed or none is there.
 
-    The gate reads the rows back from the log, so the checks run once. It reads the
-    log's days since the one before ``as_of``, which covers a run across midnight.
+    The gate reads the rows back from the log, from the days that the written rows have. ``inform`` runs
+    between log and gate; it can add rows, but what goes wrong in it must not keep the gate from deciding.
     """
-    if contract_log:
-        results = results.persist()  # two log writes over as many rows as there are checks
+    results = results.persist()  # as many rows as there are checks
     append_log(results, schema, "ops_pipeline_run_log")
     if contract_log:
         append_log(results, schema, "ops_contract_check_log")
-        results.unpersist()
+    day = F.col("checked_at").cast("date")
+    first, last = results.agg(F.min(day), F.max(day)).first()
+    results.unpersist()
+    if inform is not None:
+        inform()
     logged = results.sparkSession.read.table(qualified(schema, "ops_pipeline_run_log"))
-    recent = logged.filter(F.col(DAY) >= days_before(as_of, 1))
-    C.gate(recent.filter((F.col("run_id") == run_id) & (F.col("check_type") == C.DIRECT)))
+    written = logged.filter(F.col(DAY).between(first, last) & (F.col("run_id") == run_id))
+    direct = written.filter(F.col("check_type") == C.DIRECT)
+    if direct.isEmpty():
+        raise C.CheckFailed(f"no direct check of run {run_id} is in the log")
+    C.gate(direct)
 
 
 def refresh_summary(customers: DataFrame, orders: DataFrame, root: str, view: str | None = None) -> str:
@@ -159,14 +165,25 @@ def refresh_domain(spark: SparkSession, product: Product, domain: Domain, update
     """New files to bronze to silver and rejected; rule counts go to the event log."""
     layout, stamp = product.layout(domain), f"s-{uuid.uuid4().hex}"
     if domain.name == ORDERS:  # before any row can carry it
-        register_stamp(spark, product.schema, stamp)
+        register_stamp(spark, product.schema, product.root, stamp)
     flow.finish(flow.land(spark, product.sources[domain.name], domain.declared, layout, as_of=at,
                           batch=product.batch))
-    counts = flow.finish(flow.refine(
-        spark, layout, flow.bronze_schema(domain.declared), domain.transform, domain.rules, mode=product.mode,
-        batch=product.batch, stamp=stamp))
-    events = update_events(spark, domain.pipeline, update, f"{domain.name}_silver", domain.rules, counts, at)
-    events.write.mode("append").parquet(product.event_log(domain))
+    try:
+        flow.finish(flow.refine(
+            spark, layout, flow.bronze_schema(domain.declared), domain.transform, domain.rules, mode=product.mode,
+            batch=product.batch, stamp=stamp))
+    finally:  # also what a failed stream has committed
+        counts = stamp_counts(spark, product, domain, stamp)
+        events = update_events(spark, domain.pipeline, update, f"{domain.name}_silver", domain.rules, counts, at)
+        events.write.mode("append").parquet(product.event_log(domain))
+
+
+def stamp_counts(spark: SparkSession, product: Product, domain: Domain, stamp: str) -> list[dict[str, int]]:
+    """Rows and violations per rule of the rows that carry a stamp, counted in the tables themselves."""
+    sides = domain_tables(spark, product, domain, [stamp])[1]
+    rows = sides.silver.unionByName(sides.rejected.select(sides.silver.columns))
+    counts = rows.agg(F.count(F.lit(1)).alias("rows"), *violation_counts(domain.rules)).first().asDict()
+    return [counts] if counts["rows"] else []
 
 
 def domain_tables(spark: SparkSession, product: Product, domain: Domain,
@@ -185,29 +202,38 @@ def update_summary(spark: SparkSession, product: Product, view: str) -> None:
     leaves the orders pending for the next.
     """
     customers_domain, orders_domain = DOMAINS
-    pending, version = pending_stamps(spark, product.schema), current_version(spark, product.schema)
+    root = product.root
+    pending, version = pending_stamps(spark, product.schema, root), current_version(spark, product.schema, root)
     if pending:
         orders = domain_tables(spark, product, orders_domain, pending)[1].silver
         before = spark.read.parquet(version) if version else None
         version = publish(P.order_totals(orders, before), f"{product.root}/order_totals")
-        record_version(spark, product.schema, version, pending)
+        record_version(spark, product.schema, root, version, pending)
     customers = domain_tables(spark, product, customers_domain)[1].silver
     publish(P.summary_of_totals(customers, spark.read.parquet(version)), f"{product.root}/{SUMMARY}", view)
 
 
 def readiness(spark: SparkSession, product: Product, run_id: str, as_of: Moment = None) -> DataFrame:
-    """Direct checks of both domains and the expectation results of their latest updates."""
+    """Direct checks of both domains."""
     found = []
     for domain in DOMAINS:
         bronze, sides = domain_tables(spark, product, domain)
         found.append(C.to_run_log(silver_results(
             domain.contract, sides.silver, bronze, sides.rejected, run_id=run_id, pipeline=domain.pipeline,
             freshness_hours=product.freshness_hours, as_of=as_of)))
-    events = spark.read.parquet(*[product.event_log(d) for d in DOMAINS])
-    found.append(expectation_checks(events, run_id, as_of, [d.pipeline for d in DOMAINS]))
     return reduce(DataFrame.unionByName, found)
 
 
+def log_expectations(spark: SparkSession, product: Product, run_id: str, as_of: Moment = None) -> None:
+    """Logs the expectation results of the latest updates, or one warning per pipeline if they cannot be had."""
+    pipelines = [d.pipeline for d in DOMAINS]
+    try:
+        events = spark.read.parquet(*[product.event_log(d) for d in DOMAINS])
+        append_log(expectation_checks(events, run_id, as_of, pipelines), product.schema, "ops_pipeline_run_log")
+    except Exception as error:
+        append_log(unreadable_checks(spark, run_id, pipelines, error, as_of), product.schema, "ops_pipeline_run_log")
+
+
 def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_sha: str | None = None,
                 job_run_url: str | None = None, now: datetime | None = None) -> None:
     """One complete run. Raises the first error after the outcome has been logged.
@@ -232,12 +258,13 @@ def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_s
 
     def check_silver() -> None:
         run_id = f"{job_run_id}-silver"
-        log_and_gate(readiness(spark, product, run_id, as_of), product.schema, run_id, as_of=as_of)
+        log_and_gate(readiness(spark, product, run_id, as_of), product.schema, run_id,
+                     inform=lambda: log_expectations(spark, product, run_id, as_of))
 
     def check_summary() -> None:
         run_id = f"{job_run_id}-gold"
         results = summary_results(spark.read.table(view), run_id=run_id, as_of=as_of)
-        log_and_gate(results, product.schema, run_id, contract_log=True, as_of=as_of)
+        log_and_gate(results, product.schema, run_id, contract_log=True)
 
     with ThreadPoolExecutor(len(DOMAINS)) as pool:
         for order, domain in enumerate(DOMAINS):

@@ -13,6 +13,10 @@ from assayworks.functions.clock import Moment, moment
 # Lineage columns.
 SOURCE_FILE, INGESTED_AT = "_source_file", "_ingested_at"
 
+# Spark's file streams skip files much older than the newest one seen. Archives and late deliveries keep
+# their old times, so no file may age out.
+KEEP_OLD_FILES = {"maxFileAge": "36500d"}
+
 
 @dataclass(frozen=True)
 class BatchLimit:
@@ -58,7 +62,7 @@ def stream_csv(spark: SparkSession, path: str, schema: StructType, *, header: bo
                batch: BatchLimit | None = None) -> DataFrame:
     """The same as a stream. Files already taken are known from the query's checkpoint."""
     reader = (
-        spark.readStream.options(**_options(header, strict_header, corrupt_column), **_limit(batch))
+        spark.readStream.options(**_options(header, strict_header, corrupt_column), **_limit(batch), **KEEP_OLD_FILES)
         .schema(_full_schema(schema, corrupt_column))
     )
     return reader.csv(path)
@@ -74,7 +78,7 @@ def _limit(batch: BatchLimit | None) -> dict[str, str]:
 def stream_table(spark: SparkSession, path: str, schema: StructType, *,
                  batch: BatchLimit | None = None) -> DataFrame:
     """New Parquet files of an upstream table as a stream."""
-    return spark.readStream.schema(schema).options(**_limit(batch)).parquet(path)
+    return spark.readStream.schema(schema).options(**_limit(batch), **KEEP_OLD_FILES).parquet(path)
 
 
 def to_bronze(df: DataFrame, schema: StructType, as_of: Moment = None,

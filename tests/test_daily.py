@@ -184,18 +184,18 @@ def test_logs_gates_and_views(spark, folder, schema):
     audit = lambda run_id, as_of: daily.silver_results(
         P.ORDERS_CONTRACT, sides.silver, bronze, sides.rejected, run_id=run_id, pipeline="orders_pipeline",
         freshness_hours=168, as_of=as_of)
-    daily.log_and_gate(audit("1", NOON), schema, "1", as_of=NOON)
+    daily.log_and_gate(audit("1", NOON), schema, "1")
     with pytest.raises(C.CheckFailed, match="silver_freshness"):
-        daily.log_and_gate(audit("2", NOON + timedelta(days=9)), schema, "2", as_of=NOON + timedelta(days=9))
+        daily.log_and_gate(audit("2", NOON + timedelta(days=9)), schema, "2")
     assert spark.table("shop.ops_pipeline_run_log").groupBy("run_id").count().count() == 2  # also the failed run
-    daily.log_and_gate(audit("3", NOON), schema, "3", as_of=NOON)  # an older failure does not block a newer run
+    daily.log_and_gate(audit("3", NOON), schema, "3")  # an older failure does not block a newer run
 
     customers = P.customers_silver(landing.to_bronze(
         landing.read_csv(spark, land(folder, "c", CUSTOMER_CSV), P.CUSTOMERS_LANDING), P.CUSTOMERS_LANDING, NOON))
     path = daily.refresh_summary(customers, sides.silver, f"{folder}/summary", "shop.customer_order_summary")
     before = spark.table("shop.customer_order_summary")
     assert before.count() == 7
-    daily.log_and_gate(daily.summary_results(before, run_id="4", as_of=NOON), schema, "4", contract_log=True, as_of=NOON)
+    daily.log_and_gate(daily.summary_results(before, run_id="4", as_of=NOON), schema, "4", contract_log=True)
     assert spark.table("shop.ops_contract_check_log").count() == 4
     other = daily.refresh_summary(customers.limit(2), sides.silver, f"{folder}/summary", "shop.customer_order_summary")
     assert other != path and spark.table("shop.customer_order_summary").count() == 2
@@ -244,7 +244,7 @@ def test_whole_runs(spark, folder, schema):
     again = P.customer_order_summary(full["customers"], full["orders"])
     assert content(spark.table("shop.customer_order_summary")) == content(again)
     assert spark.table("shop.customer_order_summary").dtypes == again.dtypes
-    assert tables.pending_stamps(spark, "shop") == [] and spark.table("shop.summary_versions").count() == 2
+    assert tables.pending_stamps(spark, "shop", f"{folder}/tables") == [] and spark.table("shop.summary_versions").count() == 2
 
     # A gate stops the run before the summary is rebuilt, and the run is on record.
     with pytest.raises(C.CheckFailed, match="silver_freshness"):
@@ -256,12 +256,12 @@ def test_whole_runs(spark, folder, schema):
 
     # The orders of a failed run are taken in by the next, and a run without new files changes nothing.
     land(folder, "orders", ORDER_CSV.replace("q0", "t0"))
-    assert len(tables.pending_stamps(spark, "shop")) == 1
+    assert len(tables.pending_stamps(spark, "shop", f"{folder}/tables")) == 1
     for attempt in ("4", "5"):
         daily.run_product(spark, product(folder), attempt, now=NOON + timedelta(hours=3))
         third = {r.customer_id: r.order_count for r in spark.table("shop.customer_order_summary").collect()}
         assert third == {k: 3 * n for k, n in first.items()}
-        assert tables.pending_stamps(spark, "shop") == []
+        assert tables.pending_stamps(spark, "shop", f"{folder}/tables") == []
     orders = daily.DOMAINS[1]
     stamps = [r.stamp for r in spark.table("shop.summary_versions").collect()]
     added = daily.domain_tables(spark, product(folder), orders, stamps[:1])[1].silver
@@ -316,3 +316,59 @@ def test_old_versions_can_be_refreshed_from(spark, folder):
     tables.publish(orders.limit(1), f"{folder}/silver")
     path = daily.refresh_summary(customers, spark.read.parquet(first), f"{folder}/gold")
     assert spark.read.parquet(path).agg(F.sum("order_count")).first()[0] == 9
+
+
+def test_late_file_with_an_old_time_is_taken(spark, folder):
+    path = land(folder, "orders", ORDER_CSV)
+    layout, _ = start(spark, folder)
+    land(folder, "orders", ORDER_CSV.replace("q0", "z0"))
+    old = (NOON - timedelta(days=4000)).timestamp()
+    os.utime(f"{path}/part1.csv", (old, old))
+    start(spark, folder)
+    assert spark.read.parquet(layout.bronze).count() == 18
+
+
+def test_gate_fails_on_failed_checks_of_any_day(spark, folder, schema):
+    tables.ensure_logs(spark, schema)
+    rows = [("7", "p", "silver_freshness", "direct", "FAIL", "m", datetime(2001, 8, 1))]
+    with pytest.raises(C.CheckFailed, match="silver_freshness"):
+        daily.log_and_gate(spark.createDataFrame(rows, CHECKS), schema, "7")
+    with pytest.raises(C.CheckFailed, match="no direct check"):
+        daily.log_and_gate(spark.createDataFrame(rows, CHECKS), schema, "8")
+
+
+def test_counts_do_not_depend_on_kept_progress(spark, folder, schema):
+    land(folder, "customers", CUSTOMER_CSV)
+    for i in range(5):
+        land(folder, "orders", ORDER_CSV.replace("q0", f"q{i}"))
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        daily.run_product(spark, product(folder, batch=landing.BatchLimit(files=1)), "1", now=NOON)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    told = {r.message for r in spark.table("shop.ops_pipeline_run_log").filter(
+        "pipeline_name = 'orders_pipeline' AND check_type = 'expectation' AND check_name = 'positive_amount'").collect()}
+    assert told == {"flow=orders_silver passed=40 failed=5"}
+
+
+def test_full_refresh_into_a_new_root_does_not_double(spark, folder, schema):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", ORDER_CSV)
+    daily.run_product(spark, product(folder), "1", now=NOON)
+    first = content(spark.table("shop.customer_order_summary"))
+    fresh = daily.Product({"customers": f"{folder}/customers", "orders": f"{folder}/orders"}, f"{folder}/anew", "shop")
+    daily.run_product(spark, fresh, "2", now=NOON)
+    assert content(spark.table("shop.customer_order_summary")) == first
+
+
+def test_unreadable_event_log_warns_and_does_not_block(spark, folder, schema):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", ORDER_CSV)
+    os.makedirs(f"{folder}/tables/event_log/customers")
+    with open(f"{folder}/tables/event_log/customers/part-0.parquet", "w") as out:
+        out.write("not a table")
+    daily.run_product(spark, product(folder), "1", now=NOON)
+    assert job_rows(spark) == {"1": ("SUCCESS", None)} and spark.table("shop.customer_order_summary").count() == 5
+    log = spark.table("shop.ops_pipeline_run_log").filter("run_id = '1-silver'").groupBy("check_type", "status").count()
+    assert {tuple(r) for r in log.collect()} == {("direct", "PASS", 6), ("expectation", "WARN", 2)}

@@ -143,6 +143,6 @@ def test_lookups(spark):
     order = lambda rows: sorted(map(str, rows))
     assert order(by_table) == order(by_map) == order(
         spark.createDataFrame([("a", "first"), ("b", "none"), (None, "none")], "code string, label string").collect())
-    with pytest.raises(ValueError):
-        mapped("code", {str(i): "x" for i in range(65)}, "none")
+    many = {"a": "first", **{str(i): "x" for i in range(500)}}
+    assert sorted(r.v for r in codes.select(mapped("code", many, "none").alias("v")).collect()) == ["first", "none", "none"]
     assert codes.select(mapped("code", {}, "none").alias("v")).distinct().count() == 1
