@@ -16,7 +16,7 @@ from assayworks.llm.shared import written
 SIZE = 128
 BANDS = 32
 CHUNK = 1 << 19
-RARE = 16
+RARE, PARTS = 16, 64
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -133,15 +133,19 @@ def able_pairs(open_rows: DataFrame, classes: DataFrame, clusters: DataFrame, se
     """The pairs a, b of heads in different components and a common bucket, or with a rare shingle in common, that may be linked.
 
     In a cluster, a shingle is rare in up to RARE documents and core in more; one in a single document is neither. What two documents
-    share is core alone, and then bounded by the core shingles of either, or holds a rare shingle, and then they
-    meet by it. Either way they share no more than the rare and core shingles of either.
+    share is core alone, and then bounded by the core shingles of either in each of PARTS parts (by a hash), or holds a
+    rare shingle, and then they meet by it. Either way they share no more than the rare and core shingles of either.
     """
     own = written(sets.join(clusters, "doc_id").select(
         "cluster", F.col("doc_id").alias("head"), F.explode("shingles").alias("shingle")), "shingles")
     counted = own.groupBy("cluster", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     marked = written(own.join(counted, ["cluster", "shingle"]), "shared-shingles")
-    bounds = marked.groupBy("head").agg(
+    in_part = marked.groupBy("head", F.pmod("shingle", F.lit(PARTS)).cast("int").alias("part")).agg(
         F.count(F.lit(1)).alias("common"), F.count(F.when(F.col("n") > RARE, 1)).alias("core"))
+    by_part = F.map_from_entries(F.collect_list(F.struct("part", F.col("core").cast("int"))))
+    bounds = in_part.groupBy("head").agg(F.sum("common").alias("common"), F.sum("core").alias("core"), by_part.alias("of"))
+    bounds = bounds.withColumn("parts", F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda g: F.coalesce(
+        F.try_element_at("of", g), F.lit(0)))).drop("of")
     placed = open_rows.select("head", "component").distinct()
     facts = written(classes.select("head", "n_shingles", "bands").join(placed, "head").join(bounds, "head").filter(
         F.col("common") * 100 >= F.col("n_shingles") * percent), "facts")
@@ -151,14 +155,16 @@ def able_pairs(open_rows: DataFrame, classes: DataFrame, clusters: DataFrame, se
         return least * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent
 
     apart = F.expr("x.head < y.head AND x.component <> y.component")
-    facing = F.struct("head", "component", "n_shingles", "core", "common")
+    facing = F.struct("head", "component", "n_shingles", "core", "common", "parts")
     able = open_rows.select("key", "head").join(facts.filter(
         F.col("core") * 100 >= F.col("n_shingles") * percent), "head").select("key", facing.alias("one"), "bands")
     left, right = able.toDF("key", "x", "xs"), able.toDF("other", "y", "ys")
     first = F.array_min(F.array_intersect("xs", "ys")) == F.col("key")  # a pair is made in one bucket only
-    by_core = left.join(right, (F.col("key") == F.col("other")) & apart & enough("core") & first)
+    shared = F.aggregate(F.zip_with("x.parts", "y.parts", lambda a, b: F.least(a, b)), F.lit(0), lambda total, n: total + n)
+    fitting = shared * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent
+    by_core = left.join(right, (F.col("key") == F.col("other")) & apart & enough("core") & fitting & first)
     thin = marked.filter(F.col("n") <= RARE).select("cluster", "shingle", "head").join(
-        facts.select("head", facing.alias("one")), "head").drop("head")
+        facts.select("head", F.struct("head", "component", "n_shingles", "common").alias("one")), "head").drop("head")
     one, two = thin.toDF("cluster", "shingle", "x"), thin.toDF("c", "s", "y")
     by_rare = one.join(two, F.expr("cluster = c AND shingle = s") & apart & enough("common"))
     return by_core.select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).union(
