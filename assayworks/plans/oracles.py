@@ -249,15 +249,17 @@ ORACLES: dict[str, str] = {
     "customers_silver": f"WITH {CUSTOMERS} SELECT * FROM customers_candidates",
     "orders_silver": f"WITH {ORDERS} SELECT * FROM orders_candidates",
     "region_lookup_join": """
-        SELECT c_custkey, c_nationkey, coalesce(r_name, 'Unknown') AS region FROM customer
-        LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey
-                   WHERE n_regionkey <> 2) ON c_nationkey = n_nationkey""",
+        SELECT c_custkey, CAST(c_nationkey + 4 AS BIGINT) AS nation_code, coalesce(r_name, 'Unknown') AS region FROM customer
+        LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)
+          ON c_nationkey + 4 = n_nationkey""",
     "customers_rejected": f"WITH {CUSTOMERS} SELECT * FROM customers_bad",
     "orders_rejected": f"WITH {ORDERS} SELECT * FROM orders_bad",
     "orders_rejected_null_violation": f"""WITH {ORDERS}
         SELECT *, 'positive_amount' AS rejection_reason, 'business_invalid' AS rejection_severity
         FROM orders_candidates WHERE NOT coalesce(amount > 0, false)""",
-    "rejected_no_rules": f"WITH {ORDERS} SELECT * FROM orders_bad WHERE false",
+    "rejected_no_rules": f"""WITH {ORDERS}
+        SELECT *, CAST(NULL AS VARCHAR) AS rejection_reason, CAST(NULL AS VARCHAR) AS rejection_severity,
+               'silver' AS _route FROM orders_candidates""",
     "events_rejected": f"""WITH {CHANGES}
         SELECT *, {REASONS} AS rejection_reason, 'business_invalid' AS rejection_severity
         FROM changes WHERE value <= 5 OR event_type = 'error'""",
@@ -286,9 +288,10 @@ ORACLES: dict[str, str] = {
         SELECT s_suppkey AS supplier_id, s_name, coalesce(line_count, 0) AS line_count, returned_value, last_ship_date
         FROM supplier LEFT JOIN (
           SELECT l_suppkey, count(l_orderkey) AS line_count,
-                 CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS returned_value,
+                 CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(12,2)) END)
+                      AS DECIMAL(22,2)) AS returned_value,
                  max(l_shipdate) AS last_ship_date
-          FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) ON s_suppkey = l_suppkey""",
+          FROM lineitem GROUP BY 1) ON s_suppkey = l_suppkey""",
     "order_totals_incremental": f"""WITH {ORDERS}
         SELECT customer_id, count(order_id) AS order_count, CAST(sum(amount) AS DECIMAL(20,2)) AS total_amount,
                max(order_date) AS last_order_date FROM orders_candidates GROUP BY 1""",
@@ -337,10 +340,14 @@ ORACLES: dict[str, str] = {
     "reconcile_counts": f"""WITH {CUSTOMERS}, {ORDERS}
         SELECT table_name, expected_rows, actual_rows,
                CASE WHEN expected_rows = actual_rows THEN 'PASS' ELSE 'FAIL' END AS status FROM (
-          SELECT 'customers_silver' AS table_name, CAST(1350 AS BIGINT) AS expected_rows, (SELECT count(*) FROM customers_kept) AS actual_rows
-          UNION ALL SELECT 'customers_rejected', 150, (SELECT count(*) FROM customers_bad)
-          UNION ALL SELECT 'orders_silver', 14000, (SELECT count(*) FROM orders_kept)
-          UNION ALL SELECT 'orders_rejected', 900, (SELECT count(*) FROM orders_bad))""",
+          SELECT 'customers_silver' AS table_name, (SELECT count(*) FROM customer WHERE c_custkey % 10 <> 3) AS expected_rows,
+                 (SELECT count(*) FROM customers_kept) AS actual_rows
+          UNION ALL SELECT 'customers_rejected', (SELECT count(*) FROM customer WHERE c_custkey % 10 = 3),
+                           (SELECT count(*) FROM customers_bad)
+          UNION ALL SELECT 'orders_silver', (SELECT count(*) FROM orders WHERE NOT (o_orderkey % 15 = 9 AND o_orderkey % 50 <> 11)),
+                           (SELECT count(*) FROM orders_kept)
+          UNION ALL SELECT 'orders_rejected', (SELECT count(*) FROM orders WHERE o_orderkey % 15 = 9 AND o_orderkey % 50 <> 11),
+                           (SELECT count(*) FROM orders_bad))""",
     "event_log_latest_updates": f"WITH {EVENT_LOG} SELECT * FROM latest",
     "event_log_totals": f"WITH {EVENT_LOG} SELECT * FROM totals",
     "event_log_expectations": f"""WITH {EVENT_LOG}
