@@ -22,7 +22,7 @@ from assayworks.functions.clock import Moment, days_before, moment
 from assayworks.operators import checks as C
 from assayworks.operators.contract import Contract
 from assayworks.operators.eventlog import expectation_checks, unreadable_checks, update_events
-from assayworks.operators.routing import STAMP, Split, route, violation_counts
+from assayworks.operators.routing import REJECTED, ROUTE, SILVER, STAMP, Split, route, violation_counts
 from assayworks.operators.rules import Mode, Rule
 from assayworks.operators.status import run_outcomes
 from assayworks.plans import customer_orders as P
@@ -35,6 +35,7 @@ from assayworks.sources.tables import (
     ensure_logs,
     pending_stamps,
     publish,
+    published,
     qualified,
     record_version,
     register_stamp,
@@ -176,6 +177,17 @@ def refresh_domain(spark: SparkSession, product: Product, domain: Domain, update
         counts = stamp_counts(spark, product, domain, stamp)
         events = update_events(spark, domain.pipeline, update, f"{domain.name}_silver", domain.rules, counts, at)
         events.write.mode("append").parquet(product.event_log(domain))
+    publish_domain(spark, product, domain)
+
+
+def publish_domain(spark: SparkSession, product: Product, domain: Domain) -> None:
+    """Gives bronze, silver and rejected their names in the catalog: <domain>_bronze and so on."""
+    layout, (bronze, sides) = product.layout(domain), domain_tables(spark, product, domain)
+    define_views(spark, product.schema, {
+        f"{domain.name}_bronze": published(bronze, layout.bronze),
+        f"{domain.name}_silver": published(sides.silver, layout.routed, f"{ROUTE} = '{SILVER}'"),
+        f"{domain.name}_rejected": published(sides.rejected, layout.routed, f"{ROUTE} = '{REJECTED}'"),
+    })
 
 
 def stamp_counts(spark: SparkSession, product: Product, domain: Domain, stamp: str) -> list[dict[str, int]]:

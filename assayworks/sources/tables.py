@@ -96,6 +96,14 @@ def publish(df: DataFrame, root: str, view: str | None = None) -> str:
     return path
 
 
+def published(df: DataFrame, path: str, condition: str = "true") -> str:
+    """A view's query over a folder that streams write to: committed rows only, and the schema also without rows."""
+    if df.isEmpty():
+        columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema)
+        return f"SELECT {columns} WHERE false"
+    return f"SELECT {', '.join(f'`{c}`' for c in df.columns)} FROM parquet.`{path}` WHERE {condition}"
+
+
 def define_views(spark: SparkSession, schema: str, definitions: Mapping[str, str]) -> None:
     for name, query in definitions.items():
         spark.sql(f"CREATE OR REPLACE VIEW {qualified(schema, name)} AS {query}")

@@ -372,3 +372,15 @@ def test_unreadable_event_log_warns_and_does_not_block(spark, folder, schema):
     assert job_rows(spark) == {"1": ("SUCCESS", None)} and spark.table("shop.customer_order_summary").count() == 5
     log = spark.table("shop.ops_pipeline_run_log").filter("run_id = '1-silver'").groupBy("check_type", "status").count()
     assert {tuple(r) for r in log.collect()} == {("direct", "PASS", 6), ("expectation", "WARN", 2)}
+
+
+def test_tables_have_names_also_when_empty(spark, folder, schema):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", "\n".join(ORDER_CSV.splitlines()[:3]) + "\n")
+    daily.run_product(spark, product(folder), "1", now=NOON)
+    counts = {name: spark.table(f"shop.{name}").count() for name in (
+        "customers_bronze", "customers_silver", "customers_rejected", "orders_bronze", "orders_silver", "orders_rejected")}
+    assert counts == {"customers_bronze": 7, "customers_silver": 5, "customers_rejected": 2, "orders_bronze": 2,
+                      "orders_silver": 2, "orders_rejected": 0}
+    _, sides = daily.domain_tables(spark, product(folder), daily.DOMAINS[1])
+    assert spark.table("shop.orders_rejected").dtypes == sides.rejected.dtypes
