@@ -13,7 +13,7 @@ from assayworks.llm.suffixes import repeated_windows
 
 SIZE, GRAM = 100, 24
 RUNS_PER_TASK = 16_000
-STEP = 8
+STEP = 4
 
 
 def likely_parts(data: np.ndarray, first: np.ndarray, at: np.ndarray, anchor: np.ndarray, size: int,

@@ -12,16 +12,23 @@ END = 0
 
 
 class Column:
-    """An array in a file that is read from front to back and written anew from front to back."""
+    """An array in a file that is read from front to back and written anew from front to back. It never shrinks."""
 
     def __init__(self, folder: str, name: str, kind: type):
-        self.path, self.kind = os.path.join(folder, name), kind
+        self.kind = kind
+        self.file = open(os.path.join(folder, name), "w+b")  # noqa: SIM115
 
     def read(self) -> np.ndarray:
-        return np.fromfile(self.path, self.kind)
+        self.file.seek(0)
+        return np.fromfile(self.file, self.kind)
 
     def write(self, values: np.ndarray) -> None:
-        values.astype(self.kind, copy=False).tofile(self.path)
+        self.file.seek(0)
+        values.astype(self.kind, copy=False).tofile(self.file)
+        self.file.flush()
+
+    def close(self) -> None:
+        self.file.close()
 
 
 def _merge(old: np.ndarray, stay: np.ndarray, places: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -103,6 +110,8 @@ def suffix_order(data: np.ndarray, first: np.ndarray,
             prefixes.write(lcp)
             at = new
         b, lcp = transform.read(), prefixes.read()
+        transform.close()
+        prefixes.close()
     return (*_located(b, sizes), lcp)
 
 
