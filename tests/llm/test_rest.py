@@ -161,6 +161,52 @@ def test_copies_and_edited_copies(spark, make):
     assert kept.count() == len(rows) - 40
 
 
+def test_every_fourth_word_replaced_and_words_put_in(spark, make):
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in (11, 15, 20, 30, 40, 59)]
+    rows, expected = [(1, "some other words " * 40)], set()
+    for n, text in items:
+        words = text.split(" ")
+        for phase in range(4):
+            edited = ["edit" if k % 4 == phase else w for k, w in enumerate(words)]
+            if decontaminate.aligned(np.array([hash(w) for w in words]), np.array([hash(w) for w in edited]))[0] >= 0.6:
+                expected.add((10 * n + phase, n))
+            rows.append((10 * n + phase, "before it " * 30 + " ".join(edited) + " after it" * 30))
+        # A word put in after every second word leaves no 3-gram.
+        rows.append((10 * n + 5, " ".join(w + " more" * (k % 2) for k, w in enumerate(words))))
+        expected.add((10 * n + 5, n))
+    assert {(10 * n + p, n) for n in (20, 30, 40, 59) for p in (0, 1, 2)} <= expected
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(make(rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == expected
+
+
+def edited(rng, words):
+    """Some words kept, replaced, left out, or with others put in behind them."""
+    out, odds = [], rng.dirichlet([8, 1, 1, 1])
+    for w in words:
+        kind = rng.choice(4, p=odds)
+        out += [w] * (kind in (0, 3)) + [f"w{rng.integers(0, 60)}"] * (kind in (1, 3))
+    return out
+
+
+def aligned_pairs(rows, items):
+    """What is found when every document is aligned with every item."""
+    code = {}
+    coded = lambda text: np.array([code.setdefault(w, len(code)) for w in text.split()])
+    return {(d, i) for d, text in rows for i, item in items if decontaminate.aligned(coded(item), coded(text))[0] >= 0.6}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_edited_items_against_alignments_of_all(spark, make, n):
+    rng = np.random.default_rng(5)
+    items = [(k, " ".join(f"w{x}" for x in rng.integers(0, 60, 14 + k))) for k in range(20)]
+    rows = [(d, " ".join(["w1", "w2"] * int(rng.integers(0, 20)) + edited(rng, items[d % 20][1].split()) + ["w3"] * int(d % 7)))
+            for d in range(300)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(make(rows), bench, n).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == aligned_pairs(rows, items)
+
+
 def test_alignment_against_a_plain_table():
     rng = np.random.default_rng(4)
     for _ in range(60):
