@@ -18,7 +18,6 @@ GRAM = 3
 SEEDS_PER_BLOCK = 200_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.6
-LEAST_WORDS = 8
 
 
 @dataclass(frozen=True)
@@ -239,7 +238,7 @@ def _matches(docs: DataFrame, items: Items, least: float) -> DataFrame:
                 for text, item, starts in _hits(words, hashes, items):
                     own = hashes[words.first[text]:words.first[text + 1]]
                     score, a, b = _best(own, np.maximum(starts, 0), items.words[item], int(items.slack[item]), least)
-                    if score >= least and b - a >= min(LEAST_WORDS, len(items.words[item])):
+                    if score >= least:
                         rows.append((part.rows[text], items.ids[item], score, a, b))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
@@ -255,7 +254,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, least: fl
     """Documents that hold an item, whole or edited: doc_id, item_id, score, start_word, end_word (exclusive).
 
     The score is the best local alignment (match 2, mismatch and gap -1) over the item's words, as a share of the item
-    aligned with itself; rows have ``least`` and more. One row per row of ``docs`` and item, for its best passage.
+    aligned with itself; rows have ``least`` and more, and nothing else decides. One row per row of ``docs`` and item, for its best passage.
     Words are compared with A to Z lower-cased and without punctuation at their ends.
 
     Seeds are the grams of an item, of as many words (up to ``n``) as every alignment of the score leaves intact

@@ -207,6 +207,22 @@ def test_edited_items_against_alignments_of_all(spark, make, n):
     assert {(r["doc_id"], r["item_id"]) for r in found} == aligned_pairs(rows, items)
 
 
+def test_short_items_by_the_score_alone(spark, make):
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in (1, 2, 3, 5, 8, 10)]
+    rows = []
+    for n, text in items:
+        words = text.split(" ")
+        parts = [words, [*words[:-1], "other"], words[: -(-7 * n // 10)], words[:n // 2], words[:2] + words[3:],
+                 [x for w in words for x in (w, "more")]]
+        rows += [(10 * n + k, " ".join(["before", *some, "after"])) for k, some in enumerate(parts)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(make(rows), bench).collect()
+    pairs = {(r["doc_id"], r["item_id"]) for r in found}
+    assert pairs == aligned_pairs(rows, items)
+    assert {(n * 10, n) for n, _ in items} | {(81, 8), (84, 8), (102, 10), (51, 5), (55, 5)} <= pairs
+    assert not {d for d, _ in pairs} & {10 * n + 3 for n, _ in items}
+
+
 def test_alignment_against_a_plain_table():
     rng = np.random.default_rng(4)
     for _ in range(60):
