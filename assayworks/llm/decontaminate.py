@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayworks.llm.arrowtext import SECOND, Texts, Words, spans_hashed, text_chunks
-from assayworks.llm.shared import written
+from assayworks.llm.shared import free_name, written
 
 GRAM = 3
 SEEDS_PER_BLOCK = 200_000
@@ -229,18 +229,23 @@ def _hits(words: Words, hashes: np.ndarray, items: Items) -> Iterator[tuple[int,
         yield text, own, at[a:b] - words.first[text] - items.place[seed[a:b]]
 
 
+def _rows_found(column: pa.Array, items: Items, least: float) -> list[tuple]:
+    """Place in the column, item id, score and span of every match."""
+    rows: list[tuple] = []
+    for part in text_chunks(column):
+        words, hashes = plain(part)
+        for text, item, starts in _hits(words, hashes, items):
+            own = hashes[words.first[text]:words.first[text + 1]]
+            score, a, b = _best(own, np.maximum(starts, 0), items.words[item], int(items.slack[item]), least)
+            if score >= least:
+                rows.append((part.rows[text], items.ids[item], score, a, b))
+    return rows
+
+
 def _matches(docs: DataFrame, items: Items, least: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            for part in text_chunks(batch.column(1)):
-                words, hashes = plain(part)
-                for text, item, starts in _hits(words, hashes, items):
-                    own = hashes[words.first[text]:words.first[text + 1]]
-                    score, a, b = _best(own, np.maximum(starts, 0), items.words[item], int(items.slack[item]), least)
-                    if score >= least:
-                        rows.append((part.rows[text], items.ids[item], score, a, b))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            columns = list(zip(*_rows_found(batch.column(1), items, least), strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(columns[0], pa.int64())), pa.array(columns[1], pa.int64()),
                  pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int64())],
@@ -275,7 +280,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, least: fl
     return found
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no item. Rows with a NULL doc_id stay or go together."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, least: float = SCORE) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns.
+
+    Each row is judged by its own text, whatever its doc_id; repeated rows stay as often as they occur. One pass without a shuffle
+    for each block of the benchmark.
+    """
+    text = free_name(docs, "text")
+    clean = docs.withColumn(text, F.col("text").cast("string"))
+    for items in _blocks(benchmark, docs, n, least):
+        clean = clean.mapInArrow(_clean_rows(items, least), clean.schema)
+    return clean.drop(text)
+
+
+def _clean_rows(items: Items, least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            clean[[r[0] for r in _rows_found(batch.column(batch.num_columns - 1), items, least)]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run

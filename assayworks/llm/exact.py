@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayworks.llm.shared import ascii_lower, text_or_empty, written
+from assayworks.llm.shared import ascii_lower, free_name, text_or_empty, written
 
 SALTS = 64
 
@@ -72,8 +72,12 @@ def exact_duplicates(docs: DataFrame, digest: Digest = sha256, salts: int = SALT
 def without_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of repeated rows one stays.
 
-    Rows with a NULL doc_id stay when no numbered document has their text.
+    A row stays when its doc_id won for its own text, so rows that share an id are told apart by their texts. Rows with a
+    NULL doc_id stay when no numbered document has their text.
     """
-    winners = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_winner")).distinct()
-    kept = docs.join(winners, F.col("doc_id").eqNullSafe(F.col("_winner")), "left_semi")
-    return kept.dropDuplicates(docs.columns)
+    digest = free_name(docs, "digest")
+    winners = exact_duplicates(docs).filter("kept").select(
+        F.col("doc_id").alias("_winner"), F.col("digest").alias("_digest")).distinct()
+    keyed = docs.withColumn(digest, sha256(ascii_lower(text_or_empty())))
+    kept = keyed.join(winners, F.col("doc_id").eqNullSafe(F.col("_winner")) & (F.col(digest) == F.col("_digest")), "left_semi")
+    return kept.drop(digest).dropDuplicates(docs.columns)

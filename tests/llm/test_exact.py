@@ -44,3 +44,9 @@ def test_empty_and_kept_rows(make):
     assert found(make([])) == []
     kept = without_exact_duplicates(make([(1, "a"), (2, "A"), (2, "A"), (3, "b")]))
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3] and "score" in kept.columns
+
+
+def test_rows_of_one_id_stay_or_go_by_their_texts(make):
+    rows = [(None, "only here"), (None, "A text"), (3, "a text"), (3, "of nine"), (9, "OF NINE"), (None, "of nine"), (None, "Only here")]
+    kept = sorted(((r["doc_id"], r["text"]) for r in without_exact_duplicates(make(rows)).collect()), key=str)
+    assert kept == sorted([(None, "only here"), (None, "Only here"), (3, "a text"), (9, "OF NINE")], key=str)

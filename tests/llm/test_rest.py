@@ -223,6 +223,17 @@ def test_short_items_by_the_score_alone(spark, make):
     assert not {d for d, _ in pairs} & {10 * n + 3 for n, _ in items}
 
 
+def test_rows_of_one_id_are_judged_by_their_texts(spark, make):
+    item = " ".join(f"w{k}" for k in range(20))
+    rows = [(None, "clean"), (None, f"x {item} y"), (None, None), (7, item), (7, "clean too"), (7, "clean too"), (8, item)]
+    items = [(k, item if k == 5 else f"{k} other words " * 9) for k in range(9)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = decontaminate.without_benchmark(make(rows), bench)
+    assert kept.schema == make(rows).schema
+    expected = [(None, "clean"), (None, None), (7, "clean too"), (7, "clean too")]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(expected, key=str)
+
+
 def test_alignment_against_a_plain_table():
     rng = np.random.default_rng(4)
     for _ in range(60):
