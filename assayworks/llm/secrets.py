@@ -18,8 +18,6 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 IDENTIFIER = r"[A-Za-z_]{8,}"
 
-TRAIN_DOCUMENTS = 20_000
-TRAIN_STRINGS = 20_000
 BACKOFF = 5.0
 EVIDENCE = 12.0
 
@@ -29,23 +27,19 @@ def _found(text: Column, pattern: str, group: int = 0) -> Column:
 
 
 def training_strings(docs: DataFrame) -> DataFrame:
-    """``label`` (1 random, 0 ordinary) and ``string``, from at most about TRAIN_DOCUMENTS documents picked by a hash.
+    """``label`` (1 random, 0 ordinary) and ``string``, each string of a label once, from all documents.
 
-    Labelled by the fixed patterns: what they hold is random, words of eight letters and more are ordinary.
-    At most TRAIN_STRINGS of each label, in the order of a hash.
+    Labelled by the fixed patterns: what they hold is random when it has a digit and 16 characters, words of eight letters and
+    more are ordinary. The strings are combined in each task before they are shuffled.
     """
-    every = max(1, docs.count() // TRAIN_DOCUMENTS)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(text.alias("text"))
+    some = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     words = F.filter(_found(F.col("text"), r"(?<![A-Za-z0-9+/_=-])" + IDENTIFIER + r"(?![A-Za-z0-9+/_=-])"),
                      lambda w: ~w.rlike("[0-9]"))
     values = F.filter(F.flatten(F.array(_found(F.col("text"), ASSIGN, 2), _found(F.col("text"), HEX),
                                         _found(F.col("text"), ACCESS))), lambda v: v.rlike("[0-9]") & (F.length(v) >= 16))
-    labelled = some.select(F.lit(1).alias("label"), F.explode(values).alias("string")).distinct().union(
-        some.filter(F.pmod(F.xxhash64("text"), F.lit(10)) == 0).select(F.lit(0), F.explode(words)).distinct())
-    ranked = labelled.withColumn("_order", F.xxhash64("string"))
-    picked = [ranked.filter(F.col("label") == k).orderBy("_order").limit(TRAIN_STRINGS) for k in (0, 1)]
-    return picked[0].union(picked[1]).drop("_order")
+    labelled = F.concat(F.transform(values, lambda v: F.struct(F.lit(1).alias("label"), v.alias("string"))),
+                        F.transform(words, lambda w: F.struct(F.lit(0).alias("label"), w.alias("string"))))
+    return some.select(F.inline(labelled)).distinct()
 
 
 def fit_markov(strings: DataFrame) -> list[float]:
@@ -55,12 +49,12 @@ def fit_markov(strings: DataFrame) -> list[float]:
     characters take no part. Without strings of a label its model is even. The driver gets counts of
     character pairs only.
     """
-    chars = strings.select("label", "string", F.explode(F.sequence(
-        F.lit(1), F.greatest(F.length("string") - 1, F.lit(1)))).alias("i")).filter(F.length("string") > 1)
-    pair = F.col("string").substr(F.col("i"), F.lit(2))
+    chars, pairs = F.split("string", ""), F.length("string") - 1
+    two = F.zip_with(F.slice(chars, 1, pairs), F.slice(chars, 2, pairs), lambda a, b: F.concat(a, b))
+    found = strings.filter(F.length("string") > 1).select("label", F.explode(two).alias("two"))
     n = len(ALPHABET)
     counts = {0: [[0] * n for _ in range(n)], 1: [[0] * n for _ in range(n)]}
-    for label, two, count in chars.groupBy("label", pair.alias("two")).count().collect():
+    for label, two, count in found.groupBy("label", "two").count().collect():
         a, b = ALPHABET.find(two[0]), ALPHABET.find(two[1])
         if a >= 0 and b >= 0:
             counts[label][a][b] += count

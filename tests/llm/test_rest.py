@@ -73,6 +73,27 @@ def test_spans_against_brute_force(spark, make):
     assert secrets.secret_spans(make([]), table).count() == 0
 
 
+def test_models_learn_from_every_document(spark, make):
+    rows = [(i, f"ordinary sentence {chr(97 + i) * 8}{chr(98 + i) * 3} key{i}: token=abc{i:02}defghijklmnopq" + "0f" * (16 + i))
+            for i in range(20)] + ODD
+    expected = set()
+    for _, text in rows:
+        expected |= {(0, m[0]) for m in re.finditer(r"(?<![\w+/=-])[A-Za-z_]{8,}(?![\w+/=-])", text or "", re.ASCII)}
+        found = [m[1] for m in re.finditer(r"(?:token)=([A-Za-z0-9+/_.=-]+)", text or "")] + re.findall("[0-9a-f]{32,}", text or "")
+        expected |= {(1, v) for v in found if len(v) >= 16 and re.search("[0-9]", v)}
+    strings = secrets.training_strings(make(rows))
+    assert sorted(map(tuple, strings.collect())) == sorted(expected)
+    for row in rows[:5]:
+        assert {r["label"] for r in secrets.training_strings(make([row])).collect()} == {0, 1}
+    table, n = secrets.fit_markov(strings), len(secrets.ALPHABET)
+    counts = {k: np.zeros((n, n)) for k in (0, 1)}
+    for label, string in expected:
+        for a, b in zip(string, string[1:]):
+            counts[label][secrets.ALPHABET.find(a), secrets.ALPHABET.find(b)] += "." not in a + b
+    logs = {k: np.array(secrets._logs(counts[k].tolist())) for k in (0, 1)}
+    assert table == pytest.approx((logs[1] - logs[0]).ravel())
+
+
 def test_models_find_random_strings_and_leave_words(spark, documents):
     rng = np.random.default_rng(1)
     letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
