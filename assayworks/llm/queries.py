@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayworks.llm import decontaminate, exact, neardup, packing, phrases, quality, secrets, shards, substrings, tokens, urls
+from assayworks.llm import (
+    decontaminate,
+    exact,
+    neardup,
+    packing,
+    phrases,
+    quality,
+    runs,
+    secrets,
+    shards,
+    substrings,
+    tokens,
+    urls,
+)
 from assayworks.llm.sql import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +128,16 @@ def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
 def op10_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.apply_rules(_table(spark, sf, "pages"), rules, "page_id", "url", URL_DEFAULT)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = runs.periodic_runs(runs.with_planted_runs(_table(spark, sf, "documents")))
+    # Runs come by start, then period, so the first of the greatest exponent is the one wanted.
+    best = F.expr("""aggregate(slice(runs, 2, greatest(size(runs) - 1, 0)), get(runs, 0),
+                     (best, r) -> if(r.length * best.period > best.length * r.period, r, best))""")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))

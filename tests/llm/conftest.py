@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 
@@ -23,3 +24,7 @@ def documents(spark):
 
 ODD = [(1, None), (2, ""), (3, "  \t\n "), (None, "a null id and some text"), (4, "short"), (4, "short"),
        (5, "ÄÖ é x \U0001f600 " * 30), (6, "word " * 20000)]
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
