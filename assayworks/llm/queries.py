@@ -14,9 +14,11 @@ from assayworks.llm import (
     packing,
     phrases,
     quality,
+    repair,
     runs,
     secrets,
     shards,
+    simhash,
     substrings,
     tokens,
     urls,
@@ -141,3 +143,14 @@ def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op11_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = _table(spark, sf, "conversations")
+    return repair.with_everyone(repair.repaired(repair.damaged(conversations)), conversations)
