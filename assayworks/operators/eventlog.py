@@ -62,30 +62,40 @@ def _scoped(events: DataFrame, pipelines: Sequence[str] | None) -> DataFrame:
     return events if pipelines is None else events.filter(F.col("pipeline_name").isin(*pipelines))
 
 
-def expectation_totals(events: DataFrame, pipelines: Sequence[str] | None = None) -> DataFrame:
-    """Passed and failed records per (pipeline, flow, expectation) of the latest update.
-
-    The JSON is parsed after the join, so only for the latest updates. An inner explode would
-    let Catalyst derive a "not empty" filter and parse every event of the log
-    below the join; the outer form with a position check does not.
+def update_totals(events: DataFrame, pipelines: Sequence[str] | None = None) -> DataFrame:
+    """Per pipeline of the log its newest update_id (NULL without one) and ``totals``, that update's sums per (flow, expectation).
 
-    Where the latest updates are too many for Spark to broadcast, both sides are exchanged on (pipeline,
-    update): one busy pipeline spreads over its updates, and AQE can split what is left.
+    One scan and no join. The sums are made for every update, partially before the shuffle, so a row per (pipeline, update, flow,
+    expectation) and map task is all that travels. They are then gathered per update, a list as long as the update has
+    rules, and the newest update of a pipeline is the greatest by start time. Progress without results, and events of
+    other kinds, only name their pipeline.
     """
-    scope = _scoped(events, pipelines)
-    progress = scope.filter(F.col("event_type") == PROGRESS).select(
-        "pipeline_name", F.col("origin.update_id").alias("update_id"),
-        F.col("origin.flow_name").alias("flow_name"), "details",
-    )
-    latest = latest_updates(scope).filter(F.col("update_id").isNotNull())
-    return (
-        progress.join(latest, ["pipeline_name", "update_id"])
-        .select("pipeline_name", "flow_name", F.posexplode_outer(expectations("details")).alias("at", "one"))
-        .filter(F.col("at").isNotNull())
-        .groupBy("pipeline_name", "flow_name", F.col("one.name").alias("expectation_name"))
-        .agg(F.sum("one.passed_records").alias("total_passed"),
-             F.sum("one.failed_records").alias("total_failed"))
+    started = F.col("event_type") == STARTED
+    progress = F.col("event_type") == PROGRESS
+    told = F.when(started, update_id("details")).when(progress, F.col("origin.update_id"))
+    rows = _scoped(events, pipelines).select(
+        "pipeline_name", told.alias("update_id"),
+        F.when(started, F.struct("timestamp", told.alias("id"))).alias("started"),
+        F.when(progress, F.col("origin.flow_name")).alias("flow_name"),
+        F.posexplode_outer(F.when(progress, expectations("details"))).alias("at", "one"),
     )
+    sums = rows.groupBy(
+        "pipeline_name", "update_id", "flow_name", F.col("one.name").alias("name"), F.col("at").isNotNull().alias("counted"),
+    ).agg(F.max("started").alias("started"), F.sum("one.passed_records").alias("total_passed"),
+          F.sum("one.failed_records").alias("total_failed"))
+    total = F.struct("flow_name", F.col("name").alias("expectation_name"), "total_passed", "total_failed")
+    updates = sums.groupBy("pipeline_name", "update_id").agg(
+        F.max("started").alias("started"), F.collect_list(F.when(F.col("counted"), total)).alias("totals"))
+    newest = updates.groupBy("pipeline_name").agg(F.max_by(F.struct("update_id", "totals"), "started").alias("newest"))
+    # Without a start there is no newest; a pipeline without a name has no update of its own.
+    known = F.col("pipeline_name").isNotNull() & F.col("newest.update_id").isNotNull()
+    return newest.select("pipeline_name", F.when(known, F.col("newest.update_id")).alias("update_id"),
+                         F.when(known, F.col("newest.totals")).alias("totals"))
+
+
+def expectation_totals(events: DataFrame, pipelines: Sequence[str] | None = None) -> DataFrame:
+    """Passed and failed records per (pipeline, flow, expectation) of the latest update."""
+    return update_totals(events, pipelines).select("pipeline_name", F.inline("totals"))
 
 
 def unreadable_checks(spark: SparkSession, run_id: str, pipelines: Sequence[str], error: Exception,
@@ -104,26 +114,26 @@ def expectation_checks(events: DataFrame, run_id: str, as_of: Moment = None,
 
     ``pipelines`` names the pipelines to report; by default those found in the log.
     """
-    if pipelines is None:
-        known = events.select("pipeline_name").distinct()
-    else:
-        known = events.sparkSession.createDataFrame([(p,) for p in pipelines], "pipeline_name string")
+    found = update_totals(events, pipelines)
+    if pipelines is not None:
+        named = events.sparkSession.createDataFrame([(p,) for p in pipelines], "pipeline_name string")
+        found = named.join(found, "pipeline_name", "left")
     none_failed = F.coalesce(F.col("total_failed") == 0, F.lit(False))
     # NULL sums and names are told as the word None
     told = {c: F.coalesce(F.col(c).cast("string"), F.lit("None"))
             for c in ("flow_name", "total_passed", "total_failed")}
-    graded = expectation_totals(events, pipelines).select(
-        "pipeline_name", F.col("expectation_name").alias("check_name"),
+    silent = F.col("update_id").isNull()
+    # An update without results reports nothing; a pipeline without update reports that, in one row.
+    reported = F.when(silent, F.array(F.lit(None).cast(found.schema["totals"].dataType.elementType))).otherwise(F.col("totals"))
+    graded = found.select("pipeline_name", "update_id", F.inline(reported)).select(
+        "pipeline_name",
+        F.when(silent, F.lit(NO_UPDATE_CHECK)).otherwise(F.col("expectation_name")).alias("check_name"),
         F.when(none_failed, F.lit(PASS)).otherwise(F.lit(WARN)).alias("status"),
-        F.concat(F.lit("flow="), told["flow_name"], F.lit(" passed="), told["total_passed"],
-                 F.lit(" failed="), told["total_failed"]).alias("message"),
-    )
-    updated = latest_updates(_scoped(events, pipelines)).filter(F.col("update_id").isNotNull())
-    silent = known.join(updated, "pipeline_name", "left_anti").select(
-        "pipeline_name", F.lit(NO_UPDATE_CHECK).alias("check_name"), F.lit(WARN).alias("status"),
-        F.lit(NO_UPDATE_MESSAGE).alias("message"),
+        F.when(silent, F.lit(NO_UPDATE_MESSAGE)).otherwise(
+            F.concat(F.lit("flow="), told["flow_name"], F.lit(" passed="), told["total_passed"],
+                     F.lit(" failed="), told["total_failed"])).alias("message"),
     )
-    return graded.unionByName(silent).select(
+    return graded.select(
         F.lit(run_id).alias("run_id"), F.lit(EXPECTATION).alias("check_type"),
         moment(as_of).alias("checked_at"), "*",
     ).select(*RUN_LOG_COLUMNS)
