@@ -9,6 +9,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayworks.functions.ranged import next_in_ranges
 from assayworks.functions.sliced import next_in_order
 
 # Names of the validity columns of a full history.
@@ -51,19 +52,45 @@ def live(state: DataFrame, delete_when: str | None = None) -> DataFrame:
     return state.filter(~F.coalesce(F.expr(delete_when), F.lit(False)))
 
 
-def scd2(log: DataFrame, keys: Sequence[str], order: Sequence[str], delete_when: str | None = None,
-         slice_of: Column | None = None, drop_copies: bool = True) -> DataFrame:
-    """Every version with its validity: [__START_AT, __END_AT), open-ended when current.
+def scd2_state(log: DataFrame, keys: Sequence[str], order: Sequence[str], slice_of: Column | None = None,
+               drop_copies: bool = True, ranged: bool = False) -> DataFrame:
+    """Every change with its validity: [__START_AT, __END_AT), open-ended when current, both from ``order[0]``.
 
-    Both come from ``order[0]``. A delete ends the version before it and is no
-    version itself. Histories are cut into slices (see functions.sliced), so no
-    key has to fit in one task. Rows equal in every column are one change that was delivered
-    more than once; they are merged first, map-side, unless ``drop_copies`` is off
+    Deletes are rows too, so later batches can be spliced in (scd2_spliced); live() of it is the history. Histories are cut into slices
+    (see functions.sliced), so no key has to fit in one task; with ``ranged``, rows are dealt by ranges of keys and
+    order (see functions.ranged), so no moment of a key has to either. Rows equal in every column
+    are one change that was delivered more than once; they are merged first, map-side, unless ``drop_copies`` is off
     because the log is known to have none.
     """
     changes = log.distinct() if drop_copies else log
-    ended = next_in_order(changes, keys, order, END, slice_of)
-    return live(ended, delete_when).withColumn(START, F.col(order[0]))
+    ended = next_in_ranges(changes, keys, order, END) if ranged else next_in_order(changes, keys, order, END, slice_of)
+    return ended.withColumn(START, F.col(order[0]))
+
+
+def scd2(log: DataFrame, keys: Sequence[str], order: Sequence[str], delete_when: str | None = None,
+         slice_of: Column | None = None, drop_copies: bool = True, ranged: bool = False) -> DataFrame:
+    """Every version with its validity (see scd2_state). A delete ends the version before it and is no version itself."""
+    return live(scd2_state(log, keys, order, slice_of, drop_copies, ranged), delete_when)
+
+
+def scd2_spliced(state: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str],
+                 slice_of: Column | None = None) -> DataFrame:
+    """The next state of the keys that a batch touches, from their last state (scd2_state) and the batch in any order.
+
+    A late change cuts the interval it falls into: the version before it ends where it starts, and it ends where the
+    next one starts. A change that fills the time after a delete opens the key again. Intervals the batch does not fall into keep their bounds.
+    Changes the state already has change nothing, so a batch can be applied again after a failure. NULL keys are keys.
+
+    Only rows of touched keys go on, and meet the changes in slices of time. Keys the batch does not touch are not returned; see
+    sources.buckets for where they stay.
+    """
+    columns = [c for c in state.columns if c not in (START, END)]
+    touched = batch.select(*[F.col(k).alias(f"_touched_{k}") for k in keys]).distinct()
+    met = F.lit(True)
+    for k in keys:
+        met = met & F.col(k).eqNullSafe(F.col(f"_touched_{k}"))
+    known = state.join(touched, met, "left_semi")
+    return scd2_state(known.select(*columns).unionByName(batch.select(*columns)), keys, order, slice_of)
 
 
 def active(history: DataFrame) -> DataFrame:
@@ -100,6 +127,44 @@ def snapshot_diff(previous: DataFrame, current: DataFrame, keys: Sequence[str],
     return grouped.select(*keys, change.alias("change"))
 
 
+def _on(keys: Sequence[str], prefix: str) -> Column:
+    met = F.lit(True)
+    for k in keys:
+        met = met & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return met
+
+
+def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
+
+
+def snapshot_delta(previous: DataFrame, current: DataFrame, keys: Sequence[str],
+                   compare: Sequence[str] | None = None) -> DataFrame:
+    """What turns one snapshot into the next: the rows of ``current`` that are new (I) or differ (U), and removed keys (D).
+
+    Columns are those of ``current`` and ``change``; a D row has its keys only. NULL keys are keys. Unchanged rows are
+    not in it, so its size is that of the change. A key that occurs more than once is replaced with all its rows.
+    """
+    changes = snapshot_diff(previous, current, keys, compare).filter(F.col("change") != "N")
+    told = _prefixed(changes, keys, "_k_")
+    written = current.join(told, _on(keys, "_k_")).select(*current.columns, "change")
+    gone = changes.filter(F.col("change") == "D")
+    return written.unionByName(gone, allowMissingColumns=True)
+
+
+def merged(base: DataFrame, deltas: DataFrame, keys: Sequence[str], version: str, upto: int | None = None) -> DataFrame:
+    """A snapshot read from an older one and the deltas since (snapshot_delta with a growing ``version`` number).
+
+    Of each key the newest delta counts, up to version ``upto`` if given; keys without one come from the base. Deltas are
+    reduced to one row per key, map-side, before they meet the base, which is only filtered.
+    """
+    known = deltas if upto is None else deltas.filter(F.col(version) <= upto)
+    newest = _prefixed(known.groupBy(*keys).agg(F.max(version).alias("_newest")), keys, "_k_")
+    untouched = base.join(newest, _on(keys, "_k_"), "left_anti")
+    put = known.join(newest, _on(keys, "_k_") & (F.col(version) == F.col("_newest"))).filter(F.col("change") != "D")
+    return untouched.unionByName(put.select(*base.columns))
+
+
 def stacked(frames: Sequence[DataFrame], evolution: Literal["none", "addNewColumns"] = "none") -> DataFrame:
     """Unions batches by name under a schema policy.
 

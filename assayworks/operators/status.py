@@ -27,7 +27,8 @@ JOB_LOG_COLUMNS = (
 
 
 def run_outcomes(runs: DataFrame, tasks: DataFrame, checks: DataFrame | None = None,
-                 finalizer: str = FINALIZER, message_length: int = MESSAGE_LENGTH) -> DataFrame:
+                 finalizer: str = FINALIZER, message_length: int = MESSAGE_LENGTH,
+                 slices: tuple[str, str] | None = None) -> DataFrame:
     """One job-log row per run; of a failure message its first ``message_length`` characters.
 
     ``runs``: job_run_id, recorded_at, catalog_name, schema_name, bundle_target,
@@ -37,6 +38,9 @@ def run_outcomes(runs: DataFrame, tasks: DataFrame, checks: DataFrame | None = N
     FAILED when a task other than the finalizer failed, with the first such task
     in listing order; UNKNOWN when a run has no task rows; SUCCESS otherwise, and
     WARNING instead of SUCCESS when a direct check warned between start and recording.
+
+    Runs and warnings are put in order in slices of an hour within a day. Where an hour may hold most runs, give finer
+    ``slices``, such as ("second", "hour"): tasks shrink, at a marker row for every second in use.
     """
     failed = F.col("result_state").isin(*FAILED_STATES) & (F.col("task_key") != finalizer)
     first = F.min(F.when(failed, F.struct(
@@ -48,7 +52,7 @@ def run_outcomes(runs: DataFrame, tasks: DataFrame, checks: DataFrame | None = N
     )
     warned = F.lit(False)
     if checks is not None:
-        graded = _with_last_warning(graded, checks)
+        graded = _with_last_warning(graded, checks, slices)
         warned = F.coalesce(F.col("_warned_at") >= F.col("started_at"), F.lit(False))
     status = (
         F.when(F.col("_tasks") == 0, F.lit("UNKNOWN"))
@@ -69,7 +73,7 @@ def run_outcomes(runs: DataFrame, tasks: DataFrame, checks: DataFrame | None = N
     )
 
 
-def _with_last_warning(runs: DataFrame, checks: DataFrame) -> DataFrame:
+def _with_last_warning(runs: DataFrame, checks: DataFrame, slices: tuple[str, str] | None) -> DataFrame:
     """Adds the newest direct warning not after recorded_at, without pairing runs and checks.
 
     Run rows and warning times are put on one time line, and each run looks back
@@ -82,8 +86,9 @@ def _with_last_warning(runs: DataFrame, checks: DataFrame) -> DataFrame:
     line = runs.select(F.col("recorded_at").alias("_at"), F.struct("*").alias("_run")).unionByName(
         warnings.select("_at", F.lit(None).cast(runs.select(F.struct("*")).schema[0].dataType).alias("_run"))
     )
-    hour = F.date_trunc("hour", "_at").cast("timestamp_ntz")
-    seen = last_marked(line, "_at", F.col("_run").isNull(), "_warned_at", hour)
+    seen = last_marked(line, "_at", F.col("_run").isNull(), "_warned_at", *([] if slices is None else [
+        F.date_trunc(slices[0], "_at").cast("timestamp_ntz"),
+        lambda c: F.date_trunc(slices[1], c).cast("timestamp_ntz")]))
     return seen.filter(F.col("_run").isNotNull()).select("_run.*", "_warned_at")
 
 
@@ -134,26 +139,39 @@ def contract_history(log: DataFrame) -> DataFrame:
     return log.select(*CONTRACT_LOG_COLUMNS)
 
 
-def latest_run_checks(log: DataFrame, latest: Literal["recent", "lexicographic"] = "recent") -> DataFrame:
+def newest_day(log: DataFrame, day: str) -> Column:
+    """The greatest day of a log partitioned by day. No column is read from a file for it."""
+    return log.agg(F.max(day)).scalar()
+
+
+def latest_run_checks(log: DataFrame, latest: Literal["recent", "lexicographic"] = "recent",
+                      day: str | None = None, run_days: int = 2) -> DataFrame:
     """Direct checks of the latest run.
 
     "recent" takes the run with the newest check. "lexicographic" takes the
     greatest run_id as text, which ranks "9" above "10".
+
+    ``day`` names a partition column with the date of checked_at. The newest run is then sought in the newest day alone, and its
+    checks in the ``run_days`` days up to that one, the most days that the checks of a run are spread over. It is no help for "lexicographic".
     """
-    if latest == "recent":
-        top = log.agg(F.max_by("run_id", F.struct("checked_at", "run_id")))
-    elif latest == "lexicographic":
-        top = log.agg(F.max("run_id"))
-    else:
+    if latest not in ("recent", "lexicographic"):
         raise ValueError(f"unknown latest {latest!r}")
-    return log.filter((F.col("check_type") == DIRECT) & (F.col("run_id") == top.scalar())).select(
+    scope, near = log, log
+    if latest == "recent" and day is not None:
+        newest = newest_day(log, day)
+        scope = log.filter(F.col(day) == newest)
+        near = log.filter(F.col(day) > F.date_sub(newest, run_days))
+    top = scope.agg(F.max_by("run_id", F.struct("checked_at", "run_id")) if latest == "recent" else F.max("run_id"))
+    return near.filter((F.col("check_type") == DIRECT) & (F.col("run_id") == top.scalar())).select(
         "pipeline_name", "check_name", "status", "message", "checked_at"
     )
 
 
-def latest_contract_checks(log: DataFrame) -> DataFrame:
-    newest = log.agg(F.max("checked_at"))
-    return log.filter(F.col("checked_at") == newest.scalar()).select(
+def latest_contract_checks(log: DataFrame, day: str | None = None) -> DataFrame:
+    """Contract checks of the newest check time; ``day`` names a partition column with the date of checked_at."""
+    scope = log if day is None else log.filter(F.col(day) == newest_day(log, day))
+    newest = scope.agg(F.max("checked_at"))
+    return scope.filter(F.col("checked_at") == newest.scalar()).select(
         "table_name", "check_name", "status", "actual_value", "expected_value", "checked_at"
     )
 
@@ -169,9 +187,16 @@ def all_direct_checks(log: DataFrame) -> DataFrame:
     ).orderBy(F.col("checked_at").desc(), "run_id", "pipeline_name", "check_name", "message")
 
 
-def reliability(runs: DataFrame, as_of: Moment = None, days: int = 7) -> DataFrame:
-    """``"x / y runs succeeded"`` over runs started since midnight ``days`` days ago."""
-    recent = runs.filter(F.col("started_at") >= days_before(as_of, days))
+def reliability(runs: DataFrame, as_of: Moment = None, days: int = 7, day: str | None = None) -> DataFrame:
+    """``"x / y runs succeeded"`` over runs started since midnight ``days`` days ago.
+
+    ``day`` names a partition column with the date of recorded_at. A run is not recorded before it starts, so earlier days are not read;
+    runs without a recorded time are.
+    """
+    since = days_before(as_of, days)
+    recent = runs.filter(F.col("started_at") >= since)
+    if day is not None:
+        recent = recent.filter((F.col(day) >= since) | F.col(day).isNull())
     return recent.agg(F.concat(
         F.count_if(F.col("overall_status") == "SUCCESS").cast("string"), F.lit(" / "),
         F.count(F.lit(1)).cast("string"), F.lit(" runs succeeded"),

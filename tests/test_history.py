@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from assayworks.functions.ranged import next_in_ranges
 from assayworks.functions.sliced import last_marked, next_in_order
 from assayworks.operators import history as H
 from tests.shapes import NOON
@@ -125,3 +126,47 @@ def test_schema_policies(spark):
 def test_rename_window(spark):
     row = H.with_new_names(spark.createDataFrame([(1,)], "old int"), {"old": "new"}).first()
     assert (row.old, row.new) == (1, 1)
+
+
+@RELAXED
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), minutes, st.integers(0, 3)), max_size=40), st.integers(1, 5))
+def test_ranged_lead_equals_the_plain_window(spark, rows, ranges):
+    df = spark.createDataFrame(
+        [(k, None if m is None else NOON + timedelta(seconds=30 * m), n) for k, m, n in rows], "k string, t timestamp, n int")
+    found = next_in_ranges(df, ["k"], ["t", "n"], "nxt", ranges)
+    window = df.withColumn("nxt", F.lead("t").over(Window.partitionBy("k").orderBy("t", "n")))
+    assert plain(found.collect()) == plain(window.collect())
+
+
+def test_a_hot_instant_is_cut(spark):
+    """Nine tenths of all rows are of one key and one instant; no range takes much more than its share."""
+    df = spark.range(20_000).select(
+        F.lit("k").alias("k"), F.when(F.col("id") % 10 > 0, F.lit(NOON)).otherwise(F.timestamp_seconds("id")).alias("t"), "id")
+    found = next_in_ranges(df, ["k"], ["t", "id"], "nxt", 8)
+    window = df.withColumn("nxt", F.lead("t").over(Window.partitionBy("k").orderBy("t", "id")))
+    assert plain(found.collect()) == plain(window.collect())
+    dealt = df.repartitionByRange(8, "k", "t", "id").groupBy(F.spark_partition_id()).count()
+    assert max(r[1] for r in dealt.collect()) < 2.5 * 20_000 / 8
+
+
+def test_outer_slices_carry_marks_over_days(spark):
+    times = [(i, NOON + timedelta(hours=i), i in (3, 100)) for i in range(0, 200)]
+    df = spark.createDataFrame(times, "i int, t timestamp, b boolean")
+    found = {r.i: r.seen for r in last_marked(df, "t", F.col("b"), "seen").collect()}
+    assert found == {i: None if i < 3 else NOON + timedelta(hours=3 if i < 100 else 100) for i in range(200)}
+    whole = last_marked(spark.range(50).select("id"), "id", F.col("id") % 20 == 7, "seen", F.floor(F.col("id") / 3), lambda c: F.floor(c / 4))
+    assert {r.id: r.seen for r in whole.collect()} == {i: None if i < 7 else 7 + 20 * ((i - 7) // 20) for i in range(50)}
+
+
+@RELAXED
+@given(st.lists(cells, max_size=12), st.lists(cells, max_size=12), st.lists(cells, max_size=12))
+def test_deltas_lead_from_one_snapshot_to_the_next(spark, first, second, third):
+    schema = "k int, a int, b string"
+    a, b, c = (spark.createDataFrame(x, schema) for x in (first, second, third))
+    deltas = H.snapshot_delta(a, b, ["k"]).withColumn("v", F.lit(1)).unionByName(
+        H.snapshot_delta(b, c, ["k"]).withColumn("v", F.lit(2)))
+
+    def read(base, upto=None):
+        return {tuple(r) for r in H.merged(base, deltas, ["k"], "v", upto).collect()}  # copies of a row are one content
+
+    assert read(a) == set(third) and read(a, 1) == set(second)

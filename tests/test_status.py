@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from assayworks.operators import eventlog as E
 from assayworks.operators import status as S
@@ -163,8 +164,85 @@ def test_pipelines_without_update_warn(spark):
     assert rows(spark, events, pipelines=["a", "d"]) == [("a", *silent), ("d", *silent)]
 
 
-def test_json_is_parsed_after_the_join(spark):
-    plan = E.expectation_totals(spark.createDataFrame([started("a", "u", NOON)], EVENTS))._jdf.queryExecution()
-    text = plan.optimizedPlan().toString()
-    join = next(i for i, line in enumerate(text.splitlines()) if "Join" in line)
-    assert not any("from_json" in line for line in text.splitlines()[join:])
+def test_the_log_is_scanned_once_and_not_joined(spark, folder):
+    spark.createDataFrame([started("a", "u", NOON)], EVENTS).write.parquet(f"{folder}/log")
+    found = E.expectation_checks(spark.read.parquet(f"{folder}/log"), "r", NOON)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("FileScan") == 1 and "Join" not in plan and found.count() == 0
+
+
+def test_an_update_of_many_flows_and_events_of_other_kinds(spark):
+    """Sums of all updates, of which the newest by start time counts, whatever the order of its events."""
+    told = '{"flow_progress":{"data_quality":{"expectations":[{"name":"%s","passed_records":%d,"failed_records":%d}]}}}'
+    rows = [started("a", "u1", NOON), started("a", "u2", NOON + HOUR), started("a", "u1", NOON - HOUR)]
+    rows += [("a", NOON, E.PROGRESS, (u, f), told % (n, p, q)) for u, f, n, p, q in (
+        ("u2", "f", "r", 1, 2), ("u2", "f", "r", 10, 20), ("u2", "g", "r", 5, 0), ("u1", "f", "r", 999, 999), ("u2", None, "r", 3, 0))]
+    rows += [("b", NOON, E.PROGRESS, ("u9", "f"), told % ("r", 1, 1)), ("c", NOON, "other", (None, None), None),
+             (None, NOON, E.STARTED, (None, None), '{"create_update":{"update_id":"x"}}')]
+    events = spark.createDataFrame(rows, EVENTS)
+    assert sorted(map(tuple, E.expectation_totals(events).collect()), key=str) == sorted([
+        ("a", "f", "r", 11, 22), ("a", "g", "r", 5, 0), ("a", None, "r", 3, 0)], key=str)
+    silent = [r.pipeline_name for r in E.expectation_checks(events, "r", NOON).collect() if r.check_name == E.NO_UPDATE_CHECK]
+    assert sorted(map(str, silent)) == ["None", "b", "c"]
+    named = E.expectation_checks(events, "r", NOON, ["a", "b", "z"]).collect()
+    assert sorted((r.pipeline_name, r.status) for r in named) == [("a", "PASS"), ("a", "PASS"), ("a", "WARN"), ("b", "WARN"), ("z", "WARN")]
+
+
+def by_day(spark, folder, rows, kind, time):
+    df = spark.createDataFrame(rows, kind)
+    df.withColumn("log_day", F.col(time).cast("date")).write.partitionBy("log_day").parquet(f"{folder}/log")
+    return spark.read.parquet(f"{folder}/log")
+
+
+def test_readers_of_the_newest_read_only_its_days(spark, folder):
+    rows = [(f"r{d:02}", "p", f"c{k}", "direct", "PASS", "m", NOON + timedelta(days=d, minutes=k)) for d in range(30) for k in range(3)]
+    rows.append(("r29", "p", "early", "direct", "PASS", "m", NOON + timedelta(days=28)))
+    log = by_day(spark, folder, rows, CHECKS, "checked_at")
+    found = S.latest_run_checks(log, day="log_day")
+    assert sorted(r.check_name for r in found.collect()) == ["c0", "c1", "c2", "early"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_day" in plan
+    scans = [m for m in files_read(found)]
+    assert max(scans) == len(log.inputFiles()) and min(scans) <= 8  # all files' partition values, then those of two days
+    assert sorted(map(str, found.collect())) == sorted(map(str, S.latest_run_checks(log).collect()))
+
+
+def files_read(df):
+    """Numbers of files that the scans of an executed query read."""
+    def nodes(plan):
+        yield plan
+        name = plan.getClass().getSimpleName()
+        inner = [plan.executedPlan()] if name == "AdaptiveSparkPlanExec" else [plan.plan()] if name.endswith("QueryStageExec") else []
+        inner += [plan.children().apply(i) for i in range(plan.children().size())]
+        inner += [plan.subqueries().apply(i) for i in range(plan.subqueries().size())]
+        for one in inner:
+            yield from nodes(one)
+
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    return [n.metrics().apply("numFiles").value() for n in nodes(execution.executedPlan()) if "FileSourceScan" in n.getClass().getSimpleName()]
+
+
+def test_one_task_takes_no_whole_history(spark):
+    """Runs are put in order without a window over everything."""
+    warn = spark.createDataFrame([("x", "p", "c", "direct", "WARN", "m", NOON)], CHECKS)
+    tasks = spark.createDataFrame([("1", 0, "a", "SUCCESS", None)], TASKS)
+    for slices in (None, ("second", "hour")):
+        found = S.run_outcomes(runs(spark, ("1", NOON, NOON + HOUR)), tasks, warn, slices=slices)
+        assert "SinglePartition" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.first().overall_status == "WARNING"
+
+
+def test_slices_do_not_change_outcomes(spark):
+    import random
+    rng = random.Random(5)
+    at = lambda: NOON + timedelta(seconds=rng.randrange(0, 400_000))
+    some = [(str(i), start, start + timedelta(seconds=rng.randrange(0, 9000))) for i in range(150) for start in [at()]]
+    warns = [("x", "p", "c", rng.choice(["direct", "expectation"]), rng.choice(["WARN", "PASS"]), "m", at()) for _ in range(60)]
+    tasks = spark.createDataFrame([(str(i), 0, "a", "SUCCESS", None) for i in range(150)], TASKS)
+    log = spark.createDataFrame(warns, CHECKS)
+    hot = [w[6] for w in warns if w[3:5] == ("direct", "WARN")]
+    expected = {i: "WARNING" if any(a <= t <= b for t in hot) else "SUCCESS" for i, a, b in some}
+    for slices in (None, ("second", "hour"), ("minute", "month")):
+        found = S.run_outcomes(runs(spark, *some), tasks, log, slices=slices)
+        assert {r.job_run_id: r.overall_status for r in found.collect()} == expected
