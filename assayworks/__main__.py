@@ -21,6 +21,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--schema", required=True, help="catalog schema of logs and views")
     parser.add_argument("--mode", choices=("drop", "fail"), default="drop")
     parser.add_argument("--freshness-hours", type=int, required=True)
+    parser.add_argument("--full-refresh", action="store_true", help="rebuild all tables from all landing files")
     parser.add_argument("--run-id", default=None)
     parser.add_argument("--git-sha", default=None)
     parser.add_argument("--target", default="dev")
@@ -42,7 +43,7 @@ def main() -> None:
     )
     run_id = chosen.run_id or uuid.uuid4().hex
     try:
-        run_product(spark, product, run_id, git_sha=chosen.git_sha)
+        run_product(spark, product, run_id, git_sha=chosen.git_sha, full_refresh=chosen.full_refresh)
     finally:
         report(spark, chosen.schema, run_id)
 

@@ -271,6 +271,12 @@ def gate(results: DataFrame) -> None:
         raise CheckFailed(f"{len(lines)} check(s) failed\n" + "\n".join(lines))
 
 
+def gate_decisions(results: DataFrame, by: Sequence[str]) -> DataFrame:
+    """What gate() would do with each group of check rows: ``passes``, and the number of failed checks."""
+    failed = F.count_if(F.col("status") == FAIL)
+    return results.groupBy(*by).agg((failed == 0).alias("passes"), failed.alias("failed"))
+
+
 def reconcile(tables: Mapping[str, DataFrame], expected: Mapping[str, int]) -> DataFrame:
     """Actual against expected row counts, one count-only scan per table."""
     spark = next(iter(tables.values())).sparkSession

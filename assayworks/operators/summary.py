@@ -32,6 +32,12 @@ def summarise(dim: DataFrame, fact: DataFrame, keys: Sequence[str] | str,
     lets AQE split a partition made heavy by many copies of one ``dim`` key.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    return with_measures(dim, aggregate(fact, keys, measures), keys, list(measures), carry, zero)
+
+
+def with_measures(dim: DataFrame, totals: DataFrame, keys: Sequence[str], measures: Sequence[str],
+                  carry: Sequence[str], zero: Sequence[str] = ()) -> DataFrame:
+    """summarise() from ``totals`` that have one row per key already; they are joined as they are."""
     key_missing = F.lit(False)
     for key in keys:
         key_missing = key_missing | F.col(key).isNull()
@@ -41,7 +47,7 @@ def summarise(dim: DataFrame, fact: DataFrame, keys: Sequence[str] | str,
         *keys, *[name for name in carry if name not in keys],
         F.when(key_missing, spread).otherwise(lane_zero).alias("_lane"),
     )
-    right = aggregate(fact, keys, measures).select("*", lane_zero.alias("_lane"))
+    right = totals.select(*keys, *measures, lane_zero.alias("_lane"))
     return left.join(right, [*keys, "_lane"], "left").select(
         *keys,
         *[name for name in carry if name not in keys],

@@ -29,6 +29,11 @@ def customers_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customers_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze customers without lineage."""
+    return customers_bronze(spark, sf_dir).drop("_source_file", "_ingested_at")
+
+
 def orders_columns(df: DataFrame) -> DataFrame:
     """Bronze columns without lineage. Every twentieth customer's orders go to the next one, so some have none."""
     return df.selectExpr(
@@ -92,6 +97,11 @@ def check_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def checks_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Check rows whose runs are hours: all checks of an hour are of one run."""
+    return check_log(spark, sf_dir).withColumn("run_id", F.date_format("checked_at", "yyyyMMddHH"))
+
+
 def contract_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a contract row; rows of one hour share a check time."""
     return table(spark, sf_dir, "events").selectExpr(
@@ -149,3 +159,16 @@ def orders_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         "if(o_orderkey % 19 = 5, -o_orderkey - 1, o_orderkey) AS o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
     )
+
+
+def orders_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot between orders_before and orders_after: other keys are missing, other rows differ."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "if(o_orderkey % 23 = 7, -o_orderkey - 2, o_orderkey) AS o_orderkey", "o_custkey",
+        "CASE WHEN o_orderkey % 31 = 4 THEN 'Y' ELSE o_orderstatus END AS o_orderstatus",
+        "CASE WHEN o_orderkey % 29 <> 5 THEN o_totalprice END AS o_totalprice")
+
+
+def in_one_hour(column: str) -> str:
+    """A time moved into the first hour of 2024, keeping its minute, second and fraction."""
+    return f"timestamp_ntz '2024-01-01 00:00:00' + ({column} - cast(date_trunc('hour', {column}) AS timestamp_ntz))"

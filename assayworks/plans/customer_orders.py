@@ -10,7 +10,8 @@ from assayworks.functions.lookup import mapped
 from assayworks.functions.text import lower_case, title_case, upper_case
 from assayworks.operators.contract import Contract
 from assayworks.operators.rules import Rule
-from assayworks.operators.summary import aggregate, fold, summarise
+from assayworks.operators.summary import aggregate, fold, summarise, with_measures
+from assayworks.sources.buckets import Buckets
 from assayworks.sources.landing import INGESTED_AT, SOURCE_FILE
 
 # Landing columns, code table, rules and contract entries of the product.
@@ -43,11 +44,6 @@ ORDER_RULES = (
     Rule("positive_amount", "amount > 0", "business_invalid"),
     Rule("status_not_null", "status_std IS NOT NULL", "warning"),
 )
-SUMMARY_RULES = (
-    Rule("customer_id_not_null", "customer_id IS NOT NULL", "critical"),
-    Rule("non_negative_order_count", "order_count >= 0", "business_invalid"),
-)
-
 REJECTION_LIMIT = 0.30
 CONTRACT_FRESHNESS_HOURS = 24
 
@@ -158,14 +154,25 @@ def order_totals(orders: DataFrame, before: DataFrame | None = None) -> DataFram
     return fresh if before is None else fold(before, fresh, ["customer_id"], merged_measures())
 
 
+def order_buckets(path: str, count: int) -> Buckets:
+    """Order totals per customer, kept in buckets of the customer."""
+    kinds = "customer_id string, order_count bigint, total_amount decimal(20,2), last_order_date timestamp"
+    return Buckets(path, ("customer_id",), count, StructType.fromDDL(kinds))
+
+
 def summary_of_totals(customers: DataFrame, totals: DataFrame) -> DataFrame:
-    """The summary from totals instead of orders."""
-    return summarise(
-        customers, totals, "customer_id", merged_measures(),
+    """The summary from order totals, one row per customer, instead of orders."""
+    return with_measures(
+        customers, totals, ["customer_id"], list(merged_measures()),
         carry=["name_std", "email_std", "region"], zero=["order_count"],
     )
 
 
+def totals_with(totals: DataFrame, orders: DataFrame) -> DataFrame:
+    """Totals after a batch of orders, for customers of the batch's buckets."""
+    return order_totals(orders, totals)
+
+
 def customer_order_summary(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Every silver customer with number, sum and last date of its silver orders."""
     return summarise(

@@ -7,13 +7,14 @@ whatever happened, so a failed run is on record.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -26,19 +27,17 @@ from assayworks.operators.routing import REJECTED, ROUTE, SILVER, STAMP, Split,
 from assayworks.operators.rules import Mode, Rule
 from assayworks.operators.status import run_outcomes
 from assayworks.plans import customer_orders as P
+from assayworks.sources import state
+from assayworks.sources.buckets import Buckets
 from assayworks.sources.landing import BatchLimit
 from assayworks.sources.tables import (
     DAY,
     append_log,
-    current_version,
     define_views,
     ensure_logs,
-    pending_stamps,
     publish,
     published,
     qualified,
-    record_version,
-    register_stamp,
     status_views,
 )
 from assayworks.streaming import flow
@@ -153,10 +152,15 @@ class Product:
     catalog: str = "spark_catalog"
     target: str = "dev"
     batch: BatchLimit | None = None
+    #: Buckets of the order totals; never changed for a root that has some. About one per 100 MB of totals.
+    buckets: int = 16
 
     def layout(self, domain: Domain) -> flow.Layout:
         return flow.Layout(f"{self.root}/{domain.name}")
 
+    def totals(self) -> Buckets:
+        return P.order_buckets(f"{self.root}/order_totals", self.buckets)
+
     def event_log(self, domain: Domain) -> str:
         """One folder per domain: the domains append at the same time, and Spark jobs must not share a target."""
         return f"{self.root}/event_log/{domain.name}"
@@ -164,20 +168,18 @@ class Product:
 
 def refresh_domain(spark: SparkSession, product: Product, domain: Domain, update: str, at: datetime) -> None:
     """New files to bronze to silver and rejected; rule counts go to the event log."""
-    layout, stamp = product.layout(domain), f"s-{uuid.uuid4().hex}"
-    if domain.name == ORDERS:  # before any row can carry it
-        register_stamp(spark, product.schema, product.root, stamp)
-    flow.finish(flow.land(spark, product.sources[domain.name], domain.declared, layout, as_of=at,
-                          batch=product.batch))
+    layout, batch = product.layout(domain), product.batch
+    stamp = state.next_batch(spark, layout.root)  # before any row can carry it
+    flow.finish(flow.land(spark, product.sources[domain.name], domain.declared, layout, as_of=at, batch=batch))
     try:
         flow.finish(flow.refine(
             spark, layout, flow.bronze_schema(domain.declared), domain.transform, domain.rules, mode=product.mode,
-            batch=product.batch, stamp=stamp))
+            batch=batch, stamp=stamp))
     finally:  # also what a failed stream has committed
         counts = stamp_counts(spark, product, domain, stamp)
         events = update_events(spark, domain.pipeline, update, f"{domain.name}_silver", domain.rules, counts, at)
         events.write.mode("append").parquet(product.event_log(domain))
-    publish_domain(spark, product, domain)
+        publish_domain(spark, product, domain)
 
 
 def publish_domain(spark: SparkSession, product: Product, domain: Domain) -> None:
@@ -190,39 +192,55 @@ def publish_domain(spark: SparkSession, product: Product, domain: Domain) -> Non
     })
 
 
-def stamp_counts(spark: SparkSession, product: Product, domain: Domain, stamp: str) -> list[dict[str, int]]:
+def stamp_counts(spark: SparkSession, product: Product, domain: Domain, stamp: int) -> list[dict[str, int]]:
     """Rows and violations per rule of the rows that carry a stamp, counted in the tables themselves."""
-    sides = domain_tables(spark, product, domain, [stamp])[1]
+    sides = domain_tables(spark, product, domain, (stamp - 1, stamp))[1]
     rows = sides.silver.unionByName(sides.rejected.select(sides.silver.columns))
     counts = rows.agg(F.count(F.lit(1)).alias("rows"), *violation_counts(domain.rules)).first().asDict()
     return [counts] if counts["rows"] else []
 
 
+def routed_schema(spark: SparkSession, product: Product, domain: Domain) -> StructType:
+    bronze = spark.createDataFrame([], flow.bronze_schema(domain.declared))
+    return route(domain.transform(bronze), domain.rules, product.mode).schema.add(STAMP, "long")
+
+
 def domain_tables(spark: SparkSession, product: Product, domain: Domain,
-                  stamps: list[str] | None = None) -> tuple[DataFrame, Split]:
-    schema = flow.bronze_schema(domain.declared)
-    bronze = spark.read.schema(schema).parquet(product.layout(domain).bronze)
-    routed = route(domain.transform(bronze), domain.rules, product.mode).schema.add(STAMP, "string")
-    return bronze, flow.tables(spark, product.layout(domain), routed, stamps)
+                  stamps: tuple[int, int] | None = None) -> tuple[DataFrame, Split]:
+    """Bronze, and silver and rejected; with ``stamps``, what batches after the first up to the second number added."""
+    bronze = spark.read.schema(flow.bronze_schema(domain.declared)).parquet(product.layout(domain).bronze)
+    return bronze, flow.tables(spark, product.layout(domain), routed_schema(spark, product, domain), stamps)
 
 
-def update_summary(spark: SparkSession, product: Product, view: str) -> None:
-    """Refreshes the summary from the order totals so far and the orders added since.
+def update_totals(spark: SparkSession, product: Product) -> DataFrame:
+    """Brings the order totals up to the newest batch of orders and returns them.
 
-    Silver only grows and the measures add up, so history is not read again. A
-    version is recorded only after its folder is complete; a run that dies in between
-    leaves the orders pending for the next.
+    Silver only grows and the measures add up, so history is not read again: batches between two marks are a
+    range of partitions, and only buckets of customers with new orders are written. An attempt is marked before it begins. One
+    that died is taken up again with the same batches first, and skips the buckets it had come to; so each order counts once.
     """
-    customers_domain, orders_domain = DOMAINS
-    root = product.root
-    pending, version = pending_stamps(spark, product.schema, root), current_version(spark, product.schema, root)
-    if pending:
-        orders = domain_tables(spark, product, orders_domain, pending)[1].silver
-        before = spark.read.parquet(version) if version else None
-        version = publish(P.order_totals(orders, before), f"{product.root}/order_totals")
-        record_version(spark, product.schema, root, version, pending)
-    customers = domain_tables(spark, product, customers_domain)[1].silver
-    publish(P.summary_of_totals(customers, spark.read.parquet(version)), f"{product.root}/{SUMMARY}", view)
+    orders, totals = DOMAINS[1], product.totals()
+    root = product.layout(orders).root
+    newest = state.greatest(spark, root, state.BATCHES)
+    routed = flow.routed_table(spark, product.layout(orders), routed_schema(spark, product, orders))
+    held = routed.agg(F.max(STAMP)).first()[0] or 0
+    if held > newest:
+        raise RuntimeError(f"silver orders of batch {held} are known to no state under {root}")
+    if not state.exists(spark, totals.path):
+        totals.create(spark.createDataFrame([], totals.schema))
+    applied = state.greatest(spark, root, state.APPLIED)
+    for upto in sorted({n for n in (*state.marks(spark, root, state.ATTEMPTS), newest) if n > applied}):
+        state.put_mark(spark, root, state.ATTEMPTS, upto)
+        totals.apply(domain_tables(spark, product, orders, (applied, upto))[1].silver, P.totals_with, mark=upto)
+        state.put_mark(spark, root, state.APPLIED, upto)
+        applied = upto
+    return totals.state(spark)
+
+
+def update_summary(spark: SparkSession, product: Product, view: str) -> None:
+    """Refreshes the summary from all customers and the order totals, and swaps it in."""
+    customers = domain_tables(spark, product, DOMAINS[0])[1].silver
+    publish(P.summary_of_totals(customers, update_totals(spark, product)), f"{product.root}/{SUMMARY}", view)
 
 
 def readiness(spark: SparkSession, product: Product, run_id: str, as_of: Moment = None) -> DataFrame:
@@ -237,22 +255,25 @@ def readiness(spark: SparkSession, product: Product, run_id: str, as_of: Moment
 
 
 def log_expectations(spark: SparkSession, product: Product, run_id: str, as_of: Moment = None) -> None:
-    """Logs the expectation results of the latest updates, or one warning per pipeline if they cannot be had."""
+    """Logs the expectation results of the latest updates, or one warning per pipeline if Spark cannot read them."""
     pipelines = [d.pipeline for d in DOMAINS]
     try:
         events = spark.read.parquet(*[product.event_log(d) for d in DOMAINS])
         append_log(expectation_checks(events, run_id, as_of, pipelines), product.schema, "ops_pipeline_run_log")
-    except Exception as error:
+    except (CapturedException, Py4JJavaError) as error:  # what the JVM raised; errors of our own code go on
         append_log(unreadable_checks(spark, run_id, pipelines, error, as_of), product.schema, "ops_pipeline_run_log")
 
 
 def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_sha: str | None = None,
-                job_run_url: str | None = None, now: datetime | None = None) -> None:
+                job_run_url: str | None = None, now: datetime | None = None, full_refresh: bool = False) -> None:
     """One complete run. Raises the first error after the outcome has been logged.
 
     Both domains run side by side; each later step needs the ones before it.
-    ``now`` fixes the run's clock; by default it is the time of each step.
+    ``now`` fixes the run's clock; by default it is the time of each step. ``full_refresh`` begins a new generation of tables,
+    checkpoints and state under the root, reads all landing files again, and later runs go on from there.
     """
+    begin = state.new_generation if full_refresh else state.active_root
+    product = replace(product, root=begin(spark, product.root))
     at = now or datetime.now(timezone.utc)
     as_of = None if now is None else moment(now)
     ensure_logs(spark, product.schema)

@@ -243,6 +243,24 @@ SELECT order_id, customer_id, amount, order_date, status, 'orders_landing' AS _s
 LATEST_STATE = f"""WITH {CHANGES}
 SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 
+SNAPSHOTS = """
+before AS (SELECT CASE WHEN o_orderkey % 17 = 3 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, o_custkey,
+                  CASE WHEN o_orderkey % 13 = 4 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+                  CASE WHEN o_orderkey % 29 <> 6 THEN o_totalprice END AS o_totalprice FROM orders),
+between_ AS (SELECT CASE WHEN o_orderkey % 23 = 7 THEN -o_orderkey - 2 ELSE o_orderkey END AS o_orderkey, o_custkey,
+                    CASE WHEN o_orderkey % 31 = 4 THEN 'Y' ELSE o_orderstatus END AS o_orderstatus,
+                    CASE WHEN o_orderkey % 29 <> 5 THEN o_totalprice END AS o_totalprice FROM orders),
+after AS (SELECT CASE WHEN o_orderkey % 19 = 5 THEN -o_orderkey - 1 ELSE o_orderkey END AS o_orderkey, o_custkey,
+                 o_orderstatus, o_totalprice FROM orders)"""
+
+
+def _one_hour(column: str) -> str:
+    return f"(TIMESTAMP '2024-01-01 00:00:00' + ({column} - date_trunc('hour', {column})))"
+
+
+HOUR_RECORDED = _one_hour("(last_at + to_seconds(run % 3600))") + " AS recorded_at"
+HOUR_STARTED = _one_hour("(last_at + to_seconds(run % 3600))") + " - INTERVAL 2 SECOND"
+
 ORACLES: dict[str, str] = {
     "bronze_orders_projection": """
         SELECT *, 'orders.parquet' AS _source_file, TIMESTAMP '2001-08-01 18:00:00' AS _ingested_at FROM orders""",
@@ -429,4 +447,63 @@ ORACLES: dict[str, str] = {
                CASE WHEN amount <= 0 THEN 'rejected' ELSE 'silver' END AS destination FROM orders_candidates""",
     "stream_csv_ingest": ORDERS_LANDED,
     "batch_csv_ingest": ORDERS_LANDED,
+    "summary_versioned_refresh": f"WITH {SUMMARY} SELECT * FROM summary",
+    "summary_full_refresh": f"WITH {SUMMARY} SELECT * FROM summary",
+    "run_outcome_one_hour": f"""WITH {RUNS.replace("last_at + to_seconds(run % 3600) AS recorded_at", HOUR_RECORDED).replace(
+        "         started_at, 'https", f"         {HOUR_STARTED} AS started_at, 'https").replace(
+        "'event ' || event_id AS message, ts AS checked_at", "'event ' || event_id AS message, " + _one_hour("ts") + " AS checked_at")}
+        SELECT * FROM runs""",
+    "latest_run_checks_by_day": f"""WITH {CHECK_LOG}
+        SELECT pipeline_name, check_name, status, message, checked_at FROM check_log
+        WHERE check_type = 'direct' AND date_trunc('hour', checked_at) = (SELECT date_trunc('hour', max(checked_at)) FROM check_log)""",
+    "latest_contract_checks_by_day": f"""WITH {CONTRACT_LOG}
+        SELECT table_name, check_name, status, actual_value, expected_value, checked_at FROM contract_log
+        WHERE checked_at = (SELECT max(checked_at) FROM contract_log)""",
+    "reliability_7d_by_day": f"""WITH {RUNS}
+        SELECT count(*) FILTER (overall_status = 'SUCCESS') || ' / ' || count(*) || ' runs succeeded' AS reliability
+        FROM runs WHERE started_at >= TIMESTAMP '2024-01-24 00:00:00'""",
+    "log_roundtrip": f"WITH {CHECK_LOG} SELECT * FROM check_log WHERE status <> 'FAIL'",
+    "gate_decision": f"""WITH {CHECK_LOG}
+        SELECT run_id, count(*) FILTER (status = 'FAIL') = 0 AS passes, count(*) FILTER (status = 'FAIL') AS failed
+        FROM check_log WHERE check_type = 'direct' GROUP BY 1""",
+    "board_from_views": f"""WITH {RUNS}
+        SELECT *, CASE WHEN overall_status IN ('FAILED', 'WARNING') THEN overall_status
+                       WHEN overall_status = 'SUCCESS' THEN 'STALE' ELSE 'UNKNOWN' END AS dashboard_status
+        FROM runs ORDER BY recorded_at DESC, job_run_id DESC LIMIT 1""",
+    "published_silver": f"""WITH {ORDERS}
+        SELECT *, CAST(NULL AS VARCHAR) AS rejection_reason, CAST(NULL AS VARCHAR) AS rejection_severity, 'orders_silver' AS table_name
+        FROM orders_kept UNION ALL SELECT *, 'orders_rejected' FROM orders_bad""",
+    "event_times_from_millis": "SELECT event_id, date_trunc('millisecond', ts) AS at FROM events",
+    "scd2_hot_time": """
+        WITH changes AS (SELECT CASE WHEN event_type IN ('view', 'click') THEN -1 ELSE user_id END AS user_id,
+                                CASE WHEN event_type = 'view' THEN TIMESTAMP '2024-01-10 00:00:00' ELSE ts END AS ts,
+                                event_id, event_type, value FROM events)
+        SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS "__END_AT", ts AS "__START_AT" FROM changes""",
+    "scd2_incremental": f"WITH {VERSIONS} SELECT * FROM versions WHERE event_type <> 'error'",
+    "scd1_buckets": f"SELECT * FROM ({LATEST_STATE}) WHERE event_type <> 'error'",
+    "snapshot_delta": f"""WITH {SNAPSHOTS}
+        SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey, a.o_custkey, a.o_orderstatus, a.o_totalprice,
+               CASE WHEN b.o_orderkey IS NULL THEN 'I' WHEN a.o_orderkey IS NULL THEN 'D' ELSE 'U' END AS change
+        FROM before b FULL JOIN after a ON b.o_orderkey = a.o_orderkey
+        WHERE b.o_orderkey IS NULL OR a.o_orderkey IS NULL OR (b.o_custkey, b.o_orderstatus, b.o_totalprice)
+              IS DISTINCT FROM (a.o_custkey, a.o_orderstatus, a.o_totalprice)""",
+    "snapshot_apply": f"WITH {SNAPSHOTS} SELECT * FROM after",
+    "snapshot_as_of": f"WITH {SNAPSHOTS} SELECT * FROM between_",
+    "merged_schema_read": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN o_custkey + 0.5::DOUBLE ELSE o_custkey::DOUBLE END AS o_custkey,
+               CAST(CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_totalprice AS DECIMAL(14,4))
+                         ELSE CAST(o_totalprice AS DECIMAL(10,2)) END AS DECIMAL(14,4)) AS price,
+               CASE WHEN o_orderkey % 3 = 2 THEN o_orderdate ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS ordered,
+               CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+    "landing_path_ingest": ORDERS_LANDED.replace("'orders_landing' AS", "'shop/dev/orders_raw' AS"),
+    "stream_two_deliveries": f"""WITH {ORDERS}
+        SELECT order_id, customer_id, amount, CAST(1 + CAST(order_id AS BIGINT) % 2 AS INTEGER) AS delivery,
+               CASE WHEN amount <= 0 THEN 'rejected' ELSE 'silver' END AS destination FROM orders_candidates""",
+    "event_log_from_stream": f"""WITH {ORDERS},
+        late AS (SELECT * FROM orders_candidates WHERE CAST(order_id AS BIGINT) % 2 = 1),
+        counted AS ({_metrics("late", ORDER_RULES)})
+        SELECT 'r7' AS run_id, 'orders_pipeline' AS pipeline_name, rule AS check_name, 'expectation' AS check_type,
+               CASE WHEN failed = 0 THEN 'PASS' ELSE 'WARN' END AS status,
+               'flow=orders_silver passed=' || passed || ' failed=' || failed AS message,
+               TIMESTAMP '2001-08-01 18:00:00' AS checked_at FROM counted""",
 }

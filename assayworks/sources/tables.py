@@ -28,15 +28,6 @@ LOGS = {
 }
 DAY = "log_day"
 
-# Which rows a summary state has taken in: a stamp is registered before its rows
-# are written, and listed with the state version that includes them. Both belong to the root of the
-# table folders: a full refresh into a new root starts from no state.
-STATE_TABLES = {
-    "summary_stamps": "root STRING, stamp STRING",
-    "summary_versions": "root STRING, version STRING, stamp STRING, built_at TIMESTAMP",
-}
-
-
 def qualified(*parts: str | None) -> str:
     return ".".join(f"`{p}`" for p in parts if p)
 
@@ -48,30 +39,6 @@ def ensure_logs(spark: SparkSession, schema: str) -> None:
             f"CREATE TABLE IF NOT EXISTS {qualified(schema, name)} ({columns}, {DAY} DATE) "
             f"USING PARQUET PARTITIONED BY ({DAY})"
         )
-    for name, columns in STATE_TABLES.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified(schema, name)} ({columns}) USING PARQUET")
-
-
-def register_stamp(spark: SparkSession, schema: str, root: str, stamp: str) -> None:
-    spark.createDataFrame([(root, stamp)], "root string, stamp string").write.mode("append").insertInto(
-        qualified(schema, "summary_stamps"))
-
-
-def pending_stamps(spark: SparkSession, schema: str, root: str) -> list[str]:
-    """Stamps of a root no state version includes yet: one per run since the last successful build."""
-    known, taken = (spark.read.table(qualified(schema, name)).filter(F.col("root") == root) for name in STATE_TABLES)
-    return [row[0] for row in known.join(taken, "stamp", "left_anti").select("stamp").distinct().collect()]
-
-
-def current_version(spark: SparkSession, schema: str, root: str) -> str | None:
-    versions = spark.read.table(qualified(schema, "summary_versions")).filter(F.col("root") == root)
-    return versions.agg(F.max_by("version", "built_at")).first()[0]
-
-
-def record_version(spark: SparkSession, schema: str, root: str, version: str, stamps: list[str]) -> None:
-    rows = spark.createDataFrame([(root, version, s) for s in stamps], "root string, version string, stamp string")
-    rows.withColumn("built_at", F.current_timestamp()).write.mode("append").insertInto(
-        qualified(schema, "summary_versions"))
 
 
 def append_log(rows: DataFrame, schema: str, name: str) -> None:

@@ -77,18 +77,18 @@ def land(spark: SparkSession, source: str, declared: StructType, layout: Layout,
 def refine(spark: SparkSession, layout: Layout, bronze: StructType, transform: Callable[[DataFrame], DataFrame],
            rules: Sequence[Rule], *, mode: Mode = "drop", null_policy: NullPolicy = "pass",
            source: str | None = None, batch: BatchLimit | None = None,
-           stamp: str | None = None) -> StreamingQuery:
+           stamp: int | None = None) -> StreamingQuery:
     """New bronze rows to the routed table, with violation counts as observed metrics.
 
     ``stamp`` marks the rows this query commits, as a partition, so that a later
-    step can read just them. Use a new stamp per query, and stamps always or never.
+    step can read just them. Use a greater stamp per query, and stamps always or never.
     """
     rows = stream_table(spark, source or layout.bronze, bronze, batch=batch)
     candidates = observed(transform(rows), rules, METRICS, null_policy)
     routed = route(candidates, rules, mode, null_policy)
     if stamp is None:
         return append_available(routed, layout.routed, layout.checkpoint("routed"), [ROUTE])
-    stamped = routed.withColumn(STAMP, F.lit(stamp))
+    stamped = routed.withColumn(STAMP, F.lit(stamp).cast("bigint"))
     return append_available(stamped, layout.routed, layout.checkpoint("routed"), [STAMP, ROUTE])
 
 
@@ -111,11 +111,18 @@ def finish(query: StreamingQuery, timeout: int | None = None) -> list[dict[str,
 
 
 def tables(spark: SparkSession, layout: Layout, schema: StructType | None = None,
-           stamps: Sequence[str] | None = None) -> Split:
-    """Silver and rejected of a layout, committed batches only; with ``stamps``, only those partitions.
+           stamps: tuple[int, int] | None = None) -> Split:
+    """Silver and rejected of a layout, committed batches only; with ``stamps``, only partitions after the first up to the second.
 
     Pass the routed schema to read a table that may not have a committed row yet.
     """
+    routed = routed_table(spark, layout, schema)
+    if stamps is None:
+        return routed_split(routed)
+    after, upto = stamps
+    return routed_split(routed.filter((F.col(STAMP) > after) & (F.col(STAMP) <= upto)))
+
+
+def routed_table(spark: SparkSession, layout: Layout, schema: StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
-    routed = reader.parquet(layout.routed)
-    return routed_split(routed if stamps is None else routed.filter(F.col(STAMP).isin(*stamps)))
+    return reader.parquet(layout.routed)

@@ -13,7 +13,7 @@ from assayworks.operators import routing as R
 from assayworks.operators import status as S
 from assayworks.plans import customer_orders as P
 from assayworks.plans import daily
-from assayworks.sources import landing, scratch, tables
+from assayworks.sources import landing, scratch, state, tables
 from assayworks.streaming import flow
 from tests.shapes import CHECKS, NOON, RUNS, TASKS
 
@@ -244,7 +244,8 @@ def test_whole_runs(spark, folder, schema):
     again = P.customer_order_summary(full["customers"], full["orders"])
     assert content(spark.table("shop.customer_order_summary")) == content(again)
     assert spark.table("shop.customer_order_summary").dtypes == again.dtypes
-    assert tables.pending_stamps(spark, "shop", f"{folder}/tables") == [] and spark.table("shop.summary_versions").count() == 2
+    root = f"{folder}/tables/orders"
+    assert state.marks(spark, root, state.APPLIED) == state.marks(spark, root, state.BATCHES) == [2]
 
     # A gate stops the run before the summary is rebuilt, and the run is on record.
     with pytest.raises(C.CheckFailed, match="silver_freshness"):
@@ -256,17 +257,16 @@ def test_whole_runs(spark, folder, schema):
 
     # The orders of a failed run are taken in by the next, and a run without new files changes nothing.
     land(folder, "orders", ORDER_CSV.replace("q0", "t0"))
-    assert len(tables.pending_stamps(spark, "shop", f"{folder}/tables")) == 1
+    assert (state.marks(spark, root, state.APPLIED), state.marks(spark, root, state.BATCHES)) == ([2], [3])
     for attempt in ("4", "5"):
         daily.run_product(spark, product(folder), attempt, now=NOON + timedelta(hours=3))
         third = {r.customer_id: r.order_count for r in spark.table("shop.customer_order_summary").collect()}
         assert third == {k: 3 * n for k, n in first.items()}
-        assert tables.pending_stamps(spark, "shop", f"{folder}/tables") == []
+        assert state.marks(spark, root, state.APPLIED) == state.marks(spark, root, state.BATCHES)
     orders = daily.DOMAINS[1]
-    stamps = [r.stamp for r in spark.table("shop.summary_versions").collect()]
-    added = daily.domain_tables(spark, product(folder), orders, stamps[:1])[1].silver
+    added = daily.domain_tables(spark, product(folder), orders, (1, 3))[1].silver
     assert "_stamp" in added._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
-    assert sum(daily.domain_tables(spark, product(folder), orders, [s])[1].silver.count() for s in stamps) == 24
+    assert [daily.domain_tables(spark, product(folder), orders, (i, i + 1))[1].silver.count() for i in range(5)] == [8, 8, 0, 8, 0]
 
 
 def test_fail_mode_run_halts_and_is_recorded(spark, folder, schema):
@@ -384,3 +384,68 @@ def test_tables_have_names_also_when_empty(spark, folder, schema):
                       "orders_silver": 2, "orders_rejected": 0}
     _, sides = daily.domain_tables(spark, product(folder), daily.DOMAINS[1])
     assert spark.table("shop.orders_rejected").dtypes == sides.rejected.dtypes
+
+
+@pytest.mark.parametrize("spelled", ["{}/", "file:{}", "file://{}//"])
+def test_a_root_has_one_state_however_it_is_spelled(spark, folder, schema, spelled):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", ORDER_CSV)
+    daily.run_product(spark, product(folder), "1", now=NOON)
+    land(folder, "orders", ORDER_CSV.replace("q0", "r0"))
+    other = daily.Product(product(folder).sources, spelled.format(f"{folder}/tables"), "shop")
+    daily.run_product(spark, other, "2", now=NOON)
+    counts = {r.customer_id: r.order_count for r in spark.table("shop.customer_order_summary").collect()}
+    assert counts == {"p01": 4, "p02": 6, "p03": 2, "p04": 2, "p05": 0}
+
+
+def test_full_refresh_reads_everything_again(spark, folder, schema):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", ORDER_CSV)
+    daily.run_product(spark, product(folder), "1", now=NOON)
+    first = content(spark.table("shop.customer_order_summary"))
+    daily.run_product(spark, product(folder), "2", now=NOON, full_refresh=True)
+    assert content(spark.table("shop.customer_order_summary")) == first and spark.table("shop.orders_bronze").count() == 9
+    land(folder, "orders", ORDER_CSV.replace("q0", "r0"))
+    daily.run_product(spark, product(folder), "3", now=NOON)  # goes on in the new generation
+    assert spark.table("shop.orders_bronze").count() == 18 and "generation=1" in state.active_root(spark, f"{folder}/tables")
+    assert spark.read.parquet(f"{folder}/tables/orders/bronze").count() == 9  # the old one stays for its readers
+
+
+def test_orders_without_known_state_stop_the_summary(spark, folder, schema):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", ORDER_CSV)
+    daily.run_product(spark, product(folder), "1", now=NOON)
+    os.rename(f"{folder}/tables/orders/_state", f"{folder}/tables/orders/_lost")
+    with pytest.raises(RuntimeError, match="known to no state"):
+        daily.update_totals(spark, product(folder))
+
+
+def test_a_died_attempt_is_finished_without_counting_twice(spark, folder, schema, monkeypatch):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", ORDER_CSV)
+    daily.run_product(spark, product(folder), "1", now=NOON)
+    before = {r.customer_id: r.order_count for r in product(folder).totals().state(spark).collect()}
+    land(folder, "orders", ORDER_CSV.replace("q0", "r0"))
+    put = state.put_mark
+
+    def dies(spark, root, kind, number):
+        if kind == state.APPLIED:
+            raise KeyboardInterrupt
+        put(spark, root, kind, number)
+
+    monkeypatch.setattr(state, "put_mark", dies)
+    with pytest.raises(KeyboardInterrupt):  # the totals are written, but the mark is not
+        daily.run_product(spark, product(folder), "2", now=NOON)
+    monkeypatch.setattr(state, "put_mark", put)
+    land(folder, "orders", ORDER_CSV.replace("q0", "t0"))
+    daily.run_product(spark, product(folder), "3", now=NOON)
+    after = {r.customer_id: r.order_count for r in product(folder).totals().state(spark).collect()}
+    assert after == {k: 3 * n for k, n in before.items()}
+
+
+def test_views_are_there_also_after_a_failed_refinement(spark, folder, schema):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", ORDER_CSV)
+    with pytest.raises(Exception, match="quality rule violated"):
+        daily.run_product(spark, product(folder, mode="fail"), "1", now=NOON)
+    assert spark.table("shop.customers_bronze").count() == 7 and spark.table("shop.customers_silver").count() == 0
