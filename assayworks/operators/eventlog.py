@@ -74,19 +74,20 @@ def update_totals(events: DataFrame, pipelines: Sequence[str] | None = None) ->
     progress = F.col("event_type") == PROGRESS
     told = F.when(started, update_id("details")).when(progress, F.col("origin.update_id"))
     rows = _scoped(events, pipelines).select(
-        "pipeline_name", told.alias("update_id"),
-        F.when(started, F.struct("timestamp", told.alias("id"))).alias("started"),
-        F.when(progress, F.col("origin.flow_name")).alias("flow_name"),
-        F.posexplode_outer(F.when(progress, expectations("details"))).alias("at", "one"),
+        "pipeline_name", told.alias("update_id"), F.when(started, F.lit(1)).alias("begun"),
+        F.when(started, F.col("timestamp")).alias("at"), F.when(progress, F.col("origin.flow_name")).alias("flow_name"),
+        F.posexplode_outer(F.when(progress, expectations("details"))).alias("place", "one"),
     )
-    sums = rows.groupBy(
-        "pipeline_name", "update_id", "flow_name", F.col("one.name").alias("name"), F.col("at").isNotNull().alias("counted"),
-    ).agg(F.max("started").alias("started"), F.sum("one.passed_records").alias("total_passed"),
-          F.sum("one.failed_records").alias("total_failed"))
+    # Plain columns only, so that Spark can hash the sums instead of sorting rows for them.
+    sums = rows.select("pipeline_name", "update_id", "begun", "at", "flow_name", "one.*", F.col("place").isNotNull().alias("counted")).groupBy(
+        "pipeline_name", "update_id", "flow_name", "name", "counted",
+    ).agg(F.max("begun").alias("begun"), F.max("at").alias("at"), F.sum("passed_records").alias("total_passed"),
+          F.sum("failed_records").alias("total_failed"))
     total = F.struct("flow_name", F.col("name").alias("expectation_name"), "total_passed", "total_failed")
     updates = sums.groupBy("pipeline_name", "update_id").agg(
-        F.max("started").alias("started"), F.collect_list(F.when(F.col("counted"), total)).alias("totals"))
-    newest = updates.groupBy("pipeline_name").agg(F.max_by(F.struct("update_id", "totals"), "started").alias("newest"))
+        F.max("begun").alias("begun"), F.max("at").alias("at"), F.collect_list(F.when(F.col("counted"), total)).alias("totals"))
+    order = F.when(F.col("begun") == 1, F.struct("at", "update_id"))
+    newest = updates.groupBy("pipeline_name").agg(F.max_by(F.struct("update_id", "totals"), order).alias("newest"))
     # Without a start there is no newest; a pipeline without a name has no update of its own.
     known = F.col("pipeline_name").isNotNull() & F.col("newest.update_id").isNotNull()
     return newest.select("pipeline_name", F.when(known, F.col("newest.update_id")).alias("update_id"),
