@@ -17,19 +17,20 @@ RUNS_PER_TASK = 20_000
 def plain_words(words, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words with one space after each: bytes, and where each kept word begins and ends there."""
     data = np.where(SPACE[words.data], np.uint8(0x20), words.data)
-    marks = np.zeros(len(data) + 1, np.int64)
+    marks = np.zeros(len(data) + 1, np.int8)
     begin, end = (words.start, words.end) if keep is None else (words.start[keep], words.end[keep])
     marks[begin] = 1
     marks[end + 1] -= 1
-    inside = np.cumsum(marks)[:-1] > 0
-    place = np.cumsum(inside) - 1
-    return data[inside], place[begin], place[end - 1] + 1
+    inside = np.cumsum(marks, dtype=np.int8, out=marks)[:-1] > 0
+    size = end - begin
+    place = np.cumsum(size + 1) - size - 1
+    return data[inside], place, place + size
 
 
 def automaton_locator(gram: int) -> repeats.Locate:
     """Tells which runs have a repeated phrase for their anchor.
 
-    The block's repeated phrases become one automaton, its shard of all of them, and all documents of the block stream
+    The repeated phrases of a part of the block become one automaton, its shard of all of them, and the part's documents stream
     through it; a run counts if the automaton finds a phrase at its anchor's place, word for word.
     """
     def locate(texts: Texts, symbols: Symbols, runs: Runs, wanted: np.ndarray) -> np.ndarray:

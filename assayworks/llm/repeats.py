@@ -18,10 +18,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayworks.llm.arrowtext import BASE, BYTE_VALUES, SECOND, Texts, grams_hashed, spans_hashed, text_arrays, text_chunks
+from assayworks.llm.arrowtext import BASE, BYTE_VALUES, SECOND, Texts, grams_hashed, spans_hashed, text_arrays
 from assayworks.llm.shared import free_name, written
 
-BLOCK_BYTES, CACHED_BYTES = 1 << 20, 1 << 17
+BLOCK_BYTES, PART_BYTES = 1 << 20, 1 << 17
 SAMPLED_DOCUMENTS = 20_000
 COMMON_SHARE, COMMON_LEAST = 0.005, 40
 PLACE_BITS = 24
@@ -108,6 +108,49 @@ def digests(symbols: Symbols, low: np.ndarray, high: np.ndarray) -> tuple[np.nda
             spans_hashed(symbols.other, low, high, np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64))
 
 
+# --- texts in parts ---------------------------------------------------------------------------
+
+
+@dataclass
+class Part:
+    """Some whole texts, or the part of one long text in which ``skipped`` and later symbols begin. ``base`` is its first byte."""
+
+    texts: Texts
+    skipped: int
+    base: int
+
+
+def parts_of(raw: np.ndarray, offsets: np.ndarray, unit: Unit) -> Iterator[Part]:
+    """Texts in parts of about PART_BYTES. A longer text is cut into parts that overlap by a window less one symbol.
+
+    So each window of a text begins in exactly one part and lies within it, and a part costs the same however long its text is.
+    """
+    low, n = 0, len(offsets) - 1
+    while low < n:
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + PART_BYTES, "right")) - 1)
+        begin, end = int(offsets[low]), int(offsets[high])
+        if end - begin <= PART_BYTES:
+            yield Part(Texts(np.arange(low, high), raw, offsets[low:high + 1]), 0, begin)
+        else:
+            for skipped, a, b in _cuts(raw, begin, end, unit):
+                yield Part(Texts(np.array([low]), raw, np.array([a, b])), skipped, a)
+        low = high
+
+
+def _cuts(raw: np.ndarray, begin: int, end: int, unit: Unit) -> Iterator[tuple[int, int, int]]:
+    """Symbols before each part of a text, and where the part begins and ends in ``raw``."""
+    if not unit.words:
+        for a in range(begin, end, PART_BYTES):
+            yield a - begin, a, min(end, a + PART_BYTES + unit.size - 1)
+        return
+    words = Texts(np.zeros(1, np.int64), raw, np.array([begin, end])).words()
+    first = np.unique(np.searchsorted(words.start, np.arange(1, end - begin + 1, PART_BYTES)))
+    first = first[first < len(words.start)]
+    for k, a in enumerate(first.tolist()):
+        last = min(len(words.start), (first[k + 1] if k + 1 < len(first) else len(words.start)) + unit.size - 1) - 1
+        yield a, begin + int(words.start[a]) - 1, begin + int(words.end[last]) - 1
+
+
 # --- documents in blocks ---------------------------------------------------------------------
 
 
@@ -179,22 +222,26 @@ class Block:
         by = np.lexsort((checks, sizes, orders))  # the same order whenever the block is opened
         self.orders, self.known, self.sizes = orders[by], known[by].astype(bool), sizes[by]
         self.data = np.concatenate([raw[ends[i] - sizes[i]:ends[i]] for i in by] or [raw[:0]])
+        self.offsets = np.concatenate([[0], np.cumsum(self.sizes)])
 
     def texts(self) -> Texts:
-        return Texts(np.arange(len(self.orders)), self.data, np.concatenate([[0], np.cumsum(self.sizes)]))
+        return Texts(np.arange(len(self.orders)), self.data, self.offsets)
 
 
 # --- anchors ----------------------------------------------------------------------------------
 
 
 def anchor_rows(docs: DataFrame, unit: Unit, blocks: int, common: np.ndarray) -> DataFrame:
-    """(block, anchor, low, high, n) of each batch: smallest and largest document with the anchor, and how often it occurs."""
+    """(block, anchor, low, high, n) of each part: smallest and largest document with the anchor, and how often it occurs.
+
+    An anchor where two parts of a text overlap counts in both; it may then be a candidate in vain.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_chunks(batch.column(2), CACHED_BYTES):
-                runs = runs_of(Symbols(part, unit), unit, common)
-                order = batch.column(1).to_numpy()[part.rows][runs.text]
-                block = batch.column(3).to_numpy()[part.rows][runs.text]
+            for part in parts_of(*text_arrays(batch.column(2)), unit):
+                runs = runs_of(Symbols(part.texts, unit), unit, common)
+                order = batch.column(1).to_numpy()[part.texts.rows][runs.text]
+                block = batch.column(3).to_numpy()[part.texts.rows][runs.text]
                 # The same place can be the anchor of two runs when a common gram lies between.
                 by = np.lexsort((runs.place, order, runs.anchor, block))
                 b, a, o, p = block[by], runs.anchor[by], order[by], runs.place[by]
@@ -251,23 +298,23 @@ def by_hash(texts: Texts, symbols: Symbols, runs: Runs, wanted: np.ndarray) -> n
 
 def occurrences(docs: DataFrame, unit: Unit, blocks: int, anchors: DataFrame, common: np.ndarray,
                 locate: Locate) -> DataFrame:
-    """(block, row, ord, start, windows, at, anchor, d1, d2, body) of runs that may be repeated.
+    """(block, row, ord, start, windows, at, anchor, d1, d2, body, left, right) of runs that may be repeated.
 
     ``at`` is the anchor's place in the run. ``body`` holds the run's symbols, NULL where an equal run of an earlier place was seen in the block:
-    such a run is repeated as a whole whatever other blocks hold.
+    such a run is repeated as a whole whatever other blocks hold. ``left`` and ``right`` are hashes of the symbols beside the anchor,
+    half of what a window has besides it, NULL where the run has fewer: two runs that share a window share one of them.
     """
+    half = (unit.size - unit.gram + 1) // 2
+
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         block = Block(left)
-        texts = block.texts()
-        symbols = Symbols(texts, unit)
-        runs = runs_of(symbols, unit, common)
         wanted = np.union1d(right.column("anchor").to_numpy(), common)
-        which = np.flatnonzero(locate(texts, symbols, runs, wanted)) if len(runs.low) else runs.low
-        low, high = runs.low[which], runs.high[which] + unit.size
-        d1, d2 = digests(symbols, low, high)
-        order, start = block.orders[runs.text[which]], low - symbols.first[runs.text[which]]
-        by = np.lexsort((start, order, d2, d1, runs.anchor[which]))
-        anchor = runs.anchor[which][by]
+        found = [_runs_found(part, unit, common, wanted, locate, half) for part in parts_of(block.data, block.offsets, unit)]
+        columns = {n: np.concatenate([f[n] for f in found]) for n in found[0]} if found else _NO_RUNS
+        order, start = block.orders[columns["row"]], columns["start"]
+        d1, d2 = columns["d1"], columns["d2"]
+        by = np.lexsort((start, order, d2, d1, columns["anchor"]))
+        anchor = columns["anchor"][by]
         fresh = np.r_[True, (anchor[1:] != anchor[:-1]) | (d1[by][1:] != d1[by][:-1]) | (d2[by][1:] != d2[by][:-1])][: len(by)]
         leader = np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))
         after = order[by] > order[by][leader]
@@ -275,23 +322,47 @@ def occurrences(docs: DataFrame, unit: Unit, blocks: int, anchors: DataFrame, co
             after |= (order[by] == order[by][leader]) & (start[by] > start[by][leader])
         back = np.empty(len(by), bool)
         back[by] = after
-        if unit.words:
-            data, begin, end = symbols.table.data, symbols.table.start, symbols.table.end
-            body = [None if done else data[begin[a]:end[b - 1]].tobytes() for a, b, done in zip(low, high, back, strict=True)]
-        else:
-            body = [None if done else symbols.bytes[a:b].tobytes() for a, b, done in zip(low, high, back, strict=True)]
+        body = [None if done else block.data[a:b].tobytes() for a, b, done in
+                zip(columns["from"].tolist(), columns["to"].tolist(), back.tolist(), strict=True)]
         return pa.table({
-            "block": pa.array(np.full(len(which), key[0].as_py(), np.int32)),
-            "row": runs.text[which].astype(np.int32), "ord": order, "start": start,
-            "windows": (high - low - unit.size + 1).astype(np.int32),
-            "at": (runs.place[which] - low).astype(np.int32), "anchor": runs.anchor[which],
-            "d1": d1, "d2": d2, "body": pa.array(body, pa.binary())})
+            "block": pa.array(np.full(len(by), key[0].as_py(), np.int32)),
+            "row": columns["row"].astype(np.int32), "ord": order, "start": start,
+            "windows": columns["windows"].astype(np.int32), "at": columns["at"].astype(np.int32), "anchor": columns["anchor"],
+            "d1": d1, "d2": d2, "body": pa.array(body, pa.binary()),
+            **{side: pa.array(columns[side], pa.int64(), mask=back | columns[f"no_{side}"]) for side in ("left", "right")}})
 
     found = parcels(docs, blocks).groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(
-        run, "block int, row int, ord long, start long, windows int, at int, anchor long, d1 long, d2 long, body binary")
+        run, "block int, row int, ord long, start long, windows int, at int, anchor long, d1 long, d2 long, body binary, "
+             "left long, right long")
     return written(found, "runs")
 
 
+_LONGS = ("row", "start", "windows", "at", "anchor", "d1", "d2", "from", "to", "left", "right")
+_NO_RUNS = {**{n: np.zeros(0, np.int64) for n in _LONGS}, "no_left": np.zeros(0, bool), "no_right": np.zeros(0, bool)}
+
+
+def _runs_found(part: Part, unit: Unit, common: np.ndarray, wanted: np.ndarray, locate: Locate, half: int) -> dict:
+    """The runs of a part that ``locate`` picks, with their bytes' range in the block."""
+    symbols = Symbols(part.texts, unit)
+    runs = runs_of(symbols, unit, common)
+    which = np.flatnonzero(locate(part.texts, symbols, runs, wanted)) if len(runs.low) else np.zeros(0, np.int64)
+    if not len(which):
+        return _NO_RUNS
+    low, high, place, text = runs.low[which], runs.high[which] + unit.size, runs.place[which], runs.text[which]
+    d1, d2 = digests(symbols, low, high)
+    if unit.words:  # a text's bytes come after as many spaces put in as there are texts up to it
+        begin, end = symbols.table.start[low] - text - 1, symbols.table.end[high - 1] - text - 1
+    else:
+        begin, end = low, high
+    behind = place + unit.gram
+    sides = {"left": (np.maximum(place - half, 0), place, place - half < low), "right": (behind, np.minimum(behind + half, high), behind + half > high)}
+    out = {"row": part.texts.rows[text], "start": low - symbols.first[text] + part.skipped, "windows": high - low - unit.size + 1,
+           "at": place - low, "anchor": runs.anchor[which], "d1": d1, "d2": d2, "from": begin + part.base, "to": end + part.base}
+    for side, (a, b, short) in sides.items():
+        out[side], out[f"no_{side}"] = spans_hashed(symbols.values, a, b, BASE).view(np.int64), short
+    return out
+
+
 def judged(found: DataFrame, unit: Unit, resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(block, row, low, high): ranges of symbols covered by windows that occur earlier.
 
@@ -323,11 +394,11 @@ def cut_out(docs: DataFrame, blocks: int, spans: DataFrame, finish: Callable[[Bl
 
 def covered(first: np.ndarray, spans: pa.Table) -> np.ndarray:
     """A flag per symbol: is it inside a span? ``first`` are the places where the block's rows begin."""
-    marks = np.zeros(int(first[-1]) + 1, np.int64)
+    marks = np.zeros(int(first[-1]) + 1, np.int32)
     begin = first[spans.column("row").to_numpy()]
     np.add.at(marks, begin + spans.column("low").to_numpy(), 1)
     np.add.at(marks, begin + spans.column("high").to_numpy(), -1)
-    return np.cumsum(marks)[:-1] > 0
+    return np.cumsum(marks, dtype=np.int32, out=marks)[:-1] > 0
 
 
 def merged_windows(owner: np.ndarray, offset: np.ndarray, rows: pa.Table, size: int) -> pa.Table:
@@ -345,7 +416,20 @@ def merged_windows(owner: np.ndarray, offset: np.ndarray, rows: pa.Table, size:
 
 
 def bucketed(frame: DataFrame, label: str, rows_each: int) -> tuple[DataFrame, str]:
-    """Adds a column that deals anchors into buckets of about ``rows_each`` rows."""
+    """Adds a column that deals runs into buckets of about ``rows_each`` rows, those that can share a window together.
+
+    Runs of one anchor go together. Runs of an anchor with more than ``rows_each`` are dealt twice, by what is left and what is right of the
+    anchor: any window they share reaches half of its rest to one side, and so all runs that have the window meet there.
+    """
     name = free_name(frame, label)
     buckets = max(1, frame.count() // rows_each)
-    return frame.withColumn(name, F.pmod(F.xxhash64("anchor"), F.lit(buckets))), name
+    large = written(frame.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_each).select("anchor"), "large")
+    key = F.xxhash64("anchor")
+    if large.isEmpty():
+        return frame.withColumn(name, F.pmod(key, F.lit(buckets))), name
+    sides = F.filter(F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("by")) for side in ("left", "right")]),
+                     lambda x: x["by"].isNotNull())
+    halves = frame.join(large, "anchor", "left_semi").withColumn("side", F.explode(sides)).withColumn(
+        name, F.pmod(F.xxhash64("anchor", "side.side", "side.by"), F.lit(buckets))).drop("side")
+    rest = frame.join(large, "anchor", "left_anti").withColumn(name, F.pmod(key, F.lit(buckets)))
+    return rest.unionByName(halves), name

@@ -85,18 +85,16 @@ def without_repeated_bytes(docs: DataFrame, size: int = SIZE, gram: int = GRAM)
     spans = repeats.judged(found, unit, lambda runs: resolved(runs, size, gram))
 
     def finish(block: Block, table: pa.Table) -> pa.Table:
-        first = np.concatenate([[0], np.cumsum(block.sizes)])
-        gone = repeats.covered(first, table)
-        edges = gone.copy()
-        edges[1:] &= ~gone[:-1]
-        inner = first[(first > 0) & (first < len(gone))]
-        edges[inner] = gone[inner]
-        removed, spans = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, edges))
-        kept = [block.data[a:b][~gone[a:b]].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+        gone = repeats.covered(block.offsets, table)
+        removed, spans, kept = [], [], []
+        for a, b in zip(block.offsets[:-1].tolist(), block.offsets[1:].tolist(), strict=True):
+            own = gone[a:b]
+            removed.append(int(np.count_nonzero(own)))
+            spans.append(int(np.count_nonzero(own[1:] & ~own[:-1])) + int(b > a and own[0]))
+            kept.append(block.data[a:b][~own].tobytes())
         return pa.table({
             "doc_id": pa.array(block.orders, pa.int64(), mask=~block.known), "n_bytes": block.sizes,
-            "n_removed": removed[first[1:]] - removed[first[:-1]], "n_spans": spans[first[1:]] - spans[first[:-1]],
-            "kept": pa.array(kept, pa.binary())})
+            "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept": pa.array(kept, pa.binary())})
 
     return repeats.cut_out(docs, blocks, spans, finish,
                            "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -3,7 +3,7 @@ import re
 import numpy as np
 import pytest
 
-from assayworks.llm import repeats
+from assayworks.llm import phrases, repeats, substrings
 from assayworks.llm.phrases import without_repeated_passages
 from assayworks.llm.substrings import without_repeated_bytes
 from assayworks.llm.suffixes import suffix_order
@@ -68,18 +68,24 @@ def blocks(request, monkeypatch):
     monkeypatch.setattr(repeats, "BLOCK_BYTES", request.param)
 
 
+@pytest.fixture(params=[1 << 17, 700])
+def parts(request, monkeypatch):
+    """Parts of texts; the smaller ones cut most texts."""
+    monkeypatch.setattr(repeats, "PART_BYTES", request.param)
+
+
 @pytest.fixture(params=[40, 3])
 def common(request, monkeypatch):
     monkeypatch.setattr(repeats, "COMMON_LEAST", request.param)
 
 
-def test_words_against_brute_force(make, blocks, common):
+def test_words_against_brute_force(make, blocks, common, parts):
     rows = planted(1)
     found = without_repeated_passages(make(rows)).collect()
     assert sorted((tuple(r) for r in found), key=str) == words_removed(rows, 50)
 
 
-def test_bytes_against_brute_force(make, blocks, common):
+def test_bytes_against_brute_force(make, blocks, common, parts):
     rows = planted(2)
     found = without_repeated_bytes(make(rows)).collect()
     got = sorted(((*tuple(r)[:4], bytes(r["kept"])) for r in found), key=str)
@@ -110,3 +116,34 @@ def test_suffix_order_of_random_strings():
     for a, b, n in zip(expected, expected[1:], lcp[1:], strict=False):
         same = next((k for k, (x, y) in enumerate(zip(a[0], b[0], strict=False)) if x != y), min(len(a[0]), len(b[0])))
         assert n == same
+
+
+@pytest.mark.parametrize("limit", [1, 5])
+def test_large_groups_of_an_anchor_are_dealt_by_what_is_beside_it(make, monkeypatch, limit):
+    monkeypatch.setattr(phrases, "RUNS_PER_TASK", limit)
+    monkeypatch.setattr(substrings, "RUNS_PER_TASK", limit)
+    rows = planted(4)
+    assert sorted((tuple(r) for r in without_repeated_passages(make(rows)).collect()), key=str) == words_removed(rows, 50)
+    found = without_repeated_bytes(make(rows)).collect()
+    assert sorted(((*tuple(r)[:4], bytes(r["kept"])) for r in found), key=str) == bytes_removed(rows, 100)
+
+
+def test_long_odd_texts(make):
+    rows = ODD + [(9, "word " * 100 + "other")]
+    assert sorted((tuple(r) for r in without_repeated_passages(make(rows)).collect()), key=str) == words_removed(rows, 50)
+    found = without_repeated_bytes(make(rows)).collect()
+    assert sorted(((*tuple(r)[:4], bytes(r["kept"])) for r in found), key=str) == bytes_removed(rows, 100)
+
+
+def test_a_text_of_30_mb(spark):
+    """A text whose second half repeats the first, and a later one that repeats its middle; all else occurs once."""
+    half = spark.range(1).selectExpr("array_join(transform(sequence(1, 1500000), i -> concat('w', lpad(i, 8, '0'))), ' ') AS t")
+    docs = half.selectExpr("1L AS doc_id", "concat(t, ' ', t) AS text").union(
+        half.selectExpr("2L", "concat('fresh ', substr(t, 7000001, 50000), ' end')"))
+    found = {r.doc_id: r for r in without_repeated_bytes(docs).select("doc_id", "n_bytes", "n_removed", "n_spans").collect()}
+    length = 1_500_000 * 10 - 1
+    assert tuple(found[1])[1:] == (2 * length + 1, length, 1)
+    assert tuple(found[2])[1:] == (50_010, 50_001, 1)
+    words = {r.doc_id: r for r in without_repeated_passages(docs).select("doc_id", "n_words", "n_removed").collect()}
+    assert tuple(words[1])[1:] == (3_000_000, 0)  # within one document words are not removed
+    assert tuple(words[2])[1:] == (5_002, 5_000)
