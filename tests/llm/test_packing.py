@@ -5,7 +5,7 @@ from tokenizers import Tokenizer
 
 from assayworks.llm import packing
 from assayworks.llm.queries import packed, pieces
-from assayworks.llm.tokens import cuts
+from assayworks.llm.tokens import cuts, encoder
 from tests.llm.conftest import ODD
 
 
@@ -73,3 +73,12 @@ def test_empty_table_and_wrong_lengths(spark, make):
     assert packed(make([])).count() == 0
     with pytest.raises(ValueError, match="lengths"):
         packing.pack(spark.createDataFrame([(0,)], "length int"), "length", 8)
+
+
+@pytest.mark.parametrize("space", [" ", "\t", "\n", "\u3000"])
+def test_very_long_white_space(space):
+    """Runs on which the fast library's pattern overflows its stack; ids stay those of the contract's library."""
+    encode = encoder(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    exact = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for text in (space * (5_000_000 if space == " " else 1_200_000), "before" + space * 1_000_000 + "after it", f"a{space * 9_999}b{space * 10_001}c"):
+        assert encode([text])[0].tolist() == exact.encode(text, add_special_tokens=False).ids
