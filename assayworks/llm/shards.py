@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from assayworks.llm.shared import running, written
 
-ROUNDS = 4
 PRIORITIES = 1_024
 LARGE = 64
 STEPS = (4, 16, 64, 256, 1_024, 4_096)
@@ -49,12 +48,19 @@ def _by_shard(labels: DataFrame, shards: int) -> list[int]:
     return [int(sums.get(s) or 0) for s in range(shards)]
 
 
-def propagated(nodes: DataFrame, links: DataFrame, rooms: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """node, size, shard of every linked node after some rounds of label propagation.
+def _cut(links: DataFrame, labels: DataFrame) -> int:
+    """How many links lead from one shard to another."""
+    ends = [labels.select(F.col("node").alias(end), F.col("shard").alias(f"{end}_shard")) for end in ("a", "b")]
+    return links.join(ends[0], "a").join(ends[1], "b").filter("a_shard <> b_shard").count()
+
+
+def propagated(nodes: DataFrame, links: DataFrame, rooms: list[int]) -> DataFrame:
+    """node, size, shard of every linked node when label propagation cuts no fewer links any more.
 
     Nodes start anywhere. In each round every node looks up the shards of its neighbours (a join by node) and
-    asks to move to the one most of them are in; members move in odd rounds, their
+    asks to move to the one most of them are in, if those are more than in its own; members move in odd rounds, their
     hubs in even ones, lest they pass each other. A shard takes no more than fills up its room, counting what asks to leave it.
+    It ends when neither a round of members nor one of hubs has cut fewer links than the best state so far, which is returned.
     """
     shards = len(rooms)
     both = links.union(links.select("b", "a")).toDF("node", "other")
@@ -63,18 +69,24 @@ def propagated(nodes: DataFrame, links: DataFrame, rooms: list[int], rounds: int
     labels = written(linked.join(hubs, "node", "left").select(
         "node", "size", F.coalesce("hub", F.lit(0)).alias("hub"),
         F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard")), "labels")
-    for turn in range(rounds):
+    best, fewest, turn, since = labels, _cut(links, labels), 0, 0
+    while fewest and since < 2:
         near = both.join(labels.select(F.col("node").alias("other"), F.col("shard").alias("target")), "other")
         votes = near.groupBy("node", "target").agg(F.count(F.lit(1)).alias("votes"), F.min("other").alias("pull"))
-        best = votes.groupBy("node").agg(F.max(F.struct("votes", "target", "pull")).alias("best"))
-        moves = labels.filter(F.col("hub") == turn % 2).join(best, "node").select(
-            "node", "size", "shard", F.col("best.target").alias("target"), F.col("best.pull").alias("pull")).filter(
-            "shard <> target")
+        asked = votes.groupBy("node").agg(
+            F.max(F.struct("votes", "target", "pull")).alias("best"),
+            F.map_from_entries(F.collect_list(F.struct("target", "votes"))).alias("votes"))  # as many as shards at most
+        own = F.coalesce(F.try_element_at("votes", F.col("shard")), F.lit(0))
+        moves = labels.filter(F.col("hub") == turn % 2).join(asked, "node").filter(F.col("best.votes") > own).select(
+            "node", "size", "shard", F.col("best.target").alias("target"), F.col("best.pull").alias("pull"))
         moves = written(moves, "moves")
         leaving, held = _by_shard(moves, shards), _by_shard(labels, shards)
         taken = _accepted(moves, [max(0, r - h + x) for r, h, x in zip(rooms, held, leaving, strict=True)])
         labels = written(labels.join(taken, "node", "left").select(
             "node", "size", "hub", F.coalesce("target", "shard").alias("shard")), "labels")
+        cut, turn = _cut(links, labels), turn + 1
+        best, fewest, since = (labels, cut, 0) if cut < fewest else (best, fewest, since + 1)
+    labels = best
     return labels.select("node", "size", "shard")
 
 
