@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayworks.llm.arrowtext import SECOND, Texts, Words, spans_hashed, text_chunks
-from assayworks.llm.shared import free_name, written
+from assayworks.llm.shared import free_name, mapped_rows, written
 
 GRAM = 3
 SEEDS_PER_BLOCK = 200_000
@@ -289,7 +289,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, leas
     text = free_name(docs, "text")
     clean = docs.withColumn(text, F.col("text").cast("string"))
     for items in _blocks(benchmark, docs, n, least):
-        clean = clean.mapInArrow(_clean_rows(items, least), clean.schema)
+        clean = mapped_rows(clean, _clean_rows(items, least))
     return clean.drop(text)
 
 

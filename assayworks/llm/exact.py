@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayworks.llm.shared import ascii_lower, free_name, text_or_empty, written
+from assayworks.llm.shared import ascii_lower, free_name, one_of_each, text_or_empty, written
 
 SALTS = 64
 
@@ -70,14 +70,14 @@ def exact_duplicates(docs: DataFrame, digest: Digest = sha256, salts: int = SALT
 
 
 def without_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of repeated rows one stays.
+    """The rows of ``docs`` that stay, with all their columns, whatever their names and types.
 
     A row stays when its doc_id won for its own text, so rows that share an id are told apart by their texts. Rows with a
-    NULL doc_id stay when no numbered document has their text.
+    NULL doc_id stay when no numbered document has their text. Of rows with the same doc_id and text one stays.
     """
-    digest = free_name(docs, "digest")
+    digest, winner, won = (free_name(docs, x) for x in ("digest", "winner", "won"))
     winners = exact_duplicates(docs).filter("kept").select(
-        F.col("doc_id").alias("_winner"), F.col("digest").alias("_digest")).distinct()
+        F.col("doc_id").alias(winner), F.col("digest").alias(won)).distinct()
     keyed = docs.withColumn(digest, sha256(ascii_lower(text_or_empty())))
-    kept = keyed.join(winners, F.col("doc_id").eqNullSafe(F.col("_winner")) & (F.col(digest) == F.col("_digest")), "left_semi")
-    return kept.drop(digest).dropDuplicates(docs.columns)
+    kept = keyed.join(winners, F.col("doc_id").eqNullSafe(F.col(winner)) & (F.col(digest) == F.col(won)), "left_semi")
+    return one_of_each(kept.drop(digest), text_or_empty())

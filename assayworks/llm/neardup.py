@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from assayworks.llm.arrowtext import SECOND, Texts, mixed, spans_hashed, text_chunks
 from assayworks.llm.components import components
-from assayworks.llm.shared import written
+from assayworks.llm.shared import free_name, one_of_each, text_or_empty, written
 
 SIZE = 128
 BANDS = 32
@@ -234,6 +234,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
 
 
 def without_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each component, with all their columns; of repeated rows one stays."""
-    kept = near_duplicates(docs, n, percent).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(docs.columns)
+    """The rows of ``docs`` that stay, one of each component, with all their columns, whatever their names and types.
+
+    Of rows with the same doc_id and text one stays.
+    """
+    name = free_name(docs, "kept")
+    kept = near_duplicates(docs, n, percent).filter("kept").select(F.col("doc_id").alias(name)).distinct()
+    return one_of_each(docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi"), text_or_empty())

@@ -122,7 +122,7 @@ def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
     model = quality.fit_quality(docs, _table(spark, sf, "labels").filter(remainder != 2))
-    scored = quality.score_quality(docs, model)
+    scored = quality.score_quality(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", (remainder == 2).alias("held_out"), "score", "predicted")
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from assayworks.sources.scratch import scratch_path
 
@@ -26,6 +28,20 @@ def free_name(df: DataFrame, label: str) -> str:
     return f"_{label}_{uuid.uuid4().hex[:12]}"
 
 
+def mapped_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                added: Sequence[StructField] = ()) -> DataFrame:
+    """mapInArrow that keeps all columns, whatever their names, and adds some at the end; ``run`` finds columns by place."""
+    fields = [StructField(f"c{i}", f.dataType, True) for i, f in enumerate(df.schema.fields)]
+    out = df.toDF(*[f.name for f in fields]).mapInArrow(run, StructType([*fields, *added]))
+    return out.toDF(*df.columns, *[f.name for f in added])
+
+
+def one_of_each(df: DataFrame, text: Column) -> DataFrame:
+    """One row of those with the same doc_id and text; other columns may have any type."""
+    digest = free_name(df, "digest")
+    return df.withColumn(digest, F.sha2(text, 256)).dropDuplicates(["doc_id", digest]).drop(digest)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
