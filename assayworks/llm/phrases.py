@@ -57,7 +57,7 @@ def automaton_locator(gram: int) -> repeats.Locate:
     return locate
 
 
-def resolved(runs: DataFrame, size: int) -> DataFrame:
+def resolved(runs: DataFrame, size: int, gram: int) -> DataFrame:
     """Windows of the given runs whose words start in a smaller document, as ranges; compared by 128 bits."""
     def run(table: pa.Table) -> pa.Table:
         owners, offsets, keys, others = [], [], [], []
@@ -77,7 +77,7 @@ def resolved(runs: DataFrame, size: int) -> DataFrame:
         later = by[order[by] > first]
         return repeats.merged_windows(owner[later], offset[later], table, size)
 
-    dealt, bucket = repeats.bucketed(runs, "bucket", RUNS_PER_TASK)
+    dealt, bucket = repeats.bucketed(runs, Unit(True, size, gram), RUNS_PER_TASK)
     return dealt.groupBy(bucket).applyInArrow(run, "block int, row int, low long, high long")
 
 
@@ -98,7 +98,7 @@ def without_repeated_passages(docs: DataFrame, size: int = SIZE, gram: int = GRA
     common = repeats.common_anchors(docs, unit)
     anchors = repeats.repeated_anchors(docs, unit, blocks, common)
     found = repeats.occurrences(docs, unit, blocks, anchors, common, automaton_locator(gram))
-    spans = repeats.judged(found, unit, lambda runs: resolved(runs, size))
+    spans = repeats.judged(found, unit, lambda runs: resolved(runs, size, gram))
 
     def finish(block: Block, table: pa.Table) -> pa.Table:
         words = block.texts().words()

@@ -8,24 +8,28 @@ are dealt into blocks of a few megabytes; a block meets the anchors that matter
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField
 
 from assayworks.llm.arrowtext import BASE, BYTE_VALUES, SECOND, Texts, grams_hashed, spans_hashed, text_arrays
-from assayworks.llm.shared import free_name, written
+from assayworks.llm.shared import free_name, mapped_rows, written
 
 BLOCK_BYTES, PART_BYTES = 1 << 20, 1 << 17
 SAMPLED_DOCUMENTS = 20_000
 COMMON_SHARE, COMMON_LEAST = 0.005, 40
 PLACE_BITS = 24
 HOT = np.uint64(1 << 63)
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 @dataclass(frozen=True)
@@ -298,18 +302,15 @@ def by_hash(texts: Texts, symbols: Symbols, runs: Runs, wanted: np.ndarray) -> n
 
 def occurrences(docs: DataFrame, unit: Unit, blocks: int, anchors: DataFrame, common: np.ndarray,
                 locate: Locate) -> DataFrame:
-    """(block, row, ord, start, windows, at, anchor, d1, d2, body, left, right) of runs that may be repeated.
+    """(block, row, ord, start, windows, at, anchor, d1, d2, body) of runs that may be repeated.
 
     ``at`` is the anchor's place in the run. ``body`` holds the run's symbols, NULL where an equal run of an earlier place was seen in the block:
-    such a run is repeated as a whole whatever other blocks hold. ``left`` and ``right`` are hashes of the symbols beside the anchor,
-    half of what a window has besides it, NULL where the run has fewer: two runs that share a window share one of them.
+    such a run is repeated as a whole whatever other blocks hold.
     """
-    half = (unit.size - unit.gram + 1) // 2
-
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         block = Block(left)
         wanted = np.union1d(right.column("anchor").to_numpy(), common)
-        found = [_runs_found(part, unit, common, wanted, locate, half) for part in parts_of(block.data, block.offsets, unit)]
+        found = [_runs_found(part, unit, common, wanted, locate) for part in parts_of(block.data, block.offsets, unit)]
         columns = {n: np.concatenate([f[n] for f in found]) for n in found[0]} if found else _NO_RUNS
         order, start = block.orders[columns["row"]], columns["start"]
         d1, d2 = columns["d1"], columns["d2"]
@@ -328,20 +329,17 @@ def occurrences(docs: DataFrame, unit: Unit, blocks: int, anchors: DataFrame, co
             "block": pa.array(np.full(len(by), key[0].as_py(), np.int32)),
             "row": columns["row"].astype(np.int32), "ord": order, "start": start,
             "windows": columns["windows"].astype(np.int32), "at": columns["at"].astype(np.int32), "anchor": columns["anchor"],
-            "d1": d1, "d2": d2, "body": pa.array(body, pa.binary()),
-            **{side: pa.array(columns[side], pa.int64(), mask=back | columns[f"no_{side}"]) for side in ("left", "right")}})
+            "d1": d1, "d2": d2, "body": pa.array(body, pa.binary())})
 
     found = parcels(docs, blocks).groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(
-        run, "block int, row int, ord long, start long, windows int, at int, anchor long, d1 long, d2 long, body binary, "
-             "left long, right long")
+        run, "block int, row int, ord long, start long, windows int, at int, anchor long, d1 long, d2 long, body binary")
     return written(found, "runs")
 
 
-_LONGS = ("row", "start", "windows", "at", "anchor", "d1", "d2", "from", "to", "left", "right")
-_NO_RUNS = {**{n: np.zeros(0, np.int64) for n in _LONGS}, "no_left": np.zeros(0, bool), "no_right": np.zeros(0, bool)}
+_NO_RUNS = {n: np.zeros(0, np.int64) for n in ("row", "start", "windows", "at", "anchor", "d1", "d2", "from", "to")}
 
 
-def _runs_found(part: Part, unit: Unit, common: np.ndarray, wanted: np.ndarray, locate: Locate, half: int) -> dict:
+def _runs_found(part: Part, unit: Unit, common: np.ndarray, wanted: np.ndarray, locate: Locate) -> dict:
     """The runs of a part that ``locate`` picks, with their bytes' range in the block."""
     symbols = Symbols(part.texts, unit)
     runs = runs_of(symbols, unit, common)
@@ -354,13 +352,8 @@ def _runs_found(part: Part, unit: Unit, common: np.ndarray, wanted: np.ndarray,
         begin, end = symbols.table.start[low] - text - 1, symbols.table.end[high - 1] - text - 1
     else:
         begin, end = low, high
-    behind = place + unit.gram
-    sides = {"left": (np.maximum(place - half, 0), place, place - half < low), "right": (behind, np.minimum(behind + half, high), behind + half > high)}
-    out = {"row": part.texts.rows[text], "start": low - symbols.first[text] + part.skipped, "windows": high - low - unit.size + 1,
-           "at": place - low, "anchor": runs.anchor[which], "d1": d1, "d2": d2, "from": begin + part.base, "to": end + part.base}
-    for side, (a, b, short) in sides.items():
-        out[side], out[f"no_{side}"] = spans_hashed(symbols.values, a, b, BASE).view(np.int64), short
-    return out
+    return {"row": part.texts.rows[text], "start": low - symbols.first[text] + part.skipped, "windows": high - low - unit.size + 1,
+            "at": place - low, "anchor": runs.anchor[which], "d1": d1, "d2": d2, "from": begin + part.base, "to": end + part.base}
 
 
 def judged(found: DataFrame, unit: Unit, resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -415,13 +408,32 @@ def merged_windows(owner: np.ndarray, offset: np.ndarray, rows: pa.Table, size:
         "low": start + offset[begin], "high": start + offset[end] + size})
 
 
-def bucketed(frame: DataFrame, label: str, rows_each: int) -> tuple[DataFrame, str]:
+def _beside(unit: Unit) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds hashes of the symbols left and right of a run's anchor, half of what a window has besides it, NULL where there are fewer."""
+    half = (unit.size - unit.gram + 1) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides: tuple[list, list] = ([], [])
+            for at, body in zip(batch.column(5).to_pylist(), batch.column(9).to_pylist(), strict=True):
+                own = _WORD.findall(body) if unit.words else body
+                behind = at + unit.gram
+                for side, some, enough in ((sides[0], own[max(0, at - half):at], at >= half),
+                                           (sides[1], own[behind:behind + half], behind + half <= len(own))):
+                    side.append(xxhash.xxh64_intdigest(b" ".join(some) if unit.words else some) >> 1 if enough else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(s, pa.int64()) for s in sides)],
+                                             [*batch.schema.names, "left", "right"])
+
+    return run
+
+
+def bucketed(frame: DataFrame, unit: Unit, rows_each: int) -> tuple[DataFrame, str]:
     """Adds a column that deals runs into buckets of about ``rows_each`` rows, those that can share a window together.
 
     Runs of one anchor go together. Runs of an anchor with more than ``rows_each`` are dealt twice, by what is left and what is right of the
     anchor: any window they share reaches half of its rest to one side, and so all runs that have the window meet there.
     """
-    name = free_name(frame, label)
+    name = free_name(frame, "bucket")
     buckets = max(1, frame.count() // rows_each)
     large = written(frame.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_each).select("anchor"), "large")
     key = F.xxhash64("anchor")
@@ -429,7 +441,9 @@ def bucketed(frame: DataFrame, label: str, rows_each: int) -> tuple[DataFrame, s
         return frame.withColumn(name, F.pmod(key, F.lit(buckets))), name
     sides = F.filter(F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("by")) for side in ("left", "right")]),
                      lambda x: x["by"].isNotNull())
-    halves = frame.join(large, "anchor", "left_semi").withColumn("side", F.explode(sides)).withColumn(
-        name, F.pmod(F.xxhash64("anchor", "side.side", "side.by"), F.lit(buckets))).drop("side")
+    added = [StructField(side, LongType()) for side in ("left", "right")]
+    halves = mapped_rows(frame.join(large, "anchor", "left_semi").select(*frame.columns), _beside(unit), added).withColumn(
+        "side", F.explode(sides)).withColumn(
+        name, F.pmod(F.xxhash64("anchor", "side.side", "side.by"), F.lit(buckets))).drop("side", "left", "right")
     rest = frame.join(large, "anchor", "left_anti").withColumn(name, F.pmod(key, F.lit(buckets)))
     return rest.unionByName(halves), name

@@ -12,7 +12,7 @@ from assayworks.llm.repeats import Block, Unit
 from assayworks.llm.suffixes import repeated_windows
 
 SIZE, GRAM = 100, 24
-RUNS_PER_TASK = 16_000
+RUNS_PER_TASK = 8_000
 STEP = 4
 
 
@@ -59,7 +59,7 @@ def resolved(runs: DataFrame, size: int, gram: int) -> DataFrame:
         owner, offset = repeated_windows(parts, np.concatenate([[0], np.cumsum(high - low)]), size, place)
         return repeats.merged_windows(keep[owner], low[owner] + offset, table, size)
 
-    dealt, bucket = repeats.bucketed(runs, "bucket", RUNS_PER_TASK)
+    dealt, bucket = repeats.bucketed(runs, Unit(False, size, gram), RUNS_PER_TASK)
     return dealt.groupBy(bucket).applyInArrow(run, "block int, row int, low long, high long")
 
 
