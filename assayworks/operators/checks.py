@@ -13,7 +13,9 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors.exceptions.captured import CapturedException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayworks.functions.clock import Moment, moment
@@ -43,6 +45,17 @@ class Verdict(NamedTuple):
     expected: str
 
 
+Values = Mapping[str, Any]
+
+
+@dataclass(frozen=True)
+class Footer:
+    """How file footers can answer a check: counts and extremes to ask for, and the check's measures from them, or None if they do not tell."""
+
+    asks: Mapping[str, str]
+    measures: Callable[[Values], Values | None]
+
+
 @dataclass(frozen=True)
 class Check:
     """``measures`` are SQL aggregates; ``verdict`` gets the column name of each."""
@@ -53,6 +66,7 @@ class Check:
     over: Callable[[DataFrame], DataFrame] | None = None
     needs: tuple[str, ...] = ()
     check_type: str = DIRECT
+    footer: Footer | None = None
 
 
 def _quoted(text: object) -> str:
@@ -88,7 +102,7 @@ def not_empty(table: str, name: str = "silver_not_empty") -> Check:
     def verdict(m: Mapping[str, str]) -> Verdict:
         rows = m["rows"]
         return _decide(f"{rows} = 0", _quoted(f"{table} is empty"), f"concat({rows}, ' rows')", rows, "> 0")
-    return Check(name, verdict, {"rows": "count(1)"})
+    return Check(name, verdict, {"rows": "count(1)"}, footer=Footer({"rows": "count(1)"}, lambda v: {"rows": v["rows"]}))
 
 
 def freshness(column: str, limit_hours: float, name: str = "silver_freshness") -> Check:
@@ -107,12 +121,14 @@ def freshness(column: str, limit_hours: float, name: str = "silver_freshness") -
 
 def column_not_null(column: str, name: str | None = None) -> Check:
     return _none_counted(name or f"{column}_not_null", f"count_if({_named(column)} IS NULL)",
-                         f" rows with null {column}", f"No null {column} rows", needs=(column,))
+                         f" rows with null {column}", f"No null {column} rows", needs=(column,),
+                         footer=Footer({"rows": "count(1)", "set": f"count({_named(column)})"}, lambda v: {"n": v["rows"] - v["set"]}))
 
 
 def column_gte_zero(column: str, name: str | None = None) -> Check:
     return _none_counted(name or f"non_negative_{column}", f"count_if({_named(column)} < 0)",
-                         f" rows with {column} < 0", f"All {column} values >= 0", needs=(column,))
+                         f" rows with {column} < 0", f"All {column} values >= 0", needs=(column,),
+                         footer=Footer({"low": f"min({_named(column)})"}, lambda v: None if v["low"] is not None and v["low"] < 0 else {"n": 0}))
 
 
 def nullability(columns: Sequence[str], name: str = "non_nullable_columns") -> Check:
@@ -122,7 +138,9 @@ def nullability(columns: Sequence[str], name: str = "non_nullable_columns") -> C
         offenders = ", ".join(f"IF({m[c]} > 0, concat({_quoted(f'{c}=')}, {m[c]}), NULL)" for c in columns)
         return _decide(f"{total} > 0", f"concat('NULLs in ', concat_ws(', ', {offenders}))",
                        "'No NULLs in non-nullable columns'", total, 0)
-    return Check(name, verdict, {c: f"count_if({_named(c)} IS NULL)" for c in columns}, needs=tuple(columns))
+    asks = {"rows": "count(1)", **{f"set_{c}": f"count({_named(c)})" for c in columns}}
+    return Check(name, verdict, {c: f"count_if({_named(c)} IS NULL)" for c in columns}, needs=tuple(columns),
+                 footer=Footer(asks, lambda v: {c: v["rows"] - v[f"set_{c}"] for c in columns}))
 
 
 # --- checks answered by the schema alone -------------------------------------------------------
@@ -201,14 +219,22 @@ def orphan_keys(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def run(df: DataFrame, checks: Sequence[Check], *, run_id: str, pipeline: str, table: str,
-        as_of: Moment = None) -> DataFrame:
-    """Check rows in the order given. A check on an absent column fails instead of erroring."""
+        as_of: Moment = None, parquet: str | None = None) -> DataFrame:
+    """Check rows in the order given. A check on an absent column fails instead of erroring.
+
+    ``parquet`` names the folder of Parquet files that ``df`` reads whole. Checks that the files' footers answer (counts, missing values,
+    no value below zero) then read no rows; the others are measured as usual.
+    """
     ready = [_guarded(df, check) for check in checks]
     shared = [c for c in ready if c.over is None]
-    passes = [(df, shared)] if shared else []
-    passes += [(c.over(df), [c]) for c in ready if c.over is not None]
+    known = {} if parquet is None else _from_footers(df.sparkSession, parquet, shared)
+    settled, rest = [c for c in shared if c.name in known], [c for c in shared if c.name not in known]
     order = {c.name: position for position, c in enumerate(ready)}
+    passes = [(df, rest)] if rest else []
+    passes += [(c.over(df), [c]) for c in ready if c.over is not None]
     frames = [_one_pass(source, group, order, moment(as_of)) for source, group in passes]
+    if settled:
+        frames.append(_one_pass(df, settled, order, moment(as_of), known))
     return reduce(DataFrame.unionAll, frames).selectExpr(
         f"{_quoted(run_id)} AS run_id", f"{_quoted(pipeline)} AS pipeline_name", f"{_quoted(table)} AS table_name",
         "check_name", "check_type", "status", "message", "actual_value", "expected_value",
@@ -223,18 +249,54 @@ def _guarded(df: DataFrame, check: Check) -> Check:
     return _constant(check.name, True, f"Missing columns: {list_text(absent)}", "absent", "present")
 
 
-def _one_pass(source: DataFrame, checks: Sequence[Check], order: Mapping[str, int], now: Column) -> DataFrame:
+def footer_aggregates(spark: SparkSession, path: str, asks: Mapping[str, str]) -> DataFrame:
+    """One row of counts and extremes of a folder of Parquet files, which Spark takes from their footers where these have them."""
+    session = spark.newSession()  # with settings of its own; those of the caller stay as they are
+    session.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path).agg(*[F.expr(sql).alias(name) for name, sql in asks.items()])
+
+
+def _from_footers(spark: SparkSession, path: str, checks: Sequence[Check]) -> dict[str, Values]:
+    """The measures of the checks that footers settle; one row comes to the driver.
+
+    A file whose column is all NULL has no extremes, and Spark then refuses; counts are asked for alone then, and what no footer
+    tells is left to be measured from the rows.
+    """
+    for extremes in (True, False):
+        able = [c for c in checks if c.footer and (extremes or not any(sql.startswith("min(") for sql in c.footer.asks.values()))]
+        asks = {f"{i}_{k}": sql for i, c in enumerate(able) for k, sql in c.footer.asks.items()}
+        if not asks:
+            return {}
+        try:
+            row = footer_aggregates(spark, path, asks).first().asDict()
+        except (CapturedException, Py4JJavaError):
+            continue
+        if any(row[name] is None for name, sql in asks.items() if sql.startswith("count(")):  # files without rows tell nothing
+            return {}
+        told = {c.name: c.footer.measures({k: row[f"{i}_{k}"] for k in c.footer.asks}) for i, c in enumerate(able)}
+        return {name: values for name, values in told.items() if values is not None}
+    return {}
+
+
+def _one_pass(source: DataFrame, checks: Sequence[Check], order: Mapping[str, int], now: Column,
+              known: Mapping[str, Values] | None = None) -> DataFrame:
     metrics, rows = [], []
     for index, check in enumerate(checks):
         labels = {key: f"`m{index}_{key}`" for key in check.measures}
-        metrics += [F.expr(f"{sql} AS {labels[key]}") for key, sql in check.measures.items()]
+        if known is None:
+            metrics += [F.expr(f"{sql} AS {labels[key]}") for key, sql in check.measures.items()]
+        else:
+            metrics += [F.lit(known[check.name][key]).cast("long").alias(labels[key].strip("`")) for key in check.measures]
         status, message, actual, expected = check.verdict(labels)
         rows.append(
             f"struct({order[check.name]} AS position, {_quoted(check.name)} AS check_name, "
             f"{_quoted(check.check_type)} AS check_type, {status} AS status, {message} AS message, "
             f"{actual} AS actual_value, {expected} AS expected_value)"
         )
-    if metrics:
+    if known is not None:
+        measured = source.sparkSession.range(1).select(*metrics)
+    elif metrics:
         measured = source.agg(*metrics)
     else:  # schema-only checks: a one-row frame that reads nothing
         measured = source.sparkSession.range(1)

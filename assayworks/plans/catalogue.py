@@ -263,6 +263,13 @@ def audit_gold_run_log(spark: SparkSession, sf: str) -> DataFrame:
     return C.to_run_log(_summary_audit(spark, sf))
 
 
+@query
+def audit_gold_from_footers(spark: SparkSession, sf: str) -> DataFrame:
+    """The same checks over a published version of the summary, answered by its files' footers."""
+    path = T.publish(_summary(spark, sf), scratch_path(spark, "summary"))
+    return C.to_contract_log(daily.summary_results(spark.read.parquet(path), run_id="r2", as_of=AS_OF, parquet=path))
+
+
 @query
 def audit_contract_schema(spark: SparkSession, sf: str) -> DataFrame:
     """The orders contract against rows with missing ids."""
@@ -500,6 +507,37 @@ def board_from_views(spark: SparkSession, sf: str) -> DataFrame:
         return materialised(board.select(*times), "board")
 
 
+def _from_view(spark: SparkSession, log: DataFrame, name: str, view: str) -> DataFrame:
+    """Rows appended to a log and one of the board's views read over it."""
+    with _catalog_schema(spark) as schema:
+        T.ensure_logs(spark, schema)
+        T.append_log(log, schema, name)
+        T.define_views(spark, schema, T.status_views(schema))
+        seen = spark.read.table(T.qualified(schema, view))
+        times = [F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in seen.dtypes]
+        return materialised(seen.select(*times), "board_view")
+
+
+@query
+def latest_run_checks_view(spark: SparkSession, sf: str) -> DataFrame:
+    return _from_view(spark, A.checks_in_time(spark, sf), "ops_pipeline_run_log", "ops_latest_run_checks_v")
+
+
+@query
+def latest_contract_checks_view(spark: SparkSession, sf: str) -> DataFrame:
+    return _from_view(spark, A.contract_log(spark, sf), "ops_contract_check_log", "ops_latest_contract_checks_v")
+
+
+@query
+def direct_checks_view(spark: SparkSession, sf: str) -> DataFrame:
+    return _from_view(spark, A.check_log(spark, sf), "ops_pipeline_run_log", "ops_direct_checks_v")
+
+
+@query
+def last_success_view(spark: SparkSession, sf: str) -> DataFrame:
+    return _from_view(spark, _runs(spark, sf), "ops_job_run_log", "ops_last_success_v")
+
+
 @query
 def published_silver(spark: SparkSession, sf: str) -> DataFrame:
     """Silver and rejected orders read by their names in the catalog."""

@@ -78,21 +78,26 @@ DOMAINS = (
 
 def silver_results(contract: Contract, silver: DataFrame, bronze: DataFrame, rejected: DataFrame, *,
                    run_id: str, pipeline: str, freshness_hours: float, as_of: Moment = None,
-                   rejection_limit: float = P.REJECTION_LIMIT) -> DataFrame:
-    """Not-empty, freshness and rejection-ratio rows of one domain."""
+                   rejection_limit: float = P.REJECTION_LIMIT, name: str | None = None) -> DataFrame:
+    """Not-empty, freshness and rejection-ratio rows of one domain; ``name`` is the table's full name, told in the rows."""
+    table = name or contract.table
     found = [
-        C.not_empty(contract.table),
+        C.not_empty(table),
         C.freshness(P.INGESTED_AT, freshness_hours),
         C.rejection_ratio(bronze, rejected, rejection_limit),
     ]
-    return C.run(silver, found, run_id=run_id, pipeline=pipeline, table=contract.table, as_of=as_of)
+    return C.run(silver, found, run_id=run_id, pipeline=pipeline, table=table, as_of=as_of)
 
 
-def summary_results(summary: DataFrame, *, run_id: str, as_of: Moment = None) -> DataFrame:
-    """The contract checks of the summary table."""
-    contract = P.SUMMARY_CONTRACT
+def summary_results(summary: DataFrame, *, run_id: str, as_of: Moment = None, name: str | None = None,
+                    parquet: str | None = None) -> DataFrame:
+    """The contract checks of the summary table; ``name`` is its full name, told in the rows.
+
+    ``parquet`` is the folder of the version that ``summary`` reads; then its footers answer what they can.
+    """
+    contract = replace(P.SUMMARY_CONTRACT, table=name or P.SUMMARY_CONTRACT.table)
     return C.run(summary, contract.checks(summary), run_id=run_id, pipeline=GOLD_PIPELINE,
-                 table=contract.table, as_of=as_of)
+                 table=contract.table, as_of=as_of, parquet=parquet)
 
 
 def log_and_gate(results: DataFrame, schema: str, run_id: str, contract_log: bool = False,
@@ -158,6 +163,10 @@ class Product:
     def layout(self, domain: Domain) -> flow.Layout:
         return flow.Layout(f"{self.root}/{domain.name}")
 
+    def named(self, table: str) -> str:
+        """A table's full name, as check rows tell it."""
+        return f"{self.catalog}.{self.schema}.{table}"
+
     def totals(self) -> Buckets:
         return P.order_buckets(f"{self.root}/order_totals", self.buckets)
 
@@ -237,10 +246,10 @@ def update_totals(spark: SparkSession, product: Product) -> DataFrame:
     return totals.state(spark)
 
 
-def update_summary(spark: SparkSession, product: Product, view: str) -> None:
-    """Refreshes the summary from all customers and the order totals, and swaps it in."""
+def update_summary(spark: SparkSession, product: Product, view: str) -> str:
+    """Refreshes the summary from all customers and the order totals, and swaps it in; returns the folder of the new version."""
     customers = domain_tables(spark, product, DOMAINS[0])[1].silver
-    publish(P.summary_of_totals(customers, update_totals(spark, product)), f"{product.root}/{SUMMARY}", view)
+    return publish(P.summary_of_totals(customers, update_totals(spark, product)), f"{product.root}/{SUMMARY}", view)
 
 
 def readiness(spark: SparkSession, product: Product, run_id: str, as_of: Moment = None) -> DataFrame:
@@ -250,7 +259,7 @@ def readiness(spark: SparkSession, product: Product, run_id: str, as_of: Moment
         bronze, sides = domain_tables(spark, product, domain)
         found.append(C.to_run_log(silver_results(
             domain.contract, sides.silver, bronze, sides.rejected, run_id=run_id, pipeline=domain.pipeline,
-            freshness_hours=product.freshness_hours, as_of=as_of)))
+            freshness_hours=product.freshness_hours, as_of=as_of, name=product.named(f"{domain.name}_silver"))))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -280,6 +289,7 @@ def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_s
     view = qualified(product.schema, SUMMARY)
     done: list[tuple[str, int, str, str, str | None]] = []
     errors: list[Exception] = []
+    versions: list[str] = []
 
     def attempt(order: int, key: str, action: Callable[[], None]) -> None:
         try:
@@ -294,9 +304,12 @@ def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_s
         log_and_gate(readiness(spark, product, run_id, as_of), product.schema, run_id,
                      inform=lambda: log_expectations(spark, product, run_id, as_of))
 
+    def build_summary() -> None:
+        versions.append(update_summary(spark, product, view))
+
     def check_summary() -> None:
         run_id = f"{job_run_id}-gold"
-        results = summary_results(spark.read.table(view), run_id=run_id, as_of=as_of)
+        results = summary_results(spark.read.table(view), run_id=run_id, as_of=as_of, name=product.named(SUMMARY), parquet=versions[-1])
         log_and_gate(results, product.schema, run_id, contract_log=True)
 
     with ThreadPoolExecutor(len(DOMAINS)) as pool:
@@ -304,7 +317,7 @@ def run_product(spark: SparkSession, product: Product, job_run_id: str, *, git_s
             pool.submit(attempt, order, f"run_{domain.name}",
                         lambda d=domain: refresh_domain(spark, product, d, job_run_id, at))
     for order, (key, action) in enumerate((
-        ("validate_silver_readiness", check_silver), ("run_gold", lambda: update_summary(spark, product, view)),
+        ("validate_silver_readiness", check_silver), ("run_gold", build_summary),
         ("validate_gold_contract", check_summary),
     ), start=len(DOMAINS)):
         if not errors:

@@ -319,6 +319,7 @@ ORACLES: dict[str, str] = {
         SELECT run_id, 'orders_silver' AS table_name, check_name, status, actual_value, expected_value, checked_at
         FROM silver_log""",
     "audit_gold": f"WITH {SUMMARY_AUDIT} SELECT {CONTRACT_ROWS} FROM summary_log",
+    "audit_gold_from_footers": f"WITH {SUMMARY_AUDIT} SELECT {CONTRACT_ROWS} FROM summary_log",
     "audit_gold_run_log": f"WITH {SUMMARY_AUDIT} SELECT {RUN_LOG} FROM summary_log",
     "audit_contract_schema": f"""WITH {GAPS}
         SELECT 'r3' AS run_id, 'orders_silver' AS table_name, t.*, TIMESTAMP '2001-08-01 18:00:00' AS checked_at FROM (
@@ -470,6 +471,16 @@ ORACLES: dict[str, str] = {
         SELECT *, CASE WHEN overall_status IN ('FAILED', 'WARNING') THEN overall_status
                        WHEN overall_status = 'SUCCESS' THEN 'STALE' ELSE 'UNKNOWN' END AS dashboard_status
         FROM runs ORDER BY recorded_at DESC, job_run_id DESC LIMIT 1""",
+    "latest_run_checks_view": f"""WITH {CHECK_LOG}
+        SELECT pipeline_name, check_name, status, message, checked_at FROM check_log
+        WHERE check_type = 'direct' AND date_trunc('hour', checked_at) = (SELECT date_trunc('hour', max(checked_at)) FROM check_log)""",
+    "latest_contract_checks_view": f"""WITH {CONTRACT_LOG}
+        SELECT table_name, check_name, status, actual_value, expected_value, checked_at FROM contract_log
+        WHERE checked_at = (SELECT max(checked_at) FROM contract_log)""",
+    "direct_checks_view": f"""WITH {CHECK_LOG}
+        SELECT pipeline_name, check_name, status, message, checked_at, run_id FROM check_log WHERE check_type = 'direct'""",
+    "last_success_view": f"""WITH {RUNS} SELECT max(completed_at) AS last_success_at FROM runs
+        WHERE overall_status = 'SUCCESS' HAVING count(*) > 0""",
     "published_silver": f"""WITH {ORDERS}
         SELECT *, CAST(NULL AS VARCHAR) AS rejection_reason, CAST(NULL AS VARCHAR) AS rejection_severity, 'orders_silver' AS table_name
         FROM orders_kept UNION ALL SELECT *, 'orders_rejected' FROM orders_bad""",

@@ -96,4 +96,44 @@ def status_views(schema: str, stale_hours: int = 48) -> dict[str, str]:
         "ops_run_history_v": f"SELECT {job_columns} FROM {runs}",
         "ops_pipeline_run_history_v": f"SELECT {columns('ops_pipeline_run_log')} FROM {checks}",
         "ops_contract_check_history_v": f"SELECT {columns('ops_contract_check_log')} FROM {contracts}",
+        **board_views(schema),
+    }
+
+
+def board_views(schema: str, run_days: int = 2, days: int = 7) -> dict[str, str]:
+    """Definitions of the views behind a board: the latest run's and contract's checks, all direct checks, reliability, last success.
+
+    They give what the operators of the same meaning give (operators.status). The newest day comes from the partitions,
+    and of the logs only the days that matter are read.
+    """
+    runs, checks, contracts = (qualified(schema, name) for name in
+                               ("ops_job_run_log", "ops_pipeline_run_log", "ops_contract_check_log"))
+
+    def newest(log: str) -> str:
+        return f"(SELECT max({DAY}) FROM {log})"
+
+    return {
+        "ops_latest_run_checks_v": (
+            f"SELECT pipeline_name, check_name, status, message, checked_at FROM {checks} "
+            f"WHERE check_type = 'direct' AND {DAY} > date_sub({newest(checks)}, {run_days}) "
+            f"AND run_id = (SELECT max_by(run_id, struct(checked_at, run_id)) FROM {checks} WHERE {DAY} = {newest(checks)})"
+        ),
+        "ops_latest_contract_checks_v": (
+            f"SELECT table_name, check_name, status, actual_value, expected_value, checked_at FROM {contracts} "
+            f"WHERE {DAY} = {newest(contracts)} "
+            f"AND checked_at = (SELECT max(checked_at) FROM {contracts} WHERE {DAY} = {newest(contracts)})"
+        ),
+        "ops_direct_checks_v": (
+            f"SELECT pipeline_name, check_name, status, message, checked_at, run_id FROM {checks} "
+            "WHERE check_type = 'direct' ORDER BY checked_at DESC, run_id, pipeline_name, check_name, message"
+        ),
+        "ops_reliability_v": (
+            "SELECT concat(count_if(overall_status = 'SUCCESS'), ' / ', count(1), ' runs succeeded') AS reliability "
+            f"FROM {runs} WHERE started_at >= date_sub(current_date(), {days}) "
+            f"AND ({DAY} >= date_sub(current_date(), {days}) OR {DAY} IS NULL)"
+        ),
+        "ops_last_success_v": (
+            f"SELECT completed_at AS last_success_at FROM {runs} WHERE overall_status = 'SUCCESS' "
+            "ORDER BY completed_at DESC LIMIT 1"
+        ),
     }

@@ -157,3 +157,22 @@ def test_clock_defaults_to_now(spark):
     df = spark.range(1).select(F.current_timestamp().alias("t"))
     row = C.run(df, [C.freshness("t", 1)], run_id="r", pipeline="p", table="t").first()
     assert row.status == "PASS" and abs((row.checked_at - datetime.now()).total_seconds()) < 86400
+
+
+@pytest.mark.parametrize("rows", [[("a", 1), ("b", 0)], [("a", 1), (None, None)], [("a", -1), (None, 2), ("c", -7)], []])
+def test_footers_answer_as_the_rows_do(spark, folder, rows):
+    spark.createDataFrame(rows, "k string, `a.n` long").write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    checks = [C.not_empty("t"), C.column_not_null("k"), C.column_gte_zero("a.n"), C.nullability(["k", "a.n"]), C.column_not_null("absent"),
+              C.unique_key(["k"])]
+    told = {"run_id": "r", "pipeline": "p", "table": "t", "as_of": "2024-01-01 00:00:00"}
+    plain = C.run(df, checks, **told).orderBy("position").collect()
+    assert C.run(df, checks, parquet=f"{folder}/t", **told).orderBy("position").collect() == plain
+
+
+def test_counts_and_extremes_come_from_footers(spark, folder):
+    spark.range(100).selectExpr("id", "if(id % 3 = 0, NULL, cast(id AS string)) AS s").write.parquet(f"{folder}/t")
+    found = C.footer_aggregates(spark, f"{folder}/t", {"n": "count(1)", "set": "count(s)", "low": "min(id)"})
+    assert "PushedAggregation: [COUNT(*), COUNT(s), MIN(id)]" in found._jdf.queryExecution().executedPlan().toString()
+    assert tuple(found.first()) == (100, 66, 0)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"

@@ -449,3 +449,31 @@ def test_views_are_there_also_after_a_failed_refinement(spark, folder, schema):
     with pytest.raises(Exception, match="quality rule violated"):
         daily.run_product(spark, product(folder, mode="fail"), "1", now=NOON)
     assert spark.table("shop.customers_bronze").count() == 7 and spark.table("shop.customers_silver").count() == 0
+
+
+def test_views_of_the_board_give_what_the_operators_give(spark, folder, schema):
+    land(folder, "customers", CUSTOMER_CSV)
+    land(folder, "orders", ORDER_CSV)
+    now = datetime.now().replace(microsecond=0)
+    daily.run_product(spark, product(folder, freshness_hours=9999), "1", now=now - timedelta(days=9))
+    daily.run_product(spark, product(folder, freshness_hours=9999), "2", now=now)
+    view = lambda name: content(spark.table(f"shop.{name}"))
+    checks, contracts, runs = (spark.table(f"shop.{t}") for t in ("ops_pipeline_run_log", "ops_contract_check_log", "ops_job_run_log"))
+    assert view("ops_latest_run_checks_v") == content(S.latest_run_checks(checks, day="log_day"))
+    assert view("ops_latest_contract_checks_v") == content(S.latest_contract_checks(contracts)) and len(view("ops_latest_contract_checks_v")) == 4
+    assert view("ops_direct_checks_v") == content(S.all_direct_checks(checks)) and len(view("ops_direct_checks_v")) == 20
+    assert view("ops_last_success_v") == content(S.last_success(runs))
+    assert view("ops_reliability_v") == content(S.reliability(runs, day="log_day")) == ["Row(reliability='1 / 1 runs succeeded')"]
+    plan = spark.table("shop.ops_latest_contract_checks_v")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_day" in plan
+
+
+def test_check_rows_tell_full_table_names(spark, folder, schema):
+    land(folder, "customers", "customer_id,name,email,country_code,phone\n")
+    land(folder, "orders", ORDER_CSV)
+    with pytest.raises(C.CheckFailed, match="spark_catalog.shop.customers_silver is empty"):
+        daily.run_product(spark, product(folder), "1", now=NOON)
+    land(folder, "customers", CUSTOMER_CSV)
+    daily.run_product(spark, product(folder), "2", now=NOON)
+    names = {r.table_name for r in spark.table("shop.ops_contract_check_log").collect()}
+    assert names == {"spark_catalog.shop.customer_order_summary"}
