@@ -114,6 +114,15 @@ def rejected_no_rules(spark: SparkSession, sf: str) -> DataFrame:
     return R.route(_orders(spark, sf), [r for r in P.ORDER_RULES if r.severity != "business_invalid"])
 
 
+@query
+def split_no_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides of a split without a business-invalid rule, counted: nothing is rejected, whatever else a rule says."""
+    sides = R.split(_orders(spark, sf), [r for r in P.ORDER_RULES if r.severity != "business_invalid"])
+    counted = [side.groupBy().agg(F.count(F.lit(1)).alias("n_rows"), F.count(side.columns[0]).alias("n_ids")).withColumn("destination", F.lit(name))
+               for name, side in (("silver", sides.silver), ("rejected", sides.rejected))]
+    return counted[0].unionByName(counted[1])
+
+
 @query
 def events_rejected(spark: SparkSession, sf: str) -> DataFrame:
     return R.rejected(A.customer_changes(spark, sf), EVENT_RULES)

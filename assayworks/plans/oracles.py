@@ -278,6 +278,9 @@ ORACLES: dict[str, str] = {
     "rejected_no_rules": f"""WITH {ORDERS}
         SELECT *, CAST(NULL AS VARCHAR) AS rejection_reason, CAST(NULL AS VARCHAR) AS rejection_severity,
                'silver' AS _route FROM orders_candidates""",
+    "split_no_rules": """
+        SELECT 'silver' AS destination, count(*) AS n_rows, count(o_orderkey) AS n_ids FROM orders
+        UNION ALL SELECT 'rejected', 0, 0""",
     "events_rejected": f"""WITH {CHANGES}
         SELECT *, {REASONS} AS rejection_reason, 'business_invalid' AS rejection_severity
         FROM changes WHERE value <= 5 OR event_type = 'error'""",
