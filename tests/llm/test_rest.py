@@ -184,6 +184,27 @@ def test_odd_texts_single_class_and_no_labels(spark, make):
         assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] for r in scored)
 
 
+def test_all_labelled_rows_and_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    said = [" ".join(("WIN$$", "free", "the", "paper", "holds")[k] for k in np.minimum(4, rng.integers(0, 3 + good, 1 + i % 7) + good))
+            for i, good in enumerate([0] * 4400 + [1] * 4300)]
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i >= 4400)) for i in range(len(said))], "doc_id long, quality int")
+    model = quality.fit_quality(docs, labels)
+    x = np.array([r["features"] for r in quality._featured(docs, "text", ["doc_id"]).orderBy("doc_id").collect()])
+    wide = quality.expanded(x)
+    assert np.allclose(model.mean, wide.mean(0), atol=1e-9)  # all rows of both classes
+    z = (wide - model.mean) / model.scale
+    score, good = z @ model.weights, np.arange(len(said)) >= 4400
+    wrong = 1 / (1 + np.exp(score[good][:, None] - score[~good][None, :]))
+    slope = (wrong.mean(0) @ z[~good]) / (~good).sum() - (wrong.mean(1) @ z[good]) / good.sum() + quality.PENALTY * model.weights
+    assert np.abs(slope).max() < 3e-4
+    order, share = np.sort(score), 4400 / len(said)
+    weight = np.cumsum(np.where(good, (1 - share) / good.sum(), share / (~good).sum())[np.argsort(score)])
+    high = order[np.searchsorted(weight, share - 1e-12)]
+    assert order[order < high - 1e-9].max() - 1e-9 < model.cut < high + 1e-9
+
+
 # --- decontamination
 
 
