@@ -205,6 +205,17 @@ def test_all_labelled_rows_and_all_pairs(spark):
     assert order[order < high - 1e-9].max() - 1e-9 < model.cut < high + 1e-9
 
 
+def test_pipeline_learns_from_all_labels(spark, folder, monkeypatch):
+    docs = spark.createDataFrame([(i, f"w{i} " * (1 + i % 9)) for i in range(8600)], "doc_id long, text string")
+    spark.createDataFrame([(i, int(i % 9 > 3 or i > 8400)) for i in range(8600)], "doc_id long, quality int").repartition(
+        3).write.parquet(f"{folder}/labels.parquet")
+    models = []
+    monkeypatch.setattr(quality, "accepted", lambda frame, model: models.append(model) or frame)
+    assert corpus_pipeline.good_quality(spark, docs, folder).count() == 8600
+    x = np.array([r["features"] for r in quality._featured(docs, "text", ["doc_id"]).collect()])
+    assert np.allclose(models[0].mean, quality.expanded(x).mean(0), atol=1e-9)
+
+
 # --- decontamination
 
 
