@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField
 
 from assayworks.llm.arrowtext import Texts, text_chunks
-from assayworks.llm.shared import free_name, mapped_rows, written
+from assayworks.llm.shared import free_name, mapped_rows, text_or_empty, written
 
 PENALTY = 1e-3
 ROUNDS, NEAR = 60, 1e-9
@@ -286,14 +286,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, threshold: float = CUT) -> Q
     """Fits on all labelled documents.
 
     ``labels`` has doc_id and quality (1 good, 0 bad); rows with other or NULL values are left out, and so are
-    documents without a row in ``docs``. Rows that repeat a doc_id are one document, with the least of their features. With a single class,
+    documents without a row in ``docs``. Rows with the same doc_id and text are one document; a doc_id that comes with
+    several texts is learned from with each of them. With a single class,
     every document gets that class. The share of bad documents behind the quantile is counted over all labels.
     Features are joined with labels, so that no text is shuffled.
     """
     usable = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("quality").cast("int")).distinct()
     totals = {row[0]: row[1] for row in usable.groupBy("quality").count().collect()}
-    joined = _featured(docs.filter("doc_id IS NOT NULL"), "text", ["doc_id"]).join(usable, "doc_id")
-    labelled = joined.groupBy("doc_id", "quality").agg(F.min("features").alias("features")).select("quality", "features")
+    known = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", F.sha2(text_or_empty(), 256).alias("digest"))
+    joined = _featured(known, "text", ["doc_id", "digest"]).join(usable, "doc_id")
+    labelled = joined.dropDuplicates(["doc_id", "digest", "quality"]).select("quality", "features")
     bad = totals.get(0, 0) / max(1, sum(totals.values()))
     return fit_pairs(written(labelled, "labelled"), bad, threshold)
 

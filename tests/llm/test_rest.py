@@ -216,6 +216,21 @@ def test_pipeline_learns_from_all_labels(spark, folder, monkeypatch):
     assert np.allclose(models[0].mean, quality.expanded(x).mean(0), atol=1e-9)
 
 
+def test_pipeline_learns_from_every_text_of_an_id(spark, folder, monkeypatch):
+    said = [(i % 40, f"w{i} " * (1 + i % 11)) for i in range(400)] + [(3, None), (5, "UP down."), (5, "up Down.")]
+    twice = [*said, *said[:30], (3, ""), (None, "no id"), (77, "no label")]
+    docs = spark.createDataFrame(twice, "doc_id long, text string").repartition(4)
+    labels = [(i, int(i % 3 > 0)) for i in range(40)]
+    spark.createDataFrame([*labels, *labels[:5], (7, 0), (None, 1), (8, None), (99, 1)], "doc_id long, quality int").write.parquet(
+        f"{folder}/labels.parquet")
+    models = []
+    monkeypatch.setattr(quality, "accepted", lambda frame, model: models.append(model) or frame)
+    assert corpus_pipeline.good_quality(spark, docs, folder).count() == len(twice)
+    once = spark.createDataFrame([*said, *(row for row in said if row[0] == 7)], "doc_id long, text string")  # 7 is in both classes
+    x = np.array([r["features"] for r in quality._featured(once, "text", ["doc_id"]).collect()])
+    assert np.allclose(models[0].mean, quality.expanded(x).mean(0), atol=1e-9)
+
+
 # --- decontamination
 
 
