@@ -146,6 +146,9 @@ def _keyed(marks: DataFrame) -> DataFrame:
 
 # --- links -------------------------------------------------------------------------------------
 
+# Joins name "merge": Spark sizes what mapInArrow makes of a row as one row (here some forty keys) and a compressed
+# table by its files, so it would take a large side for a small one and broadcast it through the driver.
+
 
 def _distance(a: str, b: str):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
@@ -154,7 +157,7 @@ def _distance(a: str, b: str):
 def _pairs(members: DataFrame) -> DataFrame:
     left = members.filter(F.col("side") != RIGHT).select("key", F.col("mark").alias("a"))
     right = members.filter(F.col("side") != LEFT).select("key", F.col("side"), F.col("mark").alias("b"))
-    met = left.join(right, "key").filter((F.col("side") == RIGHT) | (F.col("a") < F.col("b")))
+    met = left.join(right.hint("merge"), "key").filter((F.col("side") == RIGHT) | (F.col("a") < F.col("b")))
     return met.filter(_distance("a", "b").between(1, DISTANCE)).select("a", "b")
 
 
@@ -208,7 +211,7 @@ def linked(marks: DataFrame, bucket: int = BUCKET) -> DataFrame:
     sides = [F.count_if(F.col("side") == s) for s in (LEFT, RIGHT, BOTH)]
     shared = keys.groupBy("key").agg(*[s.alias(n) for s, n in zip(sides, ("l", "r", "b"), strict=True)]).filter(
         "(l > 0 AND r > 0) OR b > 1").selectExpr("key", "l + r + b AS rows")
-    members = written(keys.join(shared, "key"), "simhash-members")
+    members = written(keys.join(shared.hint("merge"), "key"), "simhash-members")
     links = written(_pairs(members.filter(F.col("rows") <= bucket)).distinct(), "simhash-links")
     large = members.filter(F.col("rows") > bucket)
     return links if large.isEmpty() else links.union(_hub_links(large)).distinct()
@@ -228,8 +231,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, seed: int = SEED, bucke
     own = written(fingerprints(docs, width, seed), "simhash-fingerprints")
     classes = written(own.groupBy(F.col("fingerprint").alias("mark")).agg(F.min("doc_id").alias("least")), "simhash-classes")
     parts = components(linked(classes, bucket)).select(F.col("node").alias("mark"), F.col("component").alias("part"))
-    placed = classes.join(parts, "mark", "left").withColumn("part", F.coalesce("part", "mark"))
+    placed = classes.join(parts.hint("merge"), "mark", "left").withColumn("part", F.coalesce("part", "mark"))
     named = placed.groupBy("part").agg(F.min("least").alias("component_id"))
-    led = placed.join(named, "part").select(F.col("mark").alias("fingerprint"), "component_id")
-    return own.join(led, "fingerprint").select(
+    led = placed.join(named.hint("merge"), "part").select(F.col("mark").alias("fingerprint"), "component_id")
+    return own.join(led.hint("merge"), "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

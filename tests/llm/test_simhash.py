@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from assayworks.llm import golay, simhash
 from assayworks.llm.components import components
 from assayworks.llm.queries import LLM_QUERIES
+from assayworks.llm.shared import written
 from tests.llm.conftest import ODD, words_of
 
 
@@ -101,6 +102,24 @@ def test_dense_clusters_make_links_in_proportion(spark):
         assert made < 65 * size and made < close
 
 
+@pytest.fixture
+def planned(monkeypatch):
+    """Labels and plans, as Spark sizes them before it runs, of all tables that the operator writes."""
+    plans = []
+
+    def recorded(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, label)
+
+    monkeypatch.setattr("assayworks.llm.simhash.written", recorded)
+    monkeypatch.setattr("assayworks.llm.components.written", recorded)
+    return plans
+
+
+def broadcasts(plans):
+    return [label for label, plan in plans if "Broadcast" in plan]
+
+
 def brute(rows):
     marks = {}
     for doc_id, text in rows:
@@ -135,6 +154,16 @@ def test_near_duplicates_match_brute_force(spark, make, tmp_path):
     assert simhash.near_duplicates(lone).collect()[0].component_id is None
 
 
+def test_keys_are_not_broadcast(make, planned):
+    """A fingerprint makes some forty keys that Spark sizes as one: 0.6 GB of documents made eleven million rows, 1 GB of a broadcast."""
+    rows = [(i, " ".join(f"{c}{i // 2}" for c in "abcdefghijklmnopqrstuvwxyz" * 8) + " x" * (i % 2)) for i in range(40)]
+    found = simhash.near_duplicates(make(rows))
+    assert collected(found) == brute(rows)
+    planned.append(("result", found._jdf.queryExecution().executedPlan().toString()))
+    assert {"simhash-members", "simhash-links", "result"} <= {label for label, _ in planned}
+    assert broadcasts(planned) == []
+
+
 def test_fingerprints_equal_sparks_own_hash(spark, documents):
     """Spark's xxhash64 is XXH64 with seed 42, so built-in functions can do the same count."""
     some = documents.filter("length(text) < 3000")
