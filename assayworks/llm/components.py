@@ -51,7 +51,8 @@ def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) of every node of the links ``a``, ``b`` (long).
 
     NULL ends and loops are ignored; a table without links gives no rows. Each round halves
-    distances, joins by node only and writes its links, so no component meets in one task or the driver.
+    distances, joins by node only and writes its links, so no component meets in one task or the driver. Joins name "merge", as
+    the files of links are far smaller than what a broadcast of them takes on the driver.
     Links are first spread over as few tasks as LINKS_PER_TASK asks for, so that union-find does most of the work there.
     """
     proper = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -61,9 +62,9 @@ def components(links: DataFrame) -> DataFrame:
     while mark != last:
         both = now.union(now.select("b", "a")).toDF("u", "v")
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(lowest, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.filter("v > u").join(lowest.hint("merge"), "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         under = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(under, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(under.hint("merge"), "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         stars = written(small.union(under.select("a", F.col("m").alias("b"))).distinct(), "stars")
         last, mark = mark, _signature(stars)
         now = stars

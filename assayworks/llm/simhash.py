@@ -146,7 +146,7 @@ def _keyed(marks: DataFrame) -> DataFrame:
 
 # --- links -------------------------------------------------------------------------------------
 
-# Joins name "merge": Spark sizes what mapInArrow makes of a row as one row (here some forty keys) and a compressed
+# Joins name "merge": Spark sizes what mapInArrow makes of a row as one row (here some forty keys, or 2,081 hubs) and a compressed
 # table by its files, so it would take a large side for a small one and broadcast it through the driver.
 
 
@@ -193,13 +193,13 @@ def _hub_links(members: DataFrame) -> DataFrame:
     near = written(hubs.select(F.col("marks")[0].alias("a"), F.explode(F.expr("slice(marks, 2, 64)")).alias("b")).distinct(),
                    "simhash-near")
     part = written(components(near), "simhash-parts").select(F.col("node").alias("mark"), F.col("component").alias("part"))
-    placed = members.join(part, "mark", "left").withColumn("part", F.coalesce("part", "mark"))
+    placed = members.join(part.hint("merge"), "mark", "left").withColumn("part", F.coalesce("part", "mark"))
     open_keys = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
-    rest = written(placed.join(open_keys, "key", "left_semi").select("mark", "part").distinct(), "simhash-rest")
+    rest = written(placed.join(open_keys.hint("merge"), "key", "left_semi").select("mark", "part").distinct(), "simhash-rest")
     # A hub's fingerprints are of one part; a fingerprint of another part that reaches the hub joins the two.
     roots = _around(rest, 1).groupBy("hub").agg(F.min("mark").alias("root")).join(
-        part.select(F.col("mark").alias("root"), F.col("part").alias("own")), "root", "left")
-    reached = _around(rest, 2).join(roots, "hub").join(rest, "mark")
+        part.select(F.col("mark").alias("root"), F.col("part").alias("own")).hint("merge"), "root", "left")
+    reached = _around(rest, 2).join(roots.hint("merge"), "hub").join(rest.hint("merge"), "mark")
     far = reached.filter(F.coalesce("own", "root") != F.col("part")).groupBy("part", F.coalesce("own", "root").alias("own")).agg(
         F.min(F.struct("root", "mark")).alias("link"))
     return near.union(far.select("link.root", "link.mark"))

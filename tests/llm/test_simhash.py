@@ -120,6 +120,20 @@ def broadcasts(plans):
     return [label for label, plan in plans if "Broadcast" in plan]
 
 
+def test_hubs_and_links_are_not_broadcast(spark, planned, monkeypatch):
+    """A fingerprint makes 2,081 rows that Spark sizes as one: a few thousand would fill the driver."""
+    monkeypatch.setattr("assayworks.llm.components.LINKS_PER_TASK", 50)
+    rng = random.Random(3)
+    marks = sorted(cluster(rng, 80, 10) | cluster(rng, 80, 30) | {rng.getrandbits(64) for _ in range(50)})
+    found = {r.node: r.component for r in components(simhash.linked(spark.createDataFrame([(signed(m),) for m in marks], "mark long"), 4)).collect()}
+    parts = {}
+    for m, p in grouped(marks).items():
+        parts.setdefault(p, []).append(signed(m))
+    assert found == {m: min(p) for p in parts.values() if len(p) > 1 for m in p}
+    assert {"simhash-rest", "proper", "stars"} <= {label for label, _ in planned}
+    assert broadcasts(planned) == []
+
+
 def brute(rows):
     marks = {}
     for doc_id, text in rows:
